@@ -86,7 +86,9 @@ def nest(rows: DataFrame, spec: DocumentSpec) -> DataFrame:
     return shaped(rows.filter("root_lives").groupBy("entity_id").agg(*aggregates), spec)
 
 
-def shaped(grouped: DataFrame, spec: DocumentSpec) -> DataFrame:
+def shaped(
+    grouped: DataFrame, spec: DocumentSpec, keep: list[str] | None = None
+) -> DataFrame:
     """Grouped images (``entity_id, root_image, latest`` and one column per part) as documents."""
     parts = {}
     for child in spec.children:
@@ -100,6 +102,7 @@ def shaped(grouped: DataFrame, spec: DocumentSpec) -> DataFrame:
         F.lit(False).alias("deleted"),
         document(spec, F.col("entity_id"), F.col("root_image"), F.col("latest")).alias("document"),
         "root_image",
+        *(keep or []),
     )
 
 
