@@ -127,6 +127,7 @@ def document_log(events: DataFrame, spec: DocumentSpec, width: int = SEQ_SLICE)
     per_bundle = events.groupBy("bundle_id", "txn_id", "entity_id").agg(
         F.count("*").alias("n_events"),
         F.max("seq").alias("bundle_seq"),
+        F.max("at").alias("at"),
         F.max(F.when(acts, code)).alias("root_code"),
         F.coalesce(F.max(acts & (F.col("action") == "remove")), F.lit(False)).alias("root_removed"),
     )

@@ -69,7 +69,7 @@ def snapshot_log(tables: dict[str, DataFrame], spec: DocumentSpec) -> DataFrame:
         event = F.struct(
             F.lit("r").alias("op"),
             F.lit(None).cast("string").alias("before"),
-            F.struct(*[_wire(frame, c) for c in frame.columns]).alias("after"),
+            F.struct(*[wire(frame, c) for c in frame.columns]).alias("after"),
         )
         parts.append(
             frame.select(
@@ -86,10 +86,10 @@ def snapshot_log(tables: dict[str, DataFrame], spec: DocumentSpec) -> DataFrame:
     return log
 
 
-def _wire(frame: DataFrame, column: str) -> Column:
+def wire(frame: DataFrame, column: str, name: str | None = None) -> Column:
     """A column as the change log writes it: epoch days, epoch milliseconds, decimal text."""
     kind = dict(frame.dtypes)[column]
-    value = F.col(column)
+    value = F.col(name or column)
     if kind == "date":
         value = F.unix_date(value)
     elif kind in ("timestamp", "timestamp_ntz"):

@@ -30,7 +30,8 @@ class TransactionGate(StatefulProcessor):
         self.slices = handle.getMapState("slices", "slice bigint", "n bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        seen, expected, marker = self.counts.get() if self.counts.exists() else (0, None, None)
+        stored = self.counts.get()
+        seen, expected, marker = stored or (0, None, None)
         added = {}
         for row in rows:
             if row.n is not None:
@@ -39,13 +40,12 @@ class TransactionGate(StatefulProcessor):
                 expected, marker = row.expected, row.marker_seq
         seen += sum(added.values())
         if expected is not None and expected >= 0 and seen == expected:
-            earlier = set()
-            if self.counts.exists():
-                earlier = {number for (number,) in self.slices.keys()}
+            earlier = {number for (number,) in self.slices.keys()} if stored else set()
             for number in sorted(earlier | set(added)):
                 yield Row(txn_id=key[0], slice=number)
-            self.counts.clear()
-            self.slices.clear()
+            if stored:
+                self.counts.clear()
+                self.slices.clear()
         else:
             for number, n in added.items():
                 self.slices.updateValue((number,), (n,))
@@ -128,7 +128,7 @@ class EntityFold(StatefulProcessor):
         )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        head = self.head.get() if self.head.exists() else (-1, None, -1, -1, 0)
+        head = self.head.get() or (-1, None, -1, -1, 0)
         root_seq, root_image, dead_before, version, size = head
         died_at = dead_before
         for row in rows:
@@ -141,7 +141,7 @@ class EntityFold(StatefulProcessor):
                     root_image = row.image if row.action == "put" else None
             elif row.seq > dead_before:
                 name = (row.source, row.row_id)
-                old = self.rows.getValue(name) if self.rows.containsKey(name) else None
+                old = self.rows.getValue(name)
                 if old is None or row.seq > old[0]:
                     image = row.image if row.action == "put" else None
                     self.rows.updateValue(name, (row.seq, image))
