@@ -170,9 +170,10 @@ def document_json(spec: DocumentSpec) -> Column:
 
     def raw_channels(value: Column) -> Column:
         quoted = F.to_json(F.array(value))
-        return F.when(F.try_parse_json(value).isNotNull(), value).otherwise(
+        shown = F.when(F.try_parse_json(value).isNotNull(), value).otherwise(
             F.substr(quoted, F.lit(2), F.length(quoted) - 2)
         )
+        return F.when(value.isNotNull(), shown)
 
     members = [member("_id", scalar("_id"))]
     tail = []

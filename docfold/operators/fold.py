@@ -77,7 +77,9 @@ def _scan(
     one over the slice totals, whose result is joined back. A key of any size stays distributed.
     """
     fold = F.min if back else F.max
-    sliced = rows.withColumn("_v", value).withColumn("_s", F.floor(F.col(order) / width))
+    sliced = rows.withColumn("_v", value).withColumn(
+        "_s", F.expr(f"{order} div {width}")
+    )
     slice_order = F.col("_s").desc() if back else F.col("_s")
     row_order = F.col(order).desc() if back else F.col(order)
     others = W.partitionBy(*keys).orderBy(slice_order).rowsBetween(W.unboundedPreceding, -1)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def workload_profile(bronze: DataFrame, rows: DataFrame) -> DataFrame:
+def workload_profile(bronze: DataFrame) -> DataFrame:
     """One row per source: records, and bytes per record."""
     size = F.octet_length("value") + F.coalesce(F.octet_length("key"), F.lit(0))
     records = (

@@ -155,7 +155,13 @@ def from_store(stored: DataFrame, column: str = "json") -> DataFrame:
 
 
 def from_tables(docs: DataFrame) -> DataFrame:
-    """Read model of ``relational.relational_documents``."""
+    """Read model of ``relational.relational_documents``.
+
+    The income is a number there, so it shows without trailing zeros; stored documents hold text.
+    """
+    income = F.col("profile.annualIncome").cast("string")
+    shortened = F.regexp_replace(income, r"\.?0+$", "")
+    docs = docs.withColumn("profile", F.col("profile").withField("annualIncome", shortened))
 
     def as_json(name: str) -> Column:
         return F.to_json(F.col(name), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})

@@ -20,16 +20,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return frame
 
 
+def spread(frame: DataFrame, key: str) -> DataFrame:
+    """A table of fewer files than cores, spread by key, so that reading JSON uses every core."""
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame if frame.rdd.getNumPartitions() >= cores else frame.repartition(cores, key)
+
+
 def change_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as row changes of the five tables, three in a row for one customer."""
     entities = table(spark, sf_dir, "customer").agg(F.count("*")).scalar()
     seq = F.col("event_id")
-    raw = table(spark, sf_dir, "events").select(
+    third = F.expr("event_id div 3")
+    raw = spread(table(spark, sf_dir, "events"), "event_id").select(
         seq.alias("seq"),
         "ts",
         "value",
         "props",
-        F.when(seq % 41 != 0, F.concat_ws(":", F.floor(seq / 6), 1000 + seq)).alias("raw_txn"),
+        F.when(seq % 41 != 0, F.concat_ws(":", F.expr("event_id div 6"), 1000 + seq)).alias("raw_txn"),
         F.expr(
             "case when event_id % 97 = 0 or event_type = 'signup' then 'customers'"
             " when event_type = 'view' then 'customer_profiles'"
@@ -42,8 +49,8 @@ def change_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
             " or (event_type = 'error' and event_id % 2 = 0) then 'd'"
             " when event_id % 41 = 0 then 'r' else 'u' end"
         ).alias("op"),
-        F.pmod(F.floor(seq / 3), entities).alias("cid"),
-        F.pmod(F.floor(seq / 3) + 1, entities).alias("neighbour"),
+        F.pmod(third, entities).alias("cid"),
+        F.pmod(third + 1, entities).alias("neighbour"),
         F.expr(
             "case when event_type = 'purchase' then 8 + event_id % 5 else 95 + event_id % 10 end"
         ).alias("row_id"),
@@ -161,7 +168,7 @@ def _row_records(rows: DataFrame) -> DataFrame:
 
 def _marker_records(rows: DataFrame) -> DataFrame:
     """END markers: most are right, some count one too many or too few, some are missing."""
-    number = F.floor(F.col("seq") / 6)
+    number = F.expr("seq div 6")
     counted = (
         rows.filter(F.col("raw_txn").isNotNull())
         .groupBy(number.alias("number"))

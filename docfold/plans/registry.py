@@ -6,11 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docfold.plans import log_queries, log_sql, table_queries, table_sql
+from docfold.plans import (
+    log_queries,
+    log_sql,
+    sink_queries,
+    sink_sql,
+    table_queries,
+    table_sql,
+)
 from docfold.session import prepare
 
-_QUERY_MODULES = (log_queries, table_queries)
-_SQL_MODULES = (log_sql, table_sql)
+_QUERY_MODULES = (log_queries, table_queries, sink_queries)
+_SQL_MODULES = (log_sql, table_sql, sink_sql)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -215,7 +215,8 @@ FROM (SELECT count(*) AS total FROM customer), (VALUES ('source'), ('replica'))
     + f"""
 SELECT CAST(id AS VARCHAR) AS id, customer_number AS "customerNumber", first_name AS "firstName",
   last_name AS "lastName", CAST(date_of_birth AS VARCHAR) AS "dateOfBirth", status,
-  coalesce(preferred_language, 'en') AS language, occupation, annual_income AS income,
+  coalesce(preferred_language, 'en') AS language, occupation,
+  regexp_replace(annual_income, '\\.?0+$', '') AS income,
   coalesce(risk_rating, 'standard') AS risk, a_model AS addresses, c_model AS contacts,
   coalesce(marketing_email_opt_in, false) AS "emailOptIn",
   coalesce(paperless_statements, true) AS paperless,

@@ -37,7 +37,7 @@ def committed_stream(decoded: DataFrame) -> DataFrame:
     """Row events of complete transactions, and at once those without a transaction."""
     rows = routing.row_events(decoded)
     columns, schema = rows.columns, _ddl(rows.schema)
-    slice_of = F.floor(F.col("seq") / SLICE_SEQS)
+    slice_of = F.expr(f"seq div {SLICE_SEQS}")
     releases = (
         decoded.filter("txn_id is not null and not malformed")
         .select("txn_id", slice_of.alias("slice"), "is_marker", "status", "event_count", "seq")
