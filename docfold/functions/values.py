@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed patterns.
@@ -91,3 +91,13 @@ def render(value: Column, kind: str) -> Column:
     if kind == "instant":
         return instant_text(value)
     return value
+
+
+def computed_once(frame: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add costly columns that many later expressions and filters read.
+
+    A plain column would be copied into each of them by the optimizer and evaluated every time; the
+    output of a generator is not.
+    """
+    members = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return frame.select("*", F.inline(F.array(members)))

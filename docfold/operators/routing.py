@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docfold.functions.values import json_object, text
+from docfold.functions.values import computed_once, json_object, text
 from docfold.spec import MARKER_SOURCE, DocumentSpec
 
 EVENT = (
@@ -34,8 +34,7 @@ def decode(bronze: DataFrame, spec: DocumentSpec) -> DataFrame:
     bad = json_object(F.col("value")).isNull() | F.col("event._bad").isNotNull()
     fallback = F.concat_ws(":", F.lit("snapshot"), "source", F.coalesce("key", F.lit("null")))
     return (
-        bronze.filter(F.col("value").isNotNull())
-        .withColumn("event", event)
+        computed_once(bronze.filter(F.col("value").isNotNull()), {"event": event})
         .select(
             "source",
             "key",

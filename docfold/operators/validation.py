@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docfold.functions.values import ISO_DATE, iso_millis, text_or_null
+from docfold.functions.values import ISO_DATE, computed_once, iso_millis, text_or_null
 from docfold.operators.readmodel import to_instant
 from docfold.operators.skew import attach
 from docfold.session import materialize
@@ -64,140 +64,171 @@ def _distinct(array: Column) -> Column:
     return F.size(F.array_distinct(array)) == F.size(array)
 
 
+def _read(root: Column) -> dict[str, Column]:
+    """Every member a rule looks at, taken out of the parsed input once."""
+    prof, prefs = _get(root, "$.profile", "variant"), _get(root, "$.preferences", "variant")
+    channels = _get(root, "$.preferences.notificationChannels", "variant")
+    switch_names = ("marketingEmailOptIn", "marketingSmsOptIn", "paperlessStatements")
+
+    def address(a: Column) -> Column:
+        return F.struct(
+            _kind(a).alias("kind"),
+            F.coalesce(_get(a, "$.type"), F.lit("")).alias("type"),
+            F.coalesce(_get(a, "$.countryCode"), F.lit("")).alias("raw_country"),
+            *[
+                _trimmed(a, f"$.{name}").alias(name)
+                for name in (
+                    "line1",
+                    "line2",
+                    "city",
+                    "region",
+                    "postalCode",
+                    "countryCode",
+                    "validFrom",
+                    "validTo",
+                )
+            ],
+        )
+
+    def contact(c: Column) -> Column:
+        flag = _get(c, "$.isPrimary", "variant")
+        primary = (_kind(flag) == "BOOLEAN") & F.coalesce(
+            _get(c, "$.isPrimary", "boolean"), F.lit(False)
+        )
+        return F.struct(
+            _kind(c).alias("kind"),
+            F.coalesce(_get(c, "$.type"), F.lit("")).alias("type"),
+            _trimmed(c, "$.value").alias("value"),
+            primary.alias("isPrimary"),
+            _trimmed(c, "$.verifiedAt").alias("verifiedAt"),
+        )
+
+    return {
+        "kind": _kind(root),
+        "number": _trimmed(root, "$.customerNumber"),
+        "first": _trimmed(root, "$.firstName"),
+        "last": _trimmed(root, "$.lastName"),
+        "birth": _trimmed(root, "$.dateOfBirth"),
+        "status": F.coalesce(_get(root, "$.status"), F.lit("")),
+        "profile_kind": _kind(prof),
+        "language": _trimmed(root, "$.profile.preferredLanguage"),
+        "occupation": _trimmed(root, "$.profile.occupation"),
+        "income": _trimmed(root, "$.profile.annualIncome"),
+        "country": F.upper(_trimmed(root, "$.profile.taxResidencyCountry")),
+        "risk": F.coalesce(_get(root, "$.profile.riskRating"), F.lit("")),
+        "addresses_kind": _kind(_get(root, "$.addresses", "variant")),
+        "addresses": F.transform(_get(root, "$.addresses", "array<variant>"), address),
+        "contacts_kind": _kind(_get(root, "$.contacts", "variant")),
+        "contacts": F.transform(_get(root, "$.contacts", "array<variant>"), contact),
+        "preferences_kind": _kind(prefs),
+        "channels_kind": _kind(channels),
+        "channel_kinds": F.transform(
+            F.map_values(_get(channels, "$", "map<string,variant>")), _kind
+        ),
+        "channels": _get(channels, "$", "map<string,boolean>"),
+        "switch_kinds": F.array(
+            *[_kind(_get(root, f"$.preferences.{name}", "variant")) for name in switch_names]
+        ),
+        "switches": F.struct(
+            *[_get(root, f"$.preferences.{name}", "boolean").alias(name) for name in switch_names]
+        ),
+    }
+
+
 def checked(inputs: DataFrame, payload: str = "payload") -> DataFrame:
     """Add ``error`` (first broken rule or null) and ``data`` (cleaned input, null on error)."""
-    # Every rule reads the parsed input, so it is parsed once per row and kept as a column.
-    frame = inputs.withColumn("_v", F.try_parse_json(payload))
-    root = F.col("_v")
-    frame = frame.withColumns(
-        {
-            "_profile": _get(root, "$.profile", "variant"),
-            "_addresses": _get(root, "$.addresses", "variant"),
-            "_contacts": _get(root, "$.contacts", "variant"),
-            "_preferences": _get(root, "$.preferences", "variant"),
-        }
-    )
-    frame = frame.withColumns(
-        {
-            "_al": _get(F.col("_addresses"), "$", "array<variant>"),
-            "_cl": _get(F.col("_contacts"), "$", "array<variant>"),
-            "_channels": _get(F.col("_preferences"), "$.notificationChannels", "variant"),
-        }
-    )
-    number, first = _trimmed(root, "$.customerNumber"), _trimmed(root, "$.firstName")
-    last, birth = _trimmed(root, "$.lastName"), _trimmed(root, "$.dateOfBirth")
-    status = F.coalesce(_get(root, "$.status"), F.lit(""))
-    p = F.col("_profile")
-    risk = F.coalesce(_get(p, "$.riskRating"), F.lit(""))
-    income, language = _trimmed(p, "$.annualIncome"), _trimmed(p, "$.preferredLanguage")
-    country = F.upper(_trimmed(p, "$.taxResidencyCountry"))
+    parsed = computed_once(inputs, {"_v": F.try_parse_json(payload)})
+    members = _read(F.col("_v"))
+    frame = computed_once(parsed, {f"_{name}": c for name, c in members.items()})
+    i = {name: F.col(f"_{name}") for name in members}
 
     def address_ok(a: Column) -> Column:
         return (
-            (_kind(a) == "OBJECT")
-            & F.coalesce(_get(a, "$.type"), F.lit("")).isin(*ADDRESS_TYPES)
-            & _trimmed(a, "$.line1").isNotNull()
-            & _trimmed(a, "$.city").isNotNull()
-            & _trimmed(a, "$.postalCode").isNotNull()
-            & F.coalesce(_get(a, "$.countryCode"), F.lit("")).rlike(TWO_LETTERS)
-            & _trimmed(a, "$.validFrom").isNotNull()
-            & _date_ok(_trimmed(a, "$.validFrom"))
-            & _date_ok(_trimmed(a, "$.validTo"))
+            (a["kind"] == "OBJECT")
+            & a["type"].isin(*ADDRESS_TYPES)
+            & a["line1"].isNotNull()
+            & a["city"].isNotNull()
+            & a["postalCode"].isNotNull()
+            & a["raw_country"].rlike(TWO_LETTERS)
+            & a["validFrom"].isNotNull()
+            & _date_ok(a["validFrom"])
+            & _date_ok(a["validTo"])
         )
 
     def contact_ok(c: Column) -> Column:
-        verified = _trimmed(c, "$.verifiedAt")
         return (
-            (_kind(c) == "OBJECT")
-            & F.coalesce(_get(c, "$.type"), F.lit("")).isin(*CONTACT_TYPES)
-            & _trimmed(c, "$.value").isNotNull()
-            & (verified.isNull() | _moment(verified).isNotNull())
+            (c["kind"] == "OBJECT")
+            & c["type"].isin(*CONTACT_TYPES)
+            & c["value"].isNotNull()
+            & (c["verifiedAt"].isNull() | _moment(c["verifiedAt"]).isNotNull())
         )
 
-    def is_primary(c: Column) -> Column:
-        flag = _get(c, "$.isPrimary", "variant")
-        return (_kind(flag) == "BOOLEAN") & F.coalesce(_get(flag, "$", "boolean"), F.lit(False))
-
-    address_types = F.transform("_al", lambda a: F.coalesce(_get(a, "$.type"), F.lit("")))
-    primary_types = F.transform(
-        F.filter("_cl", is_primary), lambda c: F.coalesce(_get(c, "$.type"), F.lit(""))
-    )
-    prefs, channels = F.col("_preferences"), F.col("_channels")
-    switches = [
-        _kind(_get(prefs, f"$.{name}", "variant")) == "BOOLEAN"
-        for name in ("marketingEmailOptIn", "marketingSmsOptIn", "paperlessStatements")
-    ]
-    channel_values = F.map_values(_get(channels, "$", "map<string,variant>"))
+    primaries = F.filter(i["contacts"], lambda c: c["isPrimary"])
+    address_types = F.transform(i["addresses"], lambda a: a["type"])
+    primary_types = F.transform(primaries, lambda c: c["type"])
     switches_ok = (
-        (_kind(prefs) == "OBJECT")
-        & (_kind(channels) == "OBJECT")
-        & switches[0]
-        & switches[1]
-        & switches[2]
-        & _all(channel_values, lambda v: _kind(v) == "BOOLEAN")
+        (i["preferences_kind"] == "OBJECT")
+        & (i["channels_kind"] == "OBJECT")
+        & _all(i["switch_kinds"], lambda k: k == "BOOLEAN")
+        & _all(i["channel_kinds"], lambda k: k == "BOOLEAN")
     )
     error = (
-        F.when(root.isNull() | (_kind(root) != "OBJECT"), PAYLOAD)
-        .when(number.isNull() | first.isNull() | last.isNull(), NAMES)
-        .when(~_date_ok(birth), BIRTH)
-        .when(~status.isin(*STATUSES), STATUS)
-        .when((_kind(p) != "OBJECT") | language.isNull() | ~risk.isin(*RISK_RATINGS), PROFILE)
-        .when(income.isNotNull() & ~income.rlike(MONEY), INCOME)
-        .when(country.isNotNull() & ~country.rlike(TWO_LETTERS), COUNTRY)
-        .when(_kind(F.col("_addresses")) != "ARRAY", ADDRESSES)
-        .when(~_all(F.col("_al"), address_ok) | ~_distinct(address_types), ADDRESS)
-        .when(_kind(F.col("_contacts")) != "ARRAY", CONTACTS)
-        .when(~_all(F.col("_cl"), contact_ok) | ~_distinct(primary_types), CONTACT)
+        F.when(i["kind"] != "OBJECT", PAYLOAD)
+        .when(i["number"].isNull() | i["first"].isNull() | i["last"].isNull(), NAMES)
+        .when(~_date_ok(i["birth"]), BIRTH)
+        .when(~i["status"].isin(*STATUSES), STATUS)
+        .when(
+            (i["profile_kind"] != "OBJECT")
+            | i["language"].isNull()
+            | ~i["risk"].isin(*RISK_RATINGS),
+            PROFILE,
+        )
+        .when(i["income"].isNotNull() & ~i["income"].rlike(MONEY), INCOME)
+        .when(i["country"].isNotNull() & ~i["country"].rlike(TWO_LETTERS), COUNTRY)
+        .when(i["addresses_kind"] != "ARRAY", ADDRESSES)
+        .when(~_all(i["addresses"], address_ok) | ~_distinct(address_types), ADDRESS)
+        .when(i["contacts_kind"] != "ARRAY", CONTACTS)
+        .when(~_all(i["contacts"], contact_ok) | ~_distinct(primary_types), CONTACT)
         .when(~switches_ok, SWITCHES)
     )
 
     def address(a: Column) -> Column:
+        plain = ("type", "line1", "line2", "city", "region", "postalCode")
         return F.struct(
-            _get(a, "$.type").alias("type"),
-            _trimmed(a, "$.line1").alias("line1"),
-            _trimmed(a, "$.line2").alias("line2"),
-            _trimmed(a, "$.city").alias("city"),
-            _trimmed(a, "$.region").alias("region"),
-            _trimmed(a, "$.postalCode").alias("postalCode"),
-            F.upper(_trimmed(a, "$.countryCode")).alias("countryCode"),
-            _trimmed(a, "$.validFrom").alias("validFrom"),
-            _trimmed(a, "$.validTo").alias("validTo"),
+            *[a[name].alias(name) for name in plain],
+            F.upper(a["countryCode"]).alias("countryCode"),
+            a["validFrom"].alias("validFrom"),
+            a["validTo"].alias("validTo"),
         )
 
     def contact(c: Column) -> Column:
         return F.struct(
-            _get(c, "$.type").alias("type"),
-            _trimmed(c, "$.value").alias("value"),
-            is_primary(c).alias("isPrimary"),
-            iso_millis(_moment(_trimmed(c, "$.verifiedAt"))).alias("verifiedAt"),
+            c["type"].alias("type"),
+            c["value"].alias("value"),
+            c["isPrimary"].alias("isPrimary"),
+            iso_millis(_moment(c["verifiedAt"])).alias("verifiedAt"),
         )
 
     data = F.struct(
-        number.alias("customerNumber"),
-        first.alias("firstName"),
-        last.alias("lastName"),
-        birth.alias("dateOfBirth"),
-        status.alias("status"),
+        i["number"].alias("customerNumber"),
+        i["first"].alias("firstName"),
+        i["last"].alias("lastName"),
+        i["birth"].alias("dateOfBirth"),
+        i["status"].alias("status"),
         F.struct(
-            language.alias("preferredLanguage"),
-            _trimmed(p, "$.occupation").alias("occupation"),
-            income.alias("annualIncome"),
-            country.alias("taxResidencyCountry"),
-            risk.alias("riskRating"),
+            i["language"].alias("preferredLanguage"),
+            i["occupation"].alias("occupation"),
+            i["income"].alias("annualIncome"),
+            i["country"].alias("taxResidencyCountry"),
+            i["risk"].alias("riskRating"),
         ).alias("profile"),
-        F.transform("_al", address).alias("addresses"),
-        F.transform("_cl", contact).alias("contacts"),
-        F.struct(
-            _get(prefs, "$.marketingEmailOptIn", "boolean").alias("marketingEmailOptIn"),
-            _get(prefs, "$.marketingSmsOptIn", "boolean").alias("marketingSmsOptIn"),
-            _get(prefs, "$.paperlessStatements", "boolean").alias("paperlessStatements"),
-            _get(channels, "$", "map<string,boolean>").alias("notificationChannels"),
-        ).alias("preferences"),
+        F.transform(i["addresses"], address).alias("addresses"),
+        F.transform(i["contacts"], contact).alias("contacts"),
+        i["switches"].withField("notificationChannels", i["channels"]).alias("preferences"),
     )
-    return (
-        frame.withColumn("error", error)
-        .withColumn("data", F.when(F.col("error").isNull(), data))
-        .select(*inputs.columns, "error", "data")
+    judged = computed_once(frame, {"error": error})
+    return judged.withColumn("data", F.when(F.col("error").isNull(), data)).select(
+        *inputs.columns, "error", "data"
     )
 
 

@@ -102,6 +102,7 @@ def _canonical(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
             "contacts"
         ),
     )
+    replica = materialize(replica, "replica")
     faulty = replica.filter("id % 101 <> 0").withColumns(
         {
             "status": F.expr("case when id % 103 = 0 then 'stale' else status end"),

@@ -48,7 +48,10 @@ def flat(docs: DataFrame) -> DataFrame:
 
 def snapshot_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents folded from the read events of all base rows."""
-    return engine.final_outputs(snapshot_log(mapping.base_tables(spark, sf_dir), SPEC), SPEC)
+    tables = mapping.base_tables(spark, sf_dir)
+    keys = {name: frame.columns[0] for name, frame in tables.items()}
+    wide = {name: mapping.spread(frame, keys[name]) for name, frame in tables.items()}
+    return engine.final_outputs(snapshot_log(wide, SPEC), SPEC)
 
 
 def relational_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,7 +226,7 @@ def json_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def input_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``customer`` as nested inputs; most are valid, the others break one rule or several."""
-    return mapping.table(spark, sf_dir, "customer").select(
+    return mapping.spread(mapping.table(spark, sf_dir, "customer"), "c_custkey").select(
         F.col("c_custkey").alias("id"),
         F.expr(
             """

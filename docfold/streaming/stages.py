@@ -131,6 +131,10 @@ class EntityFold(StatefulProcessor):
         head = self.head.get() or (-1, None, -1, -1, 0)
         root_seq, root_image, dead_before, version, size = head
         died_at = dead_before
+        # An entity that fits in one document is read once and kept here; of a larger one only the
+        # rows that change are read.
+        new = head[3] < 0
+        cache = {} if new else dict(self.rows.iterator()) if size <= self.limit else None
         for row in rows:
             version = max(version, row.seq)
             if row.source == self.root:
@@ -141,16 +145,17 @@ class EntityFold(StatefulProcessor):
                     root_image = row.image if row.action == "put" else None
             elif row.seq > dead_before:
                 name = (row.source, row.row_id)
-                old = self.rows.getValue(name)
+                old = self.rows.getValue(name) if cache is None else cache.get(name)
                 if old is None or row.seq > old[0]:
-                    image = row.image if row.action == "put" else None
-                    self.rows.updateValue(name, (row.seq, image))
-                    size += _size(image) - (_size(old[1]) if old else 0)
+                    value = (row.seq, row.image if row.action == "put" else None)
+                    self.rows.updateValue(name, value)
+                    size += _size(value[1]) - (_size(old[1]) if old else 0)
+                    if cache is not None:
+                        cache[name] = value
+                        if size > self.limit:
+                            cache = None
         if dead_before > died_at:
-            for name, value in list(self.rows.iterator()):
-                if value[0] <= dead_before:
-                    self.rows.removeKey(name)
-                    size -= _size(value[1])
+            size -= self._drop_older(dead_before, cache)
         self.head.update((root_seq, root_image, dead_before, version, size))
         make = Row("entity_id", "emits", "version", "total_bytes", "sources", "images")
         if root_image is not None:
@@ -158,15 +163,24 @@ class EntityFold(StatefulProcessor):
             if total > self.limit:
                 yield make(key[0], "too_large", version, total, [], [])
             else:
-                sources, images = [self.root], [root_image]
-                for name, value in self.rows.iterator():
-                    if value[1] is not None:
-                        sources.append(name[0])
-                        images.append(value[1])
+                live = self.rows.iterator() if cache is None else cache.items()
+                found = [(name[0], value[1]) for name, value in live if value[1] is not None]
+                sources = [self.root] + [source for source, _ in found]
+                images = [root_image] + [image for _, image in found]
                 yield make(key[0], "document", version, total, sources, images)
         elif dead_before > died_at:
             yield make(key[0], "marker", version, 0, [], [])
 
+    def _drop_older(self, dead_before: int, cache: dict | None) -> int:
+        """Remove rows older than a root delete; returns the bytes set free."""
+        freed = 0
+        held = self.rows.iterator() if cache is None else cache.items()
+        for name in [name for name, value in held if value[0] <= dead_before]:
+            value = self.rows.getValue(name) if cache is None else cache.pop(name)
+            freed += _size(value[1])
+            self.rows.removeKey(name)
+        return freed
+
     def close(self) -> None:
         pass
 
