@@ -24,19 +24,20 @@ def text_or_null(value: Column) -> Column:
     return F.when(trimmed != "", trimmed)
 
 
-def _whole(value: Column) -> Column:
+def whole_number(value: Column) -> Column:
+    """Number text cut to a whole number, or null."""
     return value.try_cast("decimal(38,9)").try_cast("bigint")
 
 
 def iso_date(value: Column) -> Column:
     """Epoch-day text becomes an ISO date; any other text stays as it is."""
-    days = _whole(value).try_cast("int")
+    days = whole_number(value).try_cast("int")
     return F.when(value.rlike(NUMBER), F.date_from_unix_date(days).cast("string")).otherwise(value)
 
 
 def instant(value: Column) -> Column:
     """Epoch milliseconds or strict ISO-8601 instant text as a timestamp; otherwise null."""
-    return F.when(value.rlike(NUMBER), F.timestamp_millis(_whole(value))).when(
+    return F.when(value.rlike(NUMBER), F.timestamp_millis(whole_number(value))).when(
         value.rlike(ISO_INSTANT), value.try_cast("timestamp")
     )
 

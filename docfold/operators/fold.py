@@ -10,13 +10,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from docfold.operators.skew import attach, split_hot
+from docfold.operators.skew import SLICE_ROWS, attach, split_hot
 from docfold.session import materialize
 from docfold.spec import DOCUMENT_LIMIT_BYTES, DocumentSpec
 
 # Room for what rendering adds to a row image: ISO dates and instants are longer than numbers.
 ROW_OVERHEAD_BYTES = 64
-SEQ_SLICE = 1_000_000
 
 
 def latest(events: DataFrame) -> DataFrame:
@@ -68,6 +67,12 @@ def delete_markers(entities: DataFrame) -> DataFrame:
     return entities.filter("dead_before >= 0 and not root_lives").select("entity_id", "dead_before")
 
 
+def slice_width(rows: DataFrame, order: str) -> int:
+    """The range of ``order`` that holds about ``SLICE_ROWS`` rows of all keys together."""
+    low, high, n = rows.agg(F.min(order), F.max(order), F.count("*")).first()
+    return max(1, (high - low) * SLICE_ROWS // n) if n else 1
+
+
 def _scan(
     rows: DataFrame, keys: list[str], order: str, value: Column, name: str, width: int, back: bool
 ) -> DataFrame:
@@ -99,7 +104,7 @@ def _scan(
     )
 
 
-def row_history(events: DataFrame, spec: DocumentSpec, width: int = SEQ_SLICE) -> DataFrame:
+def row_history(events: DataFrame, spec: DocumentSpec, width: int | None = None) -> DataFrame:
     """Validity of every row version, ``[valid_from, valid_to)`` in log order.
 
     A version ends at the next event of its row or at the next root delete of its entity. The
@@ -110,6 +115,7 @@ def row_history(events: DataFrame, spec: DocumentSpec, width: int = SEQ_SLICE) -
         *keys, "seq", "action", "image"
     )
     acts = materialize(acts, "versions")
+    width = width or slice_width(acts, "seq")
     root_end = F.when((F.col("source") == spec.root) & (F.col("action") == "remove"), F.col("seq"))
     ended = _scan(acts, ["entity_id"], "seq", root_end, "root_end", width, back=True)
     followed = _scan(ended, keys, "seq", F.col("seq"), "next_seq", width, back=True)
@@ -121,7 +127,7 @@ def row_history(events: DataFrame, spec: DocumentSpec, width: int = SEQ_SLICE) -
     )
 
 
-def document_log(events: DataFrame, spec: DocumentSpec, width: int = SEQ_SLICE) -> DataFrame:
+def document_log(events: DataFrame, spec: DocumentSpec, width: int | None = None) -> DataFrame:
     """What each bundle makes the fold emit for its entity: a document, a marker or nothing."""
     is_root = F.col("source") == spec.root
     code = F.col("seq") * 2 + F.when(F.col("action") == "put", 1).otherwise(0)
@@ -133,8 +139,10 @@ def document_log(events: DataFrame, spec: DocumentSpec, width: int = SEQ_SLICE)
         F.max(F.when(acts, code)).alias("root_code"),
         F.coalesce(F.max(acts & (F.col("action") == "remove")), F.lit(False)).alias("root_removed"),
     )
+    kept = materialize(per_bundle, "bundles")
+    width = width or slice_width(kept, "bundle_seq")
     known = _scan(
-        materialize(per_bundle, "bundles"), ["entity_id"], "bundle_seq", F.col("root_code"), "known_root", width, back=False
+        kept, ["entity_id"], "bundle_seq", F.col("root_code"), "known_root", width, back=False
     )
     lives = F.coalesce(F.pmod("known_root", F.lit(2)) == 1, F.lit(False))
     return known.withColumn(

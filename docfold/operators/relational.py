@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docfold.operators.numbering import dense_number
 from docfold.operators.skew import sized, split_hot
 from docfold.session import materialize
 from docfold.spec import DOCUMENT_LIMIT_BYTES, Child, DocumentSpec
 
 PAGE_SIZE = 10
+# Up to here a page is a top-k; further on the rows are numbered, so the driver never holds them.
+TOP_ROWS = 10_000
 
 
 def _element(child: Child, spec: DocumentSpec) -> Column:
@@ -99,7 +102,11 @@ def page_number(value: object) -> int:
 def page(frame: DataFrame, order: list[str], number: object, size: int = PAGE_SIZE) -> DataFrame:
     """One page, newest first by the order columns."""
     skipped = (page_number(number) - 1) * size
-    return frame.orderBy(*[F.col(c).desc() for c in order]).offset(skipped).limit(size)
+    newest = [F.col(c).desc() for c in order]
+    if skipped + size <= TOP_ROWS:
+        return frame.orderBy(*newest).offset(skipped).limit(size)
+    places = dense_number(frame, newest, "_place")
+    return places.filter(F.col("_place").between(skipped, skipped + size - 1)).drop("_place")
 
 
 def page_info(frame: DataFrame, size: int = PAGE_SIZE) -> DataFrame:

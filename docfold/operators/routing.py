@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docfold.functions.values import computed_once, json_object, text
+from docfold.functions.values import computed_once, json_object, text, whole_number
 from docfold.spec import MARKER_SOURCE, DocumentSpec
 
 EVENT = (
     "op string, before string, after string, transaction struct<id: string>,"
-    " status string, id string, event_count bigint, _bad string"
+    " status string, id string, event_count string, _bad string"
 )
 
 
@@ -44,7 +44,7 @@ def decode(bronze: DataFrame, spec: DocumentSpec) -> DataFrame:
             bad.alias("malformed"),
             F.col("event.op").alias("op"),
             F.col("event.status").alias("status"),
-            F.col("event.event_count").alias("event_count"),
+            whole_number(F.col("event.event_count")).alias("event_count"),
             before.alias("before"),
             after.alias("after"),
             normalized_transaction(raw).alias("txn_text"),

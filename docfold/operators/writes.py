@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from docfold.operators.numbering import dense_number
 from docfold.session import materialize
 from docfold.sources.changelog import wire
 from docfold.spec import MARKER_SOURCE, DocumentSpec
@@ -36,28 +36,6 @@ def with_defaults(frame: DataFrame, table: str, now: Column) -> DataFrame:
     return frame.withColumns(filled)
 
 
-def dense_number(frame: DataFrame, order: str, name: str, start: int = 0) -> DataFrame:
-    """Add consecutive numbers from ``start`` in the given order, without one global sort task.
-
-    Rows are range-partitioned and numbered inside their partition; the offsets come from one row
-    per partition, so the broadcast is bounded by the number of partitions.
-    """
-    ranged = materialize(
-        frame.repartitionByRange(F.col(order))
-        .withColumn("_p", F.spark_partition_id())
-        .withColumn("_i", F.row_number().over(W.partitionBy("_p").orderBy(order))),
-        "numbered",
-    )
-    counts = ranged.groupBy("_p").agg(F.count("*").alias("_n"))
-    before = W.orderBy("_p").rowsBetween(W.unboundedPreceding, -1)
-    offsets = counts.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
-    return (
-        ranged.join(F.broadcast(offsets), "_p")
-        .withColumn(name, F.col("_o") + F.col("_i") - 1 + start)
-        .drop("_p", "_i", "_o")
-    )
-
-
 def shred(inputs: DataFrame, now: Column, key: str = "id") -> dict[str, DataFrame]:
     """Cleaned nested inputs (``data``) with their root id as rows of the five tables.
 
@@ -151,7 +129,7 @@ def replace_collection(
 def insert_roots(base: DataFrame, rows: DataFrame, order: str, now: Column) -> DataFrame:
     """New root rows with generated ids above the highest one, in the given order."""
     top = base.agg(F.max("id")).first()[0]
-    numbered = dense_number(rows, order, "id", (-1 if top is None else top) + 1)
+    numbered = dense_number(rows, [F.col(order)], "id", (-1 if top is None else top) + 1)
     return with_defaults(numbered, "customers", now).select(*base.columns)
 
 

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from docfold.spec import MARKER_SOURCE, DocumentSpec
 
+# Ten seconds of a broker log, in units of its ``seq``.
+BROKER_SLICE = 10_000 * 1_000_000
+
 BRONZE = "source string, key string, value string, seq bigint, at timestamp"
 
 

@@ -21,7 +21,8 @@ from docfold.streaming.stages import (
 )
 
 # Rows of a transaction whose ``seq`` falls in the same range share a slice: a usual transaction
-# has one, a very large one is spread over many.
+# has one, a very large one is spread over many. Choose the range after how dense ``seq`` is: this
+# default suits consecutive numbers, ``changelog.BROKER_SLICE`` the order of a broker log.
 SLICE_SEQS = 100_000
 
 # The stages travel with the query, so the workers need no installed package.
@@ -33,11 +34,11 @@ def configure(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_PROVIDER)
 
 
-def committed_stream(decoded: DataFrame) -> DataFrame:
+def committed_stream(decoded: DataFrame, slice_seqs: int = SLICE_SEQS) -> DataFrame:
     """Row events of complete transactions, and at once those without a transaction."""
     rows = routing.row_events(decoded)
     columns, schema = rows.columns, _ddl(rows.schema)
-    slice_of = F.expr(f"seq div {SLICE_SEQS}")
+    slice_of = F.expr(f"seq div {slice_seqs}")
     releases = (
         decoded.filter("txn_id is not null and not malformed")
         .select("txn_id", slice_of.alias("slice"), "is_marker", "status", "event_count", "seq")
@@ -121,10 +122,11 @@ def start(
     limit: int = DOCUMENT_LIMIT_BYTES,
     available_now: bool = False,
     interval: str = "1 second",
+    slice_seqs: int = SLICE_SEQS,
 ):
     """Start the query; ``sink`` and ``checkpoint`` are folders all executors share."""
     configure(bronze.sparkSession)
-    outputs = entity_stream(committed_stream(routing.decode(bronze, spec)), spec, limit)
+    outputs = entity_stream(committed_stream(routing.decode(bronze, spec), slice_seqs), spec, limit)
     writer = (
         outputs.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
