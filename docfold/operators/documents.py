@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docfold.functions.values import instant, iso_instant, render
+from docfold.functions.values import computed_once, instant, iso_instant, render
 from docfold.operators.skew import sized, split_hot
 from docfold.session import materialize
 from docfold.spec import DOCUMENT_LIMIT_BYTES, Child, DocumentSpec
@@ -23,8 +23,12 @@ def _layout(child: Child, row: Column) -> Column:
 
 
 def keyed_part(child: Child, image: Column) -> Column:
-    """A collection element with its sort keys: type text, then row id **as text**."""
-    row = F.from_json(image, child.image)
+    """A collection element made from one row image, with its sort keys."""
+    return _keyed(child, F.from_json(image, child.image))
+
+
+def _keyed(child: Child, row: Column) -> Column:
+    # Sorted by type text, then by row id as text.
     return F.struct(
         F.coalesce(row[child.sort_column], F.lit("")).alias("k1"),
         F.coalesce(row["id"], F.lit("")).alias("k2"),
@@ -70,20 +74,29 @@ def element_bytes(spec: DocumentSpec, source: Column, image: Column) -> Column:
 
 
 def nest(rows: DataFrame, spec: DocumentSpec) -> DataFrame:
-    """Group the live rows of entities that fit in one document; those without a root give none."""
+    """Group the live rows of entities that fit in one document; those without a root give none.
+
+    Every image is parsed once, before the grouping.
+    """
     image, source = F.col("image"), F.col("source")
+    parsed = {"_root": F.when(source == spec.root, F.from_json(image, spec.root_image))}
+    for child in spec.children:
+        parsed[f"_{child.part}"] = F.when(source == child.table, F.from_json(image, child.image))
+    ready = computed_once(rows.filter("root_lives"), parsed)
+    changed = F.coalesce(*[F.col(f"{name}.updated_at") for name in parsed])
     aggregates = [
         F.max(F.when(source == spec.root, image)).alias("root_image"),
-        F.max(updated_at(image)).alias("latest"),
+        F.max(instant(changed)).alias("latest"),
     ]
     for child in spec.children:
-        here = source == child.table
         if child.is_collection:
-            found = F.collect_list(F.when(here, keyed_part(child, image)))
+            row = F.col(f"_{child.part}")
+            found = F.collect_list(F.when(row.isNotNull(), _keyed(child, row)))
             aggregates.append(found.alias(child.part))
         else:
-            aggregates.append(F.max(F.when(here, image)).alias(child.part))
-    return shaped(rows.filter("root_lives").groupBy("entity_id").agg(*aggregates), spec)
+            found = F.max(F.when(source == child.table, image))
+            aggregates.append(found.alias(child.part))
+    return shaped(ready.groupBy("entity_id").agg(*aggregates), spec)
 
 
 def shaped(

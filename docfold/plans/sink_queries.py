@@ -46,7 +46,8 @@ def sink_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def final_documents_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole log in two parts through the streaming query, each a run from the checkpoint.
 
-    Rows of one transaction fall in both parts; the markers come with the second.
+    Rows of one transaction fall in both parts; the markers come with the second. The state has one
+    partition per core.
     """
     base = work_folder(spark, "stream")
     log = mapping.change_log(spark, sf_dir)
@@ -59,6 +60,7 @@ def final_documents_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
             f"{base}/sink",
             f"{base}/checkpoint",
             available_now=True,
+            state_partitions=spark.sparkContext.defaultParallelism,
         )
         query.awaitTermination()
     return flat_outputs(sinks.replica(spark, f"{base}/sink"))

@@ -123,9 +123,15 @@ def start(
     available_now: bool = False,
     interval: str = "1 second",
     slice_seqs: int = SLICE_SEQS,
+    state_partitions: int | None = None,
 ):
-    """Start the query; ``sink`` and ``checkpoint`` are folders all executors share."""
-    configure(bronze.sparkSession)
+    """Start the query; ``sink`` and ``checkpoint`` are folders all executors share.
+
+    The number of state partitions is fixed by the first run; without one given it is the session's
+    number of shuffle partitions.
+    """
+    spark = bronze.sparkSession
+    configure(spark)
     outputs = entity_stream(committed_stream(routing.decode(bronze, spec), slice_seqs), spec, limit)
     writer = (
         outputs.writeStream.outputMode("append")
@@ -133,4 +139,9 @@ def start(
         .foreachBatch(sinks.upsert_batch(sink, spec, limit))
     )
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
-    return writer.trigger(**trigger).start()
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions or usual))
+    try:
+        return writer.trigger(**trigger).start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
