@@ -19,14 +19,16 @@ def normalized_transaction(raw: Column) -> Column:
     return F.substring_index(text(raw), ":", 1)
 
 
-def decode(bronze: DataFrame, spec: DocumentSpec) -> DataFrame:
+def decode(bronze: DataFrame, spec: DocumentSpec, strict: bool = False) -> DataFrame:
     """Log records with their JSON read once: row events, markers and malformed records.
 
     Images stay JSON text (object or null) and are read fully only for the rows that win; here
     their ids are taken out. Records without a value are skipped, and ``malformed`` marks values
-    that are no JSON object. Materialize the result: it is read more than once.
+    that are no JSON object; with ``strict`` they fail the job. Materialize the result: it is read
+    more than once.
     """
-    event = F.from_json("value", EVENT, {"columnNameOfCorruptRecord": "_bad"})
+    options = {"mode": "FAILFAST"} if strict else {"columnNameOfCorruptRecord": "_bad"}
+    event = F.from_json("value", EVENT, options)
     ids = f"{spec.row_key} string, {spec.owner_key} string"
     is_marker = F.col("source") == MARKER_SOURCE
     raw = F.when(is_marker, F.col("event.id")).otherwise(F.col("event.transaction.id"))

@@ -145,3 +145,23 @@ def start(
         return writer.trigger(**trigger).start()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", usual)
+
+
+def start_malformed(
+    bronze: DataFrame,
+    spec: DocumentSpec,
+    sink: str,
+    checkpoint: str,
+    available_now: bool = False,
+    interval: str = "1 second",
+):
+    """Start a query that sets aside input records that are no JSON object, with their position."""
+    trigger = {"availableNow": True} if available_now else {"processingTime": interval}
+    return (
+        routing.malformed(routing.decode(bronze, spec))
+        .writeStream.format("parquet")
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start(sink)
+    )

@@ -1,5 +1,6 @@
 import json
 
+import pytest
 import scenarios
 from pyspark.sql import functions as F
 
@@ -138,3 +139,14 @@ def test_ids_are_read_from_text_before_the_colon(spark):
     frame = spark.createDataFrame([("742:100",), ("742",), (":9",), ("  ",), (None,)], "t string")
     got = [r[0] for r in frame.select(routing.normalized_transaction(F.col("t"))).collect()]
     assert got == ["742", "742", "", None, None]
+
+
+def test_strict_decoding_fails_on_bad_input(spark, log):
+    log.root(1, "r").add("customers", None, "{bad")
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        routing.decode(log.frame(spark), SPEC, strict=True).collect()
+
+
+def test_marker_counts_may_be_text(spark, log):
+    log.root(1, "c", "5:1").add("transaction", "5", {"status": "END", "id": "5:9", "event_count": "1"})
+    assert set(as_json(engine.final_outputs(log.frame(spark), SPEC))) == {"1"}

@@ -75,3 +75,19 @@ def test_large_entity_goes_to_dead_letters_and_the_rest_passes(spark):
     assert set(content(spark, base)) == {"2"}
     dead = sinks.dead_letters(spark, f"{base}/sink").collect()
     assert [(r["_id"], r["error"]) for r in dead] == [("1", "document is too large")]
+
+
+def test_malformed_input_is_set_aside(spark):
+    log = Log().root(1, "r").add("customers", None, "{bad").add("customers", None, "[1]")
+    base = work_folder(spark, "test-malformed")
+    log.frame(spark).write.parquet(f"{base}/log")
+    query = pipeline.start_malformed(
+        read_log(spark, f"{base}/log", streaming=True),
+        SPEC,
+        f"{base}/bad",
+        f"{base}/checkpoint",
+        available_now=True,
+    )
+    query.awaitTermination()
+    rows = spark.read.parquet(f"{base}/bad").orderBy("seq").collect()
+    assert [(r["seq"], r["bad_value"]) for r in rows] == [(1, "{bad"), (2, "[1]")]
