@@ -106,7 +106,55 @@ diff AS (
 """
 )
 
+_MS = "CAST(epoch_us(ts) // 1000 AS VARCHAR)"
+_TRUTH = "CASE WHEN {0} THEN 'true' ELSE 'false' END"
+_RECORDS = (
+    "WITH"
+    + LOG
+    + f""",
+images AS (
+  SELECT *, CAST(cid AS VARCHAR) AS c, CAST(row_id AS VARCHAR) AS r, CAST(seq AS VARCHAR) AS s FROM log),
+records AS (
+  SELECT source, CASE WHEN many THEN '{{"id":' || r || '}}' WHEN source = 'customers'
+      THEN '{{"id":' || c || '}}' ELSE '{{"customer_id":' || c || '}}' END AS key,
+    '{{"op":"' || op || '","before":' || CASE
+        WHEN many AND before_cid IS NOT NULL
+          THEN '{{"id":' || r || ',"customer_id":' || CAST(before_cid AS VARCHAR) || '}}'
+        WHEN op = 'd' AND source = 'customers' THEN '{{"id":' || c || '}}'
+        WHEN op = 'd' AND NOT many THEN '{{"customer_id":' || c || '}}' ELSE 'null' END
+      || ',"after":' || CASE WHEN op = 'd' THEN 'null' ELSE CASE source
+        WHEN 'customers' THEN '{{"id":' || c || ',"customer_number":"CUS-' || c || '","first_name":"F' || s
+          || '","last_name":"L' || c || '","date_of_birth":' || CASE WHEN seq % 5 <> 0
+          THEN CAST(seq % 20000 AS VARCHAR) ELSE 'null' END || ',"status":"' || CASE seq % 3
+          WHEN 0 THEN 'active' WHEN 1 THEN 'inactive' ELSE 'suspended' END
+          || '","created_at":' || {_MS}
+        WHEN 'customer_profiles' THEN '{{"customer_id":' || c || ',"preferred_language":' || CASE seq % 4
+          WHEN 0 THEN '"en"' WHEN 1 THEN '"fr"' WHEN 2 THEN '"de"' ELSE 'null' END
+          || ',"annual_income":"' || CAST(CAST(value AS DECIMAL(14,2)) AS VARCHAR) || '"'
+        WHEN 'customer_addresses' THEN '{{"id":' || r || ',"customer_id":' || c || ',"address_type":"'
+          || CASE seq % 3 WHEN 0 THEN 'residential' WHEN 1 THEN 'mailing' ELSE 'work' END
+          || '","line_1":"L' || s || '","valid_from":' || CAST(seq % 20000 AS VARCHAR)
+        WHEN 'customer_contacts' THEN '{{"id":' || r || ',"customer_id":' || c || ',"contact_type":"'
+          || CASE seq % 3 WHEN 0 THEN 'email' WHEN 1 THEN 'mobile_phone' ELSE 'home_phone' END
+          || '","contact_value":"v' || s || '","is_primary":' || {_TRUTH.format("seq % 2 = 1")}
+        ELSE '{{"customer_id":' || c || ',"marketing_email_opt_in":' || {_TRUTH.format("seq % 2 = 0")}
+          || ',"notification_channels":"' || replace(props, '"', chr(92) || '"') || '"'
+        END || ',"updated_at":' || {_MS} || '}}' END
+      || coalesce(',"transaction":{{"id":"' || raw_txn || '"}}', '') || '}}' AS value
+  FROM images
+  UNION ALL
+  SELECT 'transaction', txn, '{{"status":"END","id":"' || txn || ':999","event_count":'
+    || CAST(expected AS VARCHAR) || '}}' FROM markers)
+"""
+)
+
 SQL = {
+    "workload_profile": _RECORDS
+    + """
+SELECT source, count(*) AS records, CAST(sum(strlen(value) + strlen(key)) AS BIGINT) AS total_bytes,
+  CAST(max(strlen(value) + strlen(key)) AS BIGINT) AS largest,
+  CAST(sum(strlen(value) + strlen(key)) AS BIGINT) // count(*) AS average_bytes
+FROM records GROUP BY source""",
     "document_json": _JSON + "SELECT _id, json FROM texts",
     "dead_letters": _JSON
     + """
