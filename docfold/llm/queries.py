@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from docfold.llm import decontamination, simhash
+from docfold.llm import decontamination, simhash, warc
 from docfold.llm.common import table
+from docfold.session import work_folder
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,7 +21,21 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_folder(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), folder)
+    page = lambda c: F.regexp_extract(c, r"<urn:page:(-?\d+)>", 1).try_cast("long")
+    return warc.read(spark, folder, payload=False).select(
+        page("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        page("refers_to").alias("refers_to"),
+    )
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op10_warc": op10_warc,
 }

@@ -35,4 +35,16 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM docs LEFT JOIN words USING (r) LEFT JOIN named USING (r)
 """
 
-SQL = {"op1_decontamination": OP1}
+OP10 = """
+WITH rows AS (
+  SELECT page_id, coalesce(html, '') AS body, octet_length(encode(coalesce(html, ''))) AS n FROM pages
+), firsts AS (
+  SELECT body, max(page_id) AS first, count(*) AS copies FROM rows WHERE n >= 1000 GROUP BY body
+)
+SELECT page_id, n AS payload_bytes, sha1(body) AS payload_digest,
+       CASE WHEN first IS NULL OR page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM rows LEFT JOIN firsts USING (body)
+"""
+
+SQL = {"op1_decontamination": OP1, "op10_warc": OP10}
