@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docfold.llm import decontamination, simhash, warc
+from docfold.llm import decontamination, secrets, simhash, warc
 from docfold.llm.common import table
 from docfold.session import work_folder
 
@@ -17,6 +17,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("starts", "ends")
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents")).drop("found")
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -36,6 +40,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op4_secret_scan": op4_secret_scan,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op10_warc": op10_warc,
 }
