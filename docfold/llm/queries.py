@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docfold.llm import decontamination, quality, secrets, simhash, warc
+from docfold.llm import decontamination, quality, secrets, simhash, toxicity, warc
 from docfold.llm.common import table
 from docfold.session import work_folder
 
@@ -25,6 +25,10 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -46,6 +50,7 @@ QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op4_secret_scan": op4_secret_scan,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
     "op10_warc": op10_warc,
 }
