@@ -105,8 +105,9 @@ def near_duplicates(
 ) -> DataFrame:
     """Per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id."""
     found = materialize(fingerprints(docs.select("doc_id", "text"), shingle_words), "simhash")
-    found = found.join(classes(found, max_distance), "fp")
-    return found.select(
+    # As a table, so that the join below has two shuffled sides and a hot fingerprint can be split.
+    reached = materialize(classes(found, max_distance), "simhash-classes")
+    return found.join(reached, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
