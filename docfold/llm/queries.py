@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docfold.llm import decontamination, quality, secrets, simhash, toxicity, warc
+from docfold.llm import decontamination, packing, quality, secrets, simhash, toxicity, warc
 from docfold.llm.common import table
 from docfold.session import work_folder
 
@@ -17,6 +17,13 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("starts", "ends")
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.tokenized(table(spark, sf_dir, "documents"))
+    # The ids stay in their table; only their digest goes through the shuffle.
+    pieces = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.place(pieces)
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents")).drop("found")
 
@@ -48,6 +55,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_best_fit_packing": op2_best_fit_packing,
     "op4_secret_scan": op4_secret_scan,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op8_toxicity": op8_toxicity,
