@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docfold.llm import decontamination, packing, quality, secrets, simhash, toxicity, warc
+from docfold.llm import decontamination, packing, quality, secrets, simhash, topk, toxicity, warc
 from docfold.llm.common import table
 from docfold.session import work_folder
 
@@ -24,6 +24,11 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.place(pieces)
 
 
+def op3_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return topk.top_k(rows, rows.where("vec_id % 100 = 0"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents")).drop("found")
 
@@ -56,6 +61,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_exact_top_k": op3_exact_top_k,
     "op4_secret_scan": op4_secret_scan,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op8_toxicity": op8_toxicity,

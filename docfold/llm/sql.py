@@ -35,6 +35,24 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM docs LEFT JOIN words USING (r) LEFT JOIN named USING (r)
 """
 
+OP3 = """
+WITH rows AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])), 0)::BIGINT AS score
+  FROM rows q JOIN rows c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 100 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+  FROM scores
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
 OP10 = """
 WITH rows AS (
   SELECT page_id, coalesce(html, '') AS body, octet_length(encode(coalesce(html, ''))) AS n FROM pages
@@ -47,4 +65,4 @@ SELECT page_id, n AS payload_bytes, sha1(body) AS payload_digest,
 FROM rows LEFT JOIN firsts USING (body)
 """
 
-SQL = {"op1_decontamination": OP1, "op10_warc": OP10}
+SQL = {"op1_decontamination": OP1, "op3_exact_top_k": OP3, "op10_warc": OP10}
