@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docfold.llm import decontamination, packing, quality, secrets, simhash, topk, toxicity, urls, warc
+from docfold.llm import decontamination, packing, passages, quality, secrets, simhash, topk, toxicity, urls, warc
 from docfold.llm.common import table
 from docfold.session import work_folder
 
@@ -41,6 +41,10 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages")).drop("host_words")
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.by_document(passages.duplicates(table(spark, sf_dir, "documents")))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -69,6 +73,7 @@ QUERIES = {
     "op4_secret_scan": op4_secret_scan,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_url_filter": op6_url_filter,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
     "op10_warc": op10_warc,
