@@ -82,12 +82,12 @@ def actions(bronze: DataFrame, spec: DocumentSpec, slice_rows: int = SLICE_ROWS)
 def bundle_events(rows: DataFrame, spec: DocumentSpec) -> DataFrame:
     """Committed rows split by affected entity.
 
-    Adds ``bundle_id``: the transaction, or the row itself when it has none. Long form keeps a
+    Adds ``bundle_id``: the transaction, or the row itself when it has none. A row is named by its
+    position, table and id, because all rows of a snapshot have one position. Long form keeps a
     transaction of any size spread over tasks; the order inside a bundle is ``seq``.
     """
-    bundle = F.coalesce(
-        F.concat(F.lit("txn:"), "txn_id"), F.concat(F.lit("row:"), F.col("seq").cast("string"))
-    )
+    row = F.concat_ws(":", F.lit("row"), "seq", "source", F.coalesce("row_id", F.lit("")))
+    bundle = F.coalesce(F.concat(F.lit("txn:"), "txn_id"), row)
     return routing.affected(rows, spec).withColumn("bundle_id", bundle)
 
 

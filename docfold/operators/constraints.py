@@ -58,6 +58,8 @@ CUSTOMER_RULES = {
             "postal_code",
             "country_code",
             "valid_from",
+            "created_at",
+            "updated_at",
         ),
         domains={"address_type": ADDRESS_TYPES},
         lengths={"country_code": 2},
@@ -66,7 +68,15 @@ CUSTOMER_RULES = {
     ),
     "customer_contacts": TableRules(
         key="id",
-        not_null=("id", "customer_id", "contact_type", "contact_value", "is_primary"),
+        not_null=(
+            "id",
+            "customer_id",
+            "contact_type",
+            "contact_value",
+            "is_primary",
+            "created_at",
+            "updated_at",
+        ),
         domains={"contact_type": CONTACT_TYPES},
         unique=(("id",), ("customer_id", "contact_type", "contact_value")),
         unique_where=(("is_primary", ("customer_id", "contact_type")),),
@@ -80,6 +90,7 @@ CUSTOMER_RULES = {
             "marketing_sms_opt_in",
             "paperless_statements",
             "notification_channels",
+            "updated_at",
         ),
         unique=(("customer_id",),),
         owner="customer_id",

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from docfold.operators.skew import SLICE_ROWS, attach, split_hot
+from docfold.operators.skew import SLICE_ROWS, split_hot
 from docfold.session import materialize
 from docfold.spec import DOCUMENT_LIMIT_BYTES, DocumentSpec
 
@@ -150,15 +150,9 @@ def document_log(events: DataFrame, spec: DocumentSpec, width: int | None = None
     ).drop("root_code", "known_root")
 
 
-def as_of(events: DataFrame, seq: int) -> DataFrame:
-    """Events of the bundles that were complete up to ``seq``; fold them for a past state."""
-    kept = materialize(events, "events")
-    ends = (
-        kept.groupBy("bundle_id", "entity_id")
-        .agg(F.max("seq").alias("bundle_seq"), F.count("*").alias("n_events"))
-        .filter(F.col("bundle_seq") <= seq)
-        .select(F.struct("bundle_id", "entity_id").alias("part_of"), "n_events")
-    )
-    tagged = kept.withColumn("part_of", F.struct("bundle_id", "entity_id"))
-    past = attach(tagged, materialize(ends, "ends"), "part_of", "n_events", ["seq"])
-    return past.select(*events.columns)
+def as_of(bronze: DataFrame, seq: int) -> DataFrame:
+    """The log as it was at ``seq``; fold it for a past state.
+
+    Rows and END markers are cut alike, so a transaction that was not complete then shows nothing.
+    """
+    return bronze.filter(F.col("seq") <= seq)

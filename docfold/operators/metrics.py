@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -22,16 +23,32 @@ def workload_profile(bronze: DataFrame) -> DataFrame:
     return records.withColumn("average_bytes", F.floor(F.col("total_bytes") / F.col("records")))
 
 
-def transaction_sizes(rows: DataFrame, accuracy: int = 100_000) -> DataFrame:
+def ranked_summary(values: DataFrame, column: str, quantiles: dict[str, float]) -> DataFrame:
+    """One row: ``n``, ``total``, the named quantiles and ``largest`` of a whole-number column.
+
+    A quantile is the smallest value whose share of all values up to it reaches it, whatever the
+    number of values: values are counted first, and ranks are running sums over the distinct ones.
+    """
+    counts = values.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_c"))
+    running = F.sum("_c").over(W.orderBy(column).rowsBetween(W.unboundedPreceding, 0))
+    ranks = counts.select(column, "_c", running.alias("_r"), F.sum("_c").over(W.partitionBy()).alias("_n"))
+    return ranks.agg(
+        F.coalesce(F.max("_n"), F.lit(0)).alias("n"),
+        F.sum(F.col(column) * F.col("_c")).alias("total"),
+        *[
+            F.min(F.when(F.col("_r") >= F.col("_n") * q, F.col(column))).alias(name)
+            for name, q in quantiles.items()
+        ],
+        F.max(column).alias("largest"),
+    )
+
+
+def transaction_sizes(rows: DataFrame) -> DataFrame:
     """One row: transactions, rows, and median, 95th and 99th percentile of rows per transaction."""
-    sizes = rows.filter("txn_id is not null").groupBy("txn_id").agg(F.count("*").alias("n"))
-    return sizes.agg(
-        F.count("*").alias("transactions"),
-        F.sum("n").alias("rows"),
-        F.percentile_approx("n", 0.5, accuracy).alias("p50"),
-        F.percentile_approx("n", 0.95, accuracy).alias("p95"),
-        F.percentile_approx("n", 0.99, accuracy).alias("p99"),
-        F.max("n").alias("largest"),
+    sizes = rows.filter("txn_id is not null").groupBy("txn_id").agg(F.count("*").alias("size"))
+    quantiles = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+    return ranked_summary(sizes, "size", quantiles).select(
+        F.col("n").alias("transactions"), F.col("total").alias("rows"), *quantiles, "largest"
     )
 
 

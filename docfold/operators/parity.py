@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docfold.operators.metrics import ranked_summary
+
 
 def count_parity(source: DataFrame, replica: DataFrame) -> DataFrame:
     """One row: both counts, their difference and whether they agree."""
@@ -44,12 +46,24 @@ def field_diff(expected: DataFrame, actual: DataFrame, key: str) -> DataFrame:
 
 
 def stale(
-    differences: DataFrame, source: DataFrame, key: str, changed: str, as_of: Column, lag_seconds: int
+    differences: DataFrame,
+    source: DataFrame,
+    replica: DataFrame,
+    key: str,
+    changed: str,
+    as_of: Column,
+    lag_seconds: int,
 ) -> DataFrame:
-    """Differences whose source row is older than the allowed lag, with its age."""
-    age = F.unix_seconds(as_of) - F.unix_seconds(changed)
-    aged = source.select(key, age.alias("age_seconds")).filter(F.col("age_seconds") > lag_seconds)
-    return differences.join(aged, key)
+    """Differences older than the allowed lag, with their age.
+
+    The age is that of the source row, or of the replica's document where the source has none.
+    ``changed`` names the time in both frames; a difference without a time stays, with no age.
+    """
+    found = differences.join(source.select(key, F.col(changed).alias("_s")), key, "left")
+    found = found.join(replica.select(key, F.col(changed).alias("_r")), key, "left")
+    age = F.unix_seconds(as_of) - F.unix_seconds(F.coalesce("_s", "_r"))
+    aged = found.withColumn("age_seconds", age).drop("_s", "_r")
+    return aged.filter(F.col("age_seconds").isNull() | (F.col("age_seconds") > lag_seconds))
 
 
 def sample(frame: DataFrame, key: str, one_in: int) -> DataFrame:
@@ -63,9 +77,16 @@ def repair_list(differences: DataFrame, key: str) -> DataFrame:
 
 
 def repair_outputs(outputs: DataFrame, repairs: DataFrame, key: str = "_id") -> DataFrame:
-    """The outputs of the fold for the ids to repair: the next batch of the sink."""
+    """The next batch of the sink: the fold's outputs for the ids to repair, markers for extra ones.
+
+    An id the fold has no output for does not exist in the source, so its document has to go.
+    """
     wanted = repairs.select(F.col(repairs.columns[0]).cast("string").alias(key))
-    return outputs.join(wanted, key, "left_semi")
+    extra = wanted.join(outputs.select(key), key, "left_anti").select(
+        key, F.lit(True).alias("deleted")
+    )
+    found = outputs.join(wanted, key, "left_semi")
+    return found.unionByName(extra, allowMissingColumns=True)
 
 
 def lag(source: DataFrame, replica: DataFrame, key: str) -> DataFrame:
@@ -75,19 +96,9 @@ def lag(source: DataFrame, replica: DataFrame, key: str) -> DataFrame:
     )
 
 
-def lag_summary(lags: DataFrame, accuracy: int = 100_000) -> DataFrame:
-    """One row: count, median, 95th and 99th percentile and maximum of the lag.
-
-    Percentiles are sketches of bounded size; below ``accuracy`` values they are exact.
-    """
-
-    def quantile(q: float) -> Column:
-        return F.percentile_approx("lag_millis", q, accuracy)
-
-    return lags.agg(
-        F.count("*").alias("n"),
-        quantile(0.5).alias("p50"),
-        quantile(0.95).alias("p95"),
-        quantile(0.99).alias("p99"),
-        F.max("lag_millis").alias("longest"),
+def lag_summary(lags: DataFrame) -> DataFrame:
+    """One row: count, median, 95th and 99th percentile (exact ranks) and maximum of the lag."""
+    quantiles = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+    return ranked_summary(lags, "lag_millis", quantiles).select(
+        "n", *quantiles, F.col("largest").alias("longest")
     )

@@ -25,10 +25,10 @@ MEMBERS = (
 )
 STORED = f"_id string, deleted boolean, {MEMBERS}, after struct<{MEMBERS.replace(' string', ': string')}>"
 ADDRESS = (
-    "array<struct<type: string, line1: string, line2: string, city: string, region: string,"
-    " postalCode: string, countryCode: string, validFrom: string, validTo: string>>"
+    "type string, line1 string, line2 string, city string, region string,"
+    " postalCode string, countryCode string, validFrom string, validTo string"
 )
-CONTACT = "array<struct<type: string, value: string, isPrimary: boolean, verifiedAt: string>>"
+CONTACT = "type string, value string, isPrimary boolean, verifiedAt string"
 
 
 def to_instant(value: Column) -> Column:
@@ -72,9 +72,16 @@ def profile(value: Column) -> Column:
     )
 
 
+def _objects(value: Column, schema: str) -> Column:
+    """The objects of a JSON array; elements of other kinds are dropped, and so is no array."""
+    items = F.coalesce(F.from_json(value, "array<string>"), F.array())
+    objects = F.filter(items, lambda e: json_object(e).isNotNull())
+    return F.transform(objects, lambda e: F.from_json(e, schema))
+
+
 def addresses(value: Column) -> Column:
     """Addresses of known types."""
-    parsed = F.coalesce(F.from_json(value, ADDRESS), F.array())
+    parsed = _objects(value, ADDRESS)
 
     def shape(a: Column) -> Column:
         return F.struct(
@@ -94,7 +101,7 @@ def addresses(value: Column) -> Column:
 
 def contacts(value: Column) -> Column:
     """Contacts of known types."""
-    parsed = F.coalesce(F.from_json(value, CONTACT), F.array())
+    parsed = _objects(value, CONTACT)
 
     def shape(c: Column) -> Column:
         verified = c["verifiedAt"]
@@ -160,7 +167,7 @@ def from_tables(docs: DataFrame) -> DataFrame:
     The income is a number there, so it shows without trailing zeros; stored documents hold text.
     """
     income = F.col("profile.annualIncome").cast("string")
-    shortened = F.regexp_replace(income, r"\.?0+$", "")
+    shortened = F.regexp_replace(F.regexp_replace(income, r"(\.\d*?)0+$", "$1"), r"\.$", "")
     docs = docs.withColumn("profile", F.col("profile").withField("annualIncome", shortened))
 
     def as_json(name: str) -> Column:

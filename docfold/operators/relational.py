@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docfold.operators.numbering import dense_number
-from docfold.operators.skew import sized, split_hot
-from docfold.session import materialize
+from docfold.operators.skew import sized
 from docfold.spec import DOCUMENT_LIMIT_BYTES, Child, DocumentSpec
 
 PAGE_SIZE = 10
@@ -29,7 +28,7 @@ def _renamed(child: Child) -> Column:
 
 
 def elements(tables: dict[str, DataFrame], spec: DocumentSpec) -> DataFrame:
-    """The rows of all collections in one frame, one column per collection, with JSON bytes."""
+    """The rows of all collections in one frame, one column per collection."""
     frames = []
     for child in spec.collections:
         frames.append(
@@ -37,7 +36,6 @@ def elements(tables: dict[str, DataFrame], spec: DocumentSpec) -> DataFrame:
                 F.col(spec.owner_key),
                 F.col(spec.row_key).alias("row_id"),
                 _element(child, spec).alias(child.part),
-                (F.octet_length(F.to_json(_renamed(child))) + 1).alias("size"),
             )
         )
     union = frames[0]
@@ -46,19 +44,16 @@ def elements(tables: dict[str, DataFrame], spec: DocumentSpec) -> DataFrame:
     return union
 
 
-def relational_documents(
-    tables: dict[str, DataFrame], spec: DocumentSpec, limit: int = DOCUMENT_LIMIT_BYTES
-) -> DataFrame:
+def relational_documents(tables: dict[str, DataFrame], spec: DocumentSpec) -> DataFrame:
     """One row per root row with its singletons as structs and its collections as ordered arrays.
 
-    Collections are grouped before the join, both in one shuffle. Roots whose collections exceed one
-    document are left out here and listed by ``oversized_roots``; their rows are in the tables.
+    Collections are grouped before the join, both in one shuffle. A part without rows is there and
+    empty. Every root is there whatever its size: the limit of a document belongs to the
+    store, and ``oversized_roots`` lists what the store would not take.
     """
     parts = [c.part for c in spec.collections]
     rows = elements(tables, spec)
-    sizes = materialize(sized(rows, spec.owner_key, "size"), "sizes")
-    fitting, _ = split_hot(rows, sizes, spec.owner_key, "total_bytes", limit)
-    grouped = fitting.groupBy(spec.owner_key).agg(*[F.collect_list(p).alias(p) for p in parts])
+    grouped = rows.groupBy(spec.owner_key).agg(*[F.collect_list(p).alias(p) for p in parts])
     ordered = grouped.select(
         spec.owner_key,
         *[
@@ -69,24 +64,27 @@ def relational_documents(
     docs = tables[spec.root]
     for child in spec.singletons:
         single = tables[child.table].select(spec.owner_key, _renamed(child).alias(child.part))
+        kind = single.schema[child.part].dataType
         docs = docs.join(single, docs[spec.root_key] == single[spec.owner_key], "left").drop(
             spec.owner_key
         )
+        nothing = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in kind])
+        docs = docs.withColumn(child.part, F.coalesce(child.part, nothing))
     docs = docs.join(ordered, docs[spec.root_key] == ordered[spec.owner_key], "left").drop(
         spec.owner_key
     )
     for child in spec.collections:
         docs = docs.withColumn(child.part, F.coalesce(child.part, F.array()))
-    over = sizes.filter(F.col("total_bytes") > limit).select(F.col(spec.owner_key).alias("_over"))
-    return docs.join(over, docs[spec.root_key] == over["_over"], "left_anti")
+    return docs
 
 
 def oversized_roots(
     tables: dict[str, DataFrame], spec: DocumentSpec, limit: int = DOCUMENT_LIMIT_BYTES
 ) -> DataFrame:
-    """Roots whose collections alone exceed one document."""
-    sizes = sized(elements(tables, spec), spec.owner_key, "size")
-    return sizes.filter(F.col("total_bytes") > limit)
+    """Roots whose collections alone exceed one document of the store."""
+    shown = [F.octet_length(F.to_json(f"{c.part}.part")) for c in spec.collections]
+    rows = elements(tables, spec).withColumn("size", F.coalesce(*shown) + 1)
+    return sized(rows, spec.owner_key, "size").filter(F.col("total_bytes") > limit)
 
 
 def page_number(value: object) -> int:

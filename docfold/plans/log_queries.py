@@ -133,8 +133,7 @@ def final_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def documents_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     half = mapping.table(spark, sf_dir, "events").agg((F.max("event_id") / 2)).scalar()
-    events = fold.as_of(_actions(spark, sf_dir), half)
-    return flat_outputs(engine.outputs_of(engine.state_of(events, SPEC), SPEC))
+    return flat_outputs(engine.final_outputs(fold.as_of(mapping.change_log(spark, sf_dir), half), SPEC))
 
 
 def delete_markers(spark: SparkSession, sf_dir: str) -> DataFrame:

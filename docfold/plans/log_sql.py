@@ -59,7 +59,7 @@ acts_all AS (
 
 COMMITTED = """,
 acts AS (
-  SELECT a.*, coalesce('txn:' || a.txn, 'row:' || CAST(a.seq AS VARCHAR)) AS bundle_id
+  SELECT a.*, coalesce('txn:' || a.txn, 'row:' || CAST(a.seq AS VARCHAR) || ':' || a.source || ':' || coalesce(CAST(a.row_id AS VARCHAR), '')) AS bundle_id
   FROM acts_all a
   WHERE a.txn IS NULL OR a.txn IN (SELECT txn FROM progress WHERE status = 'complete'))
 """
@@ -209,13 +209,16 @@ FROM v WHERE action = 'put'""",
     "documents_as_of": "WITH"
     + LOG
     + AFFECTED
-    + COMMITTED
     + """,
+cut AS (SELECT max(event_id) / 2 AS c FROM events),
+early_counted AS (
+  SELECT txn, count(*) AS seen FROM log, cut WHERE txn IS NOT NULL AND seq <= c GROUP BY txn),
+early_complete AS (
+  SELECT k.txn FROM early_counted k JOIN markers m ON m.txn = k.txn AND m.expected = k.seen, cut
+  WHERE m.seq <= c),
 early AS (
-  SELECT a.* FROM acts a
-  JOIN (SELECT bundle_id, entity_id, max(seq) AS bundle_seq FROM acts GROUP BY ALL) b
-    ON b.bundle_id = a.bundle_id AND b.entity_id = a.entity_id
-  WHERE b.bundle_seq <= (SELECT max(event_id) / 2 FROM events))"""
+  SELECT a.* FROM acts_all a, cut
+  WHERE a.seq <= c AND (a.txn IS NULL OR a.txn IN (SELECT txn FROM early_complete)))"""
     + FOLD.format(acts="early")
     + DOCS,
     "delete_markers": STATE

@@ -179,13 +179,23 @@ FROM (SELECT count(*) AS s, count(*) FILTER (WHERE c_custkey % 101 <> 0)
     "field_parity": _DIFF + "SELECT id, difference FROM diff",
     "stale_mismatches": _DIFF
     + """
-SELECT d.id, d.difference, age AS age_seconds FROM diff d JOIN (
-  SELECT id, epoch_us(TIMESTAMP '2024-01-25') // 1000000 - epoch_us(updated_at) // 1000000 AS age
-  FROM customers) c ON c.id = d.id WHERE age > 864000""",
+SELECT id, difference, age AS age_seconds FROM (
+  SELECT d.id, d.difference, epoch_us(TIMESTAMP '2024-01-25') // 1000000 - epoch_us(t.stamp) // 1000000 AS age
+  FROM diff d JOIN (
+    SELECT id, updated_at AS stamp FROM customers
+    UNION ALL SELECT id + 1000000000, max(stamp) FROM (
+      SELECT id, updated_at AS stamp FROM customers
+      UNION ALL SELECT customer_id, updated_at FROM customer_profiles
+      UNION ALL SELECT customer_id, updated_at FROM customer_addresses
+      UNION ALL SELECT customer_id, updated_at FROM customer_contacts
+      UNION ALL SELECT customer_id, updated_at FROM customer_preferences) GROUP BY id) t ON t.id = d.id)
+WHERE age > 864000""",
     "sampled_parity": _DIFF + "SELECT id, difference FROM diff WHERE id % 7 = 0",
     "repair_list": _DIFF
     + """
-SELECT CAST(id AS VARCHAR) AS _id, status FROM customers WHERE id IN (SELECT id FROM diff)""",
+SELECT CAST(id AS VARCHAR) AS _id, false AS deleted, status FROM customers
+WHERE id IN (SELECT id FROM diff)
+UNION ALL SELECT CAST(id AS VARCHAR), true, NULL FROM diff WHERE difference = 'extra'""",
     "replication_lag": """
 SELECT count(*) AS n, quantile_disc(l, 0.5) AS p50, quantile_disc(l, 0.95) AS p95,
   quantile_disc(l, 0.99) AS p99, max(l) AS longest

@@ -214,7 +214,8 @@ def newest_per_row(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Keep the newest action per row of one Arrow batch, and its newest removal."""
     keys = ["entity_id", "source", "row_id"]
     for batch in batches:
-        removed = batch["seq"].where(batch["action"] == "remove").astype("Int64")
+        # Nullable whole numbers: a float would round positions beyond 2^53.
+        removed = batch["seq"].astype("Int64").where(batch["action"] == "remove")
         batch = batch.assign(removed_seq=removed)
         batch["removed_seq"] = batch.groupby(keys)["removed_seq"].transform("max")
         yield batch.sort_values("seq").drop_duplicates(keys, keep="last")

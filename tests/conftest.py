@@ -40,7 +40,7 @@ class Log:
     def root(self, cid, op="c", txn=None, seq=None, **columns):
         if op == "d":
             return self.row("customers", {"id": cid}, "d", {"id": cid}, None, txn, seq)
-        image = {"id": cid, "customer_number": f"CUS-{cid}", "first_name": "Ada"}
+        image = {"id": cid, "customer_number": f"CUS-{cid}", "first_name": "Mirela"}
         return self.row("customers", {"id": cid}, op, None, {**image, **columns}, txn, seq)
 
     def end(self, txn, count, status="END", seq=None):

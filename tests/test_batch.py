@@ -120,25 +120,50 @@ def test_history_ends_with_the_current_state(spark):
 
 def test_past_state(spark, log):
     log.root(1, "r", status="first").root(1, "u", status="second").root(1, "d")
-    events = materialize(assembly.actions(log.frame(spark), SPEC), "events")
     status = [
-        as_json(engine.outputs_of(engine.state_of(fold.as_of(events, seq), SPEC), SPEC))["1"]
+        as_json(engine.final_outputs(fold.as_of(log.frame(spark), seq), SPEC))["1"]
         for seq in (0, 1, 2)
     ]
     assert [s.get("status") for s in status] == ["first", "second", None]
     assert status[2] == {"_id": "1", "deleted": True}
 
 
+def test_past_state_shows_no_half_transactions(spark, log):
+    log.root(1, "c", "5:1", seq=10)
+    log.root(2, "c", "5:2", seq=20).end("5", 2, seq=21)
+    shown = [
+        set(as_json(engine.final_outputs(fold.as_of(log.frame(spark), seq), SPEC)))
+        for seq in (10, 15, 20, 21)
+    ]
+    assert shown == [set(), set(), set(), {"1", "2"}]
+
+
+def test_snapshot_rows_are_bundles_of_their_own(spark, log):
+    for i in range(5):
+        log.row("customer_contacts", {"id": i}, "r", after={"id": i, "customer_id": 1}, seq=0)
+    log.root(1, "r", seq=0)
+    events = assembly.actions(log.frame(spark), SPEC)
+    assert events.select("bundle_id").distinct().count() == 6
+
+
+def test_records_without_a_source_are_set_aside(spark, log):
+    log.root(1, "c", "5:1").end("5", 1)
+    log.add(None, {"id": 1}, {"op": "c", "after": {"id": 9}, "transaction": {"id": "5:2"}})
+    decoded = routing.decode(log.frame(spark), SPEC)
+    assert [r["error"] for r in routing.malformed(decoded).collect()] == ["record has no source"]
+    assert set(as_json(engine.final_outputs(log.frame(spark), SPEC))) == {"1"}
+
+
 def test_bundles_keep_first_seen_order(spark):
-    events = assembly.actions(scenarios.build().frame(spark), SPEC).filter("txn_id = '800'")
+    events = assembly.actions(scenarios.build().frame(spark), SPEC).filter("txn_id = 't61'")
     rows = assembly.bundles(events).orderBy("first_seq").collect()
     assert [r["entity_id"] for r in rows] == ["11", "12"]
 
 
 def test_ids_are_read_from_text_before_the_colon(spark):
-    frame = spark.createDataFrame([("742:100",), ("742",), (":9",), ("  ",), (None,)], "t string")
+    frame = spark.createDataFrame([("b5:100",), ("b5",), (":9",), ("  ",), (None,)], "t string")
     got = [r[0] for r in frame.select(routing.normalized_transaction(F.col("t"))).collect()]
-    assert got == ["742", "742", "", None, None]
+    assert got == ["b5", "b5", "", None, None]
 
 
 def test_strict_decoding_fails_on_bad_input(spark, log):

@@ -7,8 +7,8 @@ from docfold.operators import validation as v
 
 VALID = {
     "customerNumber": " C-1 ",
-    "firstName": "Ada",
-    "lastName": "Lovelace",
+    "firstName": "Mirela",
+    "lastName": "Tandoni",
     "dateOfBirth": "",
     "status": "active",
     "profile": {

@@ -81,7 +81,7 @@ def test_page_numbers():
 def test_stored_documents(spark):
     docs = [
         {"_id": "1", "id": 1, "profile": '{"riskRating":"high"}', "status": "inactive"},
-        {"_id": {"id": 2}, "after": {"first_name": "Ada", "addresses": [{"type": "boat"}]}},
+        {"_id": {"id": 2}, "after": {"first_name": "Mirela", "addresses": [{"type": "boat"}]}},
         {"_id": "3", "deleted": True},
         {"_id": "4", "deleted": False, "contacts": [{"type": "email", "isPrimary": "true"}]},
     ]
@@ -89,7 +89,7 @@ def test_stored_documents(spark):
     rows = {r["id"]: r for r in readmodel.from_store(frame).collect()}
     assert set(rows) == {"1", "2", "4"}
     assert rows["1"]["profile"]["riskRating"] == "high" and rows["1"]["status"] == "inactive"
-    assert rows["2"]["firstName"] == "Ada" and rows["2"]["addresses"] == []
+    assert rows["2"]["firstName"] == "Mirela" and rows["2"]["addresses"] == []
     assert rows["2"]["status"] == "active" and rows["2"]["updatedAt"] == ""
     assert rows["4"]["contacts"][0]["isPrimary"] is False
     assert rows["4"]["preferences"]["paperlessStatements"] is True
