@@ -8,7 +8,13 @@ from pyspark.sql import functions as F
 from docfold.functions.values import computed_once, instant, iso_instant, render
 from docfold.operators.skew import sized, split_hot
 from docfold.session import materialize
-from docfold.spec import DOCUMENT_LIMIT_BYTES, Child, DocumentSpec
+from docfold.spec import (
+    DOCUMENT_LIMIT_BYTES,
+    RENDER_SLACK,
+    TOO_LARGE,
+    Child,
+    DocumentSpec,
+)
 
 
 def part(child: Child, image: Column) -> Column:
@@ -132,26 +138,30 @@ def documents(
     spec: DocumentSpec,
     limit: int = DOCUMENT_LIMIT_BYTES,
 ) -> DataFrame:
-    """One nested document per entity with a living root.
+    """One output per entity with a living root: a nested document, or an error (``error``).
 
-    The frames come from ``fold.live_rows``. Entities of the second one are measured exactly; one
-    that a document store would reject gives no document. ``too_large`` lists it, and its rows stay
-    in the long form.
+    The frames come from ``fold.live_rows``. Entities of the second one are measured; one whose rows
+    exceed ``RENDER_SLACK`` times the limit is not rendered: its output has the error and
+    ``total_bytes``, and its rows stay in the long form. Whether a rendered document fits is the
+    sink's to say, by the document.
     """
-    docs = nest(small, spec)
+    none = {"error": F.lit(None).cast("string"), "total_bytes": F.lit(None).cast("bigint")}
+    docs = nest(small, spec).withColumns(none)
     if large is None:
         return docs
     sizes = materialize(measured(large, spec), "sizes")
-    fitting, _ = split_hot(large, sizes, "entity_id", "total_bytes", limit)
-    return docs.unionByName(nest(fitting, spec))
+    fitting, _ = split_hot(large, sizes, "entity_id", "total_bytes", limit * RENDER_SLACK)
+    docs = docs.unionByName(nest(fitting, spec).withColumns(none))
+    return docs.unionByName(errors(sizes, limit), allowMissingColumns=True)
 
 
-def too_large(
-    large: DataFrame, spec: DocumentSpec, limit: int = DOCUMENT_LIMIT_BYTES
-) -> DataFrame:
-    """Entities whose rows alone exceed the document limit: dead letters of the sink."""
-    return measured(large, spec).filter(F.col("total_bytes") > limit).select(
-        F.col("entity_id").alias("_id"), "n_rows", "total_bytes"
+def errors(sizes: DataFrame, limit: int) -> DataFrame:
+    """Outputs of entities that are too large to be rendered."""
+    return sizes.filter(F.col("total_bytes") > limit * RENDER_SLACK).select(
+        F.col("entity_id").alias("_id"),
+        F.lit(False).alias("deleted"),
+        F.lit(TOO_LARGE).alias("error"),
+        "total_bytes",
     )
 
 
@@ -163,16 +173,17 @@ def with_markers(docs: DataFrame, removed: DataFrame) -> DataFrame:
         F.lit(None).cast(docs.schema["document"].dataType).alias("document"),
         F.lit(None).cast("string").alias("root_image"),
     )
-    return docs.unionByName(markers)
+    return docs.unionByName(markers, allowMissingColumns=True)
 
 
 def document_json(spec: DocumentSpec) -> Column:
-    """JSON text of an output row (``_id, deleted, document, root_image``).
+    """JSON text of an output row (``_id, deleted, document, root_image``); null without either.
 
-    Root fields keep an explicit null and are left out when the row never had them; dates and
-    instants of the root are always there. Inside the parts nulls are left out.
+    Root fields keep an explicit null and their JSON type, and are left out when the row never had
+    them; dates and instants of the root are always there. Inside the parts nulls are left out.
     """
     doc, present = F.col("document"), F.json_object_keys("root_image")
+    root = F.try_parse_json("root_image")
 
     def member(name: str, value: Column) -> Column:
         return F.concat(F.lit(f'"{name}":'), value)
@@ -193,6 +204,8 @@ def document_json(spec: DocumentSpec) -> Column:
     for f in spec.root_fields:
         shown = member(f.name, scalar(f.name))
         if f.kind == "plain":
+            own = F.to_json(F.try_variant_get(root, f"$['{f.column}']", "variant"))
+            shown = member(f.name, F.coalesce(own, F.lit("null")))
             shown = F.when(F.array_contains(present, f.column), shown)
         (tail if f.name == "created_at" else members).append(shown)
     for child in spec.children:

@@ -39,7 +39,7 @@ def state_of(
 
 
 def outputs_of(state: State, spec: DocumentSpec, limit: int = DOCUMENT_LIMIT_BYTES) -> DataFrame:
-    """Final documents and delete markers of a folded log."""
+    """Final documents, errors and delete markers of a folded log."""
     docs = documents.documents(state.small, state.large, spec, limit)
     return documents.with_markers(docs, fold.delete_markers(state.entities))
 

@@ -18,6 +18,10 @@ CONTACT_TYPES = ("email", "mobile_phone", "home_phone")
 
 # Fixed value: a document store rejects a document above this size (16 MiB).
 DOCUMENT_LIMIT_BYTES = 16 * 1024 * 1024
+# What a store takes is decided by the rendered document. Row images carry more than that, so an
+# entity is rendered up to this many times the limit; beyond it is an error without being rendered.
+RENDER_SLACK = 4
+TOO_LARGE = "document is too large"
 
 
 @dataclass(frozen=True)

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from docfold.operators import documents, routing
 from docfold.operators.assembly import bundle_events
 from docfold.session import STATE_PROVIDER
-from docfold.spec import DOCUMENT_LIMIT_BYTES, DocumentSpec
+from docfold.spec import DOCUMENT_LIMIT_BYTES, RENDER_SLACK, TOO_LARGE, DocumentSpec
 from docfold.streaming import sinks, stages
 from docfold.streaming.stages import (
     EntityFold,
@@ -75,7 +75,7 @@ def entity_stream(
     )
     newest = acts.mapInPandas(newest_per_row, _ddl(acts.schema) + ", removed_seq bigint")
     folded = newest.groupBy("entity_id").transformWithState(
-        EntityFold(spec.root, limit), EntityFold.OUTPUT, "Append", "None"
+        EntityFold(spec.root, limit * RENDER_SLACK), EntityFold.OUTPUT, "Append", "None"
     )
     images = F.arrays_zip(F.col("sources"), F.col("images"))
     parts = {
@@ -95,7 +95,7 @@ def entity_stream(
         F.when(is_doc, F.col("document")).alias("document"),
         "root_image",
         "version",
-        F.when(F.col("emits") == "too_large", F.lit("document is too large")).alias("error"),
+        F.when(F.col("emits") == "too_large", F.lit(TOO_LARGE)).alias("error"),
         "total_bytes",
     )
 

@@ -8,11 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from docfold.operators.documents import document_json
-from docfold.spec import DOCUMENT_LIMIT_BYTES, DocumentSpec
+from docfold.operators.documents import document_json, nest
+from docfold.spec import CUSTOMER_SPEC, DOCUMENT_LIMIT_BYTES, TOO_LARGE, DocumentSpec
 
 
 def judged(outputs: DataFrame, spec: DocumentSpec, limit: int = DOCUMENT_LIMIT_BYTES) -> DataFrame:
@@ -23,7 +25,7 @@ def judged(outputs: DataFrame, spec: DocumentSpec, limit: int = DOCUMENT_LIMIT_B
     error = (
         F.when(F.col("error").isNotNull(), F.col("error"))
         .when(F.coalesce(F.trim("_id"), F.lit("")) == "", "document has no id")
-        .when(F.col("json_bytes") > limit, "document is too large")
+        .when(F.col("json_bytes") > limit, TOO_LARGE)
     )
     return measured.withColumn("error", error).withColumn(
         "outcome", F.when(F.col("error").isNull(), "stored").otherwise("dead")
@@ -57,15 +59,37 @@ def upsert_batch(
     return write
 
 
-def replica(spark: SparkSession, path: str) -> DataFrame:
+def schema(spark: SparkSession, spec: DocumentSpec = CUSTOMER_SPEC) -> T.StructType:
+    """Columns of the sink's files, with the two its folders are named by."""
+    rows = "entity_id string, source string, row_id string, image string, root_lives boolean"
+    docs = nest(spark.createDataFrame([], rows), spec).schema
+    more = (
+        "version bigint, error string, total_bytes bigint, json_bytes int,"
+        " outcome string, batch_id bigint"
+    )
+    return T.StructType([*docs, *T.StructType.fromDDL(more)])
+
+
+def _read(spark: SparkSession, path: str, spec: DocumentSpec) -> DataFrame:
+    """All outputs; a sink that has none yet, or no folder, is empty."""
+    columns = schema(spark, spec)
+    try:
+        return spark.read.schema(columns).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], columns)
+
+
+def replica(spark: SparkSession, path: str, spec: DocumentSpec = CUSTOMER_SPEC) -> DataFrame:
     """Current content of the sink: the newest stored output per id, delete markers included."""
-    stored = spark.read.parquet(path).filter("outcome = 'stored'")
+    stored = _read(spark, path, spec).filter("outcome = 'stored'")
     return newest_per_id(stored, "batch_id", "version")
 
 
-def dead_letters(spark: SparkSession, path: str) -> DataFrame:
+def dead_letters(spark: SparkSession, path: str, spec: DocumentSpec = CUSTOMER_SPEC) -> DataFrame:
     """Rejected outputs with their error and batch."""
-    return spark.read.parquet(path).filter("outcome = 'dead'").drop("outcome")
+    return _read(spark, path, spec).filter("outcome = 'dead'").drop("outcome")
 
 
 def compact(spark: SparkSession, path: str, target: str) -> None:

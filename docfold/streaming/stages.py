@@ -106,7 +106,8 @@ class EntityFold(StatefulProcessor):
     Input is the newest action per row (``source, row_id, seq, action, image, removed_seq``). An
     older event that arrives late never overwrites a newer one: tombstones keep their ``seq``, and
     everything older than the last root delete is dropped. An entity too large for one document
-    emits only its size.
+    emits only its size. Tombstones are apart from the rows and read by key only, so replaced
+    rows cost a touch of their entity nothing; a root delete drops those it makes needless.
     """
 
     OUTPUT = (
@@ -126,6 +127,7 @@ class EntityFold(StatefulProcessor):
         self.rows = handle.getMapState(
             "rows", "source string, row_id string", "seq bigint, image string"
         )
+        self.gone = handle.getMapState("gone", "source string, row_id string", "seq bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         head = self.head.get() or (-1, None, -1, -1, 0)
@@ -146,14 +148,25 @@ class EntityFold(StatefulProcessor):
             elif row.seq > dead_before:
                 name = (row.source, row.row_id)
                 old = self.rows.getValue(name) if cache is None else cache.get(name)
-                if old is None or row.seq > old[0]:
-                    value = (row.seq, row.image if row.action == "put" else None)
-                    self.rows.updateValue(name, value)
-                    size += _size(value[1]) - (_size(old[1]) if old else 0)
-                    if cache is not None:
-                        cache[name] = value
-                        if size > self.limit:
-                            cache = None
+                buried = None if new or old else self.gone.getValue(name)
+                if row.seq > max(old[0] if old else -1, buried[0] if buried else -1):
+                    size -= _size(old[1]) if old else 0
+                    if row.action == "put":
+                        value = (row.seq, row.image)
+                        self.rows.updateValue(name, value)
+                        size += _size(row.image)
+                        if buried:
+                            self.gone.removeKey(name)
+                        if cache is not None:
+                            cache[name] = value
+                            if size > self.limit:
+                                cache = None
+                    else:
+                        self.gone.updateValue(name, (row.seq,))
+                        if old:
+                            self.rows.removeKey(name)
+                            if cache is not None:
+                                del cache[name]
         if dead_before > died_at:
             size -= self._drop_older(dead_before, cache)
         self.head.update((root_seq, root_image, dead_before, version, size))
@@ -164,7 +177,7 @@ class EntityFold(StatefulProcessor):
                 yield make(key[0], "too_large", version, total, [], [])
             else:
                 live = self.rows.iterator() if cache is None else cache.items()
-                found = [(name[0], value[1]) for name, value in live if value[1] is not None]
+                found = [(name[0], value[1]) for name, value in live]
                 sources = [self.root] + [source for source, _ in found]
                 images = [root_image] + [image for _, image in found]
                 yield make(key[0], "document", version, total, sources, images)
@@ -179,6 +192,8 @@ class EntityFold(StatefulProcessor):
             value = self.rows.getValue(name) if cache is None else cache.pop(name)
             freed += _size(value[1])
             self.rows.removeKey(name)
+        for name in [name for name, (seq,) in self.gone.iterator() if seq <= dead_before]:
+            self.gone.removeKey(name)
         return freed
 
     def close(self) -> None:

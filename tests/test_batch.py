@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from docfold.operators import assembly, documents, engine, fold, routing
 from docfold.session import materialize
 from docfold.spec import CUSTOMER_SPEC as SPEC
+from docfold.streaming import sinks
 
 
 def as_json(outputs):
@@ -55,12 +56,12 @@ def test_small_limits_give_the_same_result(spark):
     events = assembly.actions(frame, SPEC, slice_rows=1)
     state = engine.state_of(events, SPEC, limit=300)
     assert state.large is not None
-    found = as_json(engine.outputs_of(state, SPEC, limit=300))
-    over = {r["_id"] for r in documents.too_large(state.large, SPEC, 300).collect()}
-    assert over and over == set(plain) - set(found)
+    outputs = materialize(engine.outputs_of(state, SPEC, limit=100), "outputs")
+    found = as_json(outputs.filter("error is null"))
+    over = {r["_id"]: r for r in outputs.filter("error is not null").collect()}
+    assert over and set(over) == set(plain) - set(found)
     assert all(found[key] == plain[key] for key in found)
-    measured = {r["_id"]: r for r in documents.too_large(state.large, SPEC, 300).collect()}
-    assert all(r["total_bytes"] > 300 for r in measured.values())
+    assert all(r["total_bytes"] > 400 and r["document"] is None for r in over.values())
     # Nothing is lost: the rows of the large entities are still there in long form.
     assert state.live.count() == engine.state_of(events, SPEC).live.count()
 
@@ -83,10 +84,12 @@ def test_hot_entity_and_hot_transaction(spark, log):
     events = assembly.actions(log.frame(spark), SPEC, slice_rows=10)
     assert events.count() == n + 1 + 28
     state = engine.state_of(events, SPEC, limit=2_000)
-    docs = as_json(engine.outputs_of(state, SPEC, limit=2_000))
+    outputs = materialize(engine.outputs_of(state, SPEC, limit=2_000), "outputs")
+    docs = as_json(outputs.filter("error is null"))
     assert set(docs) == {str(c) for c in range(2, 30)}
-    over = documents.too_large(state.large, SPEC, 2_000).collect()
-    assert [(r["_id"], r["n_rows"]) for r in over] == [("1", n + 1)]
+    assert [r["_id"] for r in outputs.filter("error is not null").collect()] == ["1"]
+    dead = sinks.judged(outputs, SPEC, 2_000).filter("outcome = 'dead'").collect()
+    assert [(r["_id"], r["error"]) for r in dead] == [("1", "document is too large")]
     whole = as_json(engine.final_outputs(log.frame(spark), SPEC))
     assert len(whole["1"]["contacts"]) == n
 
@@ -154,6 +157,12 @@ def test_records_without_a_source_are_set_aside(spark, log):
     assert set(as_json(engine.final_outputs(log.frame(spark), SPEC))) == {"1"}
 
 
+def test_plain_values_keep_their_json_type(spark, log):
+    log.row("customers", {"id": 1}, "c", after={"id": 1, "customer_number": 42, "first_name": True, "status": "7"})
+    doc = as_json(engine.final_outputs(log.frame(spark), SPEC))["1"]
+    assert (doc["id"], doc["customer_number"], doc["first_name"], doc["status"]) == (1, 42, True, "7")
+
+
 def test_bundles_keep_first_seen_order(spark):
     events = assembly.actions(scenarios.build().frame(spark), SPEC).filter("txn_id = 't61'")
     rows = assembly.bundles(events).orderBy("first_seq").collect()

@@ -4,7 +4,7 @@ import random
 import scenarios
 from conftest import Log
 
-from docfold.operators import documents
+from docfold.operators import assembly, documents, engine
 from docfold.session import work_folder
 from docfold.sources.changelog import BRONZE, read_log
 from docfold.spec import CUSTOMER_SPEC as SPEC
@@ -71,7 +71,7 @@ def test_large_entity_goes_to_dead_letters_and_the_rest_passes(spark):
             after={"id": i, "customer_id": 1, "contact_type": "email", "contact_value": "x" * 50},
         )
     base = work_folder(spark, "test-dead")
-    run(spark, base, log.records, limit=1_000)
+    run(spark, base, log.records, limit=600)
     assert set(content(spark, base)) == {"2"}
     dead = sinks.dead_letters(spark, f"{base}/sink").collect()
     assert [(r["_id"], r["error"]) for r in dead] == [("1", "document is too large")]
@@ -91,3 +91,54 @@ def test_malformed_input_is_set_aside(spark):
     query.awaitTermination()
     rows = spark.read.parquet(f"{base}/bad").orderBy("seq").collect()
     assert [(r["seq"], r["bad_value"]) for r in rows] == [(1, "{bad"), (2, "[1]")]
+
+
+def test_size_is_that_of_the_document(spark):
+    """Raw rows above the limit, the rendered document below it: stored, in batch and stream."""
+    log = Log().root(1, "r")
+    for i in range(20):
+        more = {"id": i, "customer_id": 1, "contact_type": "email", "contact_value": f"{i}", "note": "x" * 90}
+        log.row("customer_contacts", {"id": i}, "r", after=more)
+    base = work_folder(spark, "test-size")
+    run(spark, base, log.records, limit=2_000)
+    outputs = engine.outputs_of(
+        engine.state_of(assembly.actions(log.frame(spark), SPEC), SPEC, 2_000), SPEC, 2_000
+    )
+    batch = sinks.judged(outputs, SPEC, 2_000).select("_id", "outcome").collect()
+    assert [tuple(r) for r in batch] == [("1", "stored")]
+    assert set(content(spark, base)) == {"1"}
+
+
+def test_positions_of_a_broker_stay_exact(spark):
+    """A child that is older than its root's delete by less than a float can tell stays dead."""
+    top = 1_700_000_000_000_000_000
+    log = Log().root(1, "r", seq=top)
+    child = {"id": 5, "customer_id": 1, "contact_type": "email"}
+    log.row("customer_contacts", {"id": 5}, "r", after=child, seq=top + 50)
+    log.root(1, "d", seq=top + 100).root(1, "c", seq=top + 150)
+    base = work_folder(spark, "test-exact")
+    run(spark, base, log.records)
+    found = content(spark, base)
+    assert found["1"]["contacts"] == []
+
+
+def test_replaced_rows_and_late_events(spark):
+    """Deleted rows stay deleted for older events, and come back for newer ones."""
+    child = lambda i, v: {"id": i, "customer_id": 1, "contact_type": "email", "contact_value": v}
+    log = Log().root(1, "r", seq=0)
+    for i in range(40):
+        log.row("customer_contacts", {"id": i}, "c", after=child(i, "a"), seq=10 + 2 * i)
+        log.row("customer_contacts", {"id": i}, "d", before=child(i, "a"), seq=11 + 2 * i)
+    first = list(log.records)
+    late = Log().row("customer_contacts", {"id": 3}, "c", after=child(3, "late"), seq=5)
+    late.row("customer_contacts", {"id": 4}, "c", after=child(4, "new"), seq=1_000)
+    late.root(1, "u", seq=1_001)
+    base = work_folder(spark, "test-late")
+    run(spark, base, first)
+    run(spark, base, late.records)
+    assert [c["value"] for c in content(spark, base)["1"]["contacts"]] == ["new"]
+
+
+def test_an_empty_sink_reads_as_empty(spark):
+    assert sinks.replica(spark, work_folder(spark, "nothing")).count() == 0
+    assert sinks.dead_letters(spark, work_folder(spark, "nothing")).count() == 0
