@@ -71,9 +71,11 @@ def committed(rows: DataFrame, transactions: DataFrame, slice_rows: int = SLICE_
     return gated.select(*rows.columns).unionByName(rows.filter(F.col("txn_id").isNull()))
 
 
-def actions(bronze: DataFrame, spec: DocumentSpec, slice_rows: int = SLICE_ROWS) -> DataFrame:
+def actions(
+    bronze: DataFrame, spec: DocumentSpec, slice_rows: int = SLICE_ROWS, strict: bool = False
+) -> DataFrame:
     """Bundle events in long form, one row per committed event and affected entity."""
-    decoded = materialize(routing.decode(bronze, spec), "decoded")
+    decoded = materialize(routing.decode(bronze, spec, strict), "decoded")
     rows = routing.row_events(decoded)
     transactions = materialize(progress(rows, routing.marker_events(decoded)), "progress")
     return bundle_events(committed(rows, transactions, slice_rows), spec)

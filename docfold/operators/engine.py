@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from docfold.operators import assembly, documents, fold
+from docfold.operators import assembly, documents, fold, routing
 from docfold.operators.skew import SLICE_ROWS
 from docfold.session import materialize
 from docfold.spec import DOCUMENT_LIMIT_BYTES, DocumentSpec
@@ -49,6 +49,16 @@ def final_outputs(
     spec: DocumentSpec,
     limit: int = DOCUMENT_LIMIT_BYTES,
     slice_rows: int = SLICE_ROWS,
+    strict: bool = False,
 ) -> DataFrame:
-    """Documents and markers after everything complete in the log."""
-    return outputs_of(state_of(assembly.actions(bronze, spec, slice_rows), spec, limit), spec, limit)
+    """Documents, errors and markers after everything complete in the log.
+
+    Records that can't be read are in ``rejected``; with ``strict`` they fail the job.
+    """
+    events = assembly.actions(bronze, spec, slice_rows, strict)
+    return outputs_of(state_of(events, spec, limit), spec, limit)
+
+
+def rejected(bronze: DataFrame, spec: DocumentSpec) -> DataFrame:
+    """Records of a log that ``final_outputs`` sets aside, with their position and error."""
+    return routing.malformed(routing.decode(bronze, spec))

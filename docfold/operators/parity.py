@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from docfold.functions.values import iso_instant, json_object
 from docfold.operators.metrics import ranked_summary
+from docfold.spec import Child, DocumentSpec, Field
 
 
 def count_parity(source: DataFrame, replica: DataFrame) -> DataFrame:
@@ -23,6 +28,62 @@ def count_parity(source: DataFrame, replica: DataFrame) -> DataFrame:
     )
 
 
+def canonical_tables(docs: DataFrame, spec: DocumentSpec) -> DataFrame:
+    """Every field of ``relational.relational_documents`` as text, one row per root."""
+    return _canonical(docs, spec, lambda f: F.col(f.column))
+
+
+def canonical_store(outputs: DataFrame, spec: DocumentSpec) -> DataFrame:
+    """Every field of stored documents as text; delete markers and errors are none."""
+    docs = outputs.filter("not deleted and document is not null").select("document.*")
+    return _canonical(docs, spec, lambda f: F.col(f.name))
+
+
+def _canonical(
+    docs: DataFrame, spec: DocumentSpec, root_column: Callable[[Field], Column]
+) -> DataFrame:
+    """Root id, then root fields, ``part_field`` of singletons, and collections in one order.
+
+    ``updated_at`` is left out: the tables have the root's own, a document the newest of all rows.
+    """
+    kinds = {f.name: f.dataType for f in docs.schema}
+    fields = [
+        _text(root_column(f), docs.select(root_column(f)).schema[0].dataType).alias(f.name)
+        for f in spec.root_fields
+        if f.column != spec.root_key
+    ]
+    for child in spec.singletons:
+        inner = kinds[child.part]
+        fields += [
+            _text(F.col(child.part)[f.name], inner[f.name].dataType).alias(f"{child.part}_{f.name}")
+            for f in child.fields
+        ]
+    for child in spec.collections:
+        elements = F.array_sort(F.transform(child.part, _element(child, kinds[child.part])))
+        fields.append(F.array_join(elements, ",").alias(child.part))
+    return docs.select(F.col(spec.root_key).cast("bigint").alias(spec.root_key), *fields)
+
+
+def _element(child: Child, kind: T.ArrayType) -> Callable[[Column], Column]:
+    inner = kind.elementType
+
+    def shown(e: Column) -> Column:
+        texts = [_text(e[f.name], inner[f.name].dataType).alias(f.name) for f in child.fields]
+        return F.to_json(F.struct(*texts))
+
+    return shown
+
+
+def _text(value: Column, kind: T.DataType) -> Column:
+    """One text for a value, whichever side it comes from: instants in milliseconds, JSON in one form."""
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return iso_instant(F.timestamp_millis(F.unix_millis(value.cast("timestamp"))))
+    if isinstance(kind, T.StringType):
+        as_json = F.to_json(F.try_parse_json(json_object(value)))
+        return F.coalesce(as_json, value)
+    return value.cast("string")
+
+
 def field_diff(expected: DataFrame, actual: DataFrame, key: str) -> DataFrame:
     """One row per difference: ``missing``, ``extra`` or ``unlike`` with the field name.
 

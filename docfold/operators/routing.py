@@ -24,7 +24,7 @@ def decode(bronze: DataFrame, spec: DocumentSpec, strict: bool = False) -> DataF
 
     Images stay JSON text (object or null) and are read fully only for the rows that win; here
     their ids are taken out. Records without a value are skipped, and ``malformed`` marks values
-    that are no JSON object and records without a source; with ``strict`` the former fail the job. Materialize the result: it is read
+    that are no JSON object and records without source or position; ``strict`` fails on the former. Materialize the result: it is read
     more than once.
     """
     options = {"mode": "FAILFAST"} if strict else {"columnNameOfCorruptRecord": "_bad"}
@@ -34,7 +34,7 @@ def decode(bronze: DataFrame, spec: DocumentSpec, strict: bool = False) -> DataF
     raw = F.when(is_marker, F.col("event.id")).otherwise(F.col("event.transaction.id"))
     before, after = json_object(F.col("event.before")), json_object(F.col("event.after"))
     bad = json_object(F.col("value")).isNull() | F.col("event._bad").isNotNull()
-    bad = bad | F.col("source").isNull()
+    bad = bad | F.col("source").isNull() | F.col("seq").isNull()
     fallback = F.concat_ws(":", F.lit("snapshot"), "source", F.coalesce("key", F.lit("null")))
     return (
         computed_once(bronze.filter(F.col("value").isNotNull()), {"event": event})
@@ -77,9 +77,11 @@ def marker_events(decoded: DataFrame) -> DataFrame:
 
 
 def malformed(decoded: DataFrame) -> DataFrame:
-    """Records without a source, or whose value is no JSON object: input for the dead-letter table."""
-    error = F.when(F.col("source").isNull(), "record has no source").otherwise(
-        "value is no JSON object"
+    """Records without source or position, or whose value is no JSON object, for the dead letters."""
+    error = (
+        F.when(F.col("source").isNull(), "record has no source")
+        .when(json_object(F.col("bad_value")).isNotNull() & F.col("seq").isNull(), "no log position")
+        .otherwise("value is no JSON object")
     )
     return decoded.filter("malformed").select(
         "source", "key", "seq", "at", "bad_value", error.alias("error")

@@ -82,34 +82,21 @@ def latest_feed_event(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _canonical(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Expected documents from the tables, and a replica of them with faults put in by id."""
+    """Expected documents from the tables, and a replica of them with faults put in by id.
+
+    Every field has faults of its own; some documents are missing, and some are there twice.
+    """
     tables = mapping.base_tables(spark, sf_dir)
-    docs = relational.relational_documents(tables, SPEC)
-    fields = {
-        "status": F.col("status"),
-        "customer_number": F.col("customer_number"),
-        "annual_income": F.col("profile.annualIncome").cast("string"),
-        "n_addresses": F.size("addresses"),
-        "contacts": F.array_join(F.array_sort(F.transform("contacts", lambda c: c["value"])), ","),
-    }
-    expected = docs.select("id", *[c.alias(n) for n, c in fields.items()])
-    doc = F.col("document")
-    replica = snapshot_outputs(spark, sf_dir).select(
-        doc["id"].alias("id"),
-        doc["status"].alias("status"),
-        doc["customer_number"].alias("customer_number"),
-        doc["profile"]["annualIncome"].alias("annual_income"),
-        F.size(doc["addresses"]).alias("n_addresses"),
-        F.array_join(F.array_sort(F.transform(doc["contacts"], lambda c: c["value"])), ",").alias(
-            "contacts"
-        ),
-    )
+    expected = parity.canonical_tables(relational.relational_documents(tables, SPEC), SPEC)
+    replica = parity.canonical_store(snapshot_outputs(spark, sf_dir), SPEC)
     replica = materialize(replica, "replica")
-    faulty = replica.filter("id % 101 <> 0").withColumns(
-        {
-            "status": F.expr("case when id % 103 = 0 then 'stale' else status end"),
-            "n_addresses": F.expr("case when id % 107 = 0 then -1 else n_addresses end"),
-        }
+    fields = [c for c in replica.columns if c != "id"]
+    faulty = replica.filter("id % 101 <> 0").select(
+        "id",
+        *[
+            F.when(F.col("id") % 41 == i, F.lit("fault")).otherwise(F.col(c)).alias(c)
+            for i, c in enumerate(fields)
+        ],
     )
     extra = replica.filter("id % 109 = 0").withColumn("id", F.col("id") + 1_000_000_000)
     return expected, faulty.unionByName(extra)

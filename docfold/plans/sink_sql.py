@@ -94,14 +94,24 @@ feed AS (
 """
 )
 
+# Every field of a document.
+_FIELDS = (
+    "customer_number", "first_name", "last_name", "date_of_birth", "status", "created_at",
+    "profile_preferredLanguage", "profile_occupation", "profile_annualIncome",
+    "profile_taxResidencyCountry", "profile_riskRating", "preferences_marketingEmailOptIn",
+    "preferences_marketingSmsOptIn", "preferences_paperlessStatements",
+    "preferences_notificationChannels", "addresses", "contacts",
+)
 _DIFF = (
     "WITH"
     + BASE
     + """,
 diff AS (
   SELECT id, 'missing' AS difference FROM customers WHERE id % 101 = 0
-  UNION ALL SELECT id, 'unlike:status' FROM customers WHERE id % 103 = 0 AND id % 101 <> 0
-  UNION ALL SELECT id, 'unlike:n_addresses' FROM customers WHERE id % 107 = 0 AND id % 101 <> 0
+  UNION ALL SELECT id, 'unlike:' || field FROM customers
+    JOIN (SELECT * FROM (VALUES """
+    + ", ".join(f"({i}, '{name}')" for i, name in enumerate(_FIELDS))
+    + """) AS t(i, field)) ON id % 41 = i WHERE id % 101 <> 0
   UNION ALL SELECT id + 1000000000, 'extra' FROM customers WHERE id % 109 = 0)
 """
 )

@@ -9,6 +9,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Folders of materialized tables that are still there.
+_WRITTEN: list[str] = []
+
 STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -58,9 +61,23 @@ def materialize(frame: DataFrame, purpose: str) -> DataFrame:
     """Write a frame that several later steps read, and read it back.
 
     This cuts the lineage with a table in the shared folder: the work is done once, later readers
-    prune columns and push filters, and their plans know the size.
+    prune columns and push filters, and their plans know the size. ``discard_work`` removes it.
     """
     spark = frame.sparkSession
     folder = work_folder(spark, purpose)
     frame.write.parquet(folder)
+    _WRITTEN.append(folder)
     return spark.read.schema(frame.schema).parquet(folder)
+
+
+def discard_work(spark: SparkSession) -> int:
+    """Remove the tables this process has materialized; call it once their results are stored.
+
+    Frames that still read them can't be used any more. Returns the number of folders.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    removed = 0
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        removed += bool(path.getFileSystem(conf).delete(path, True))
+    return removed

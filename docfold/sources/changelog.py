@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from docfold.spec import MARKER_SOURCE, DocumentSpec
 
-# Ten seconds of a broker log, in units of its ``seq``.
-BROKER_SLICE = 10_000 * 1_000_000
+# A broker log is ordered by the position in the source's own log, in bytes.
+BROKER_SLICE = 64 << 20
 
 BRONZE = "source string, key string, value string, seq bigint, at timestamp"
 
@@ -31,8 +31,7 @@ def read_broker(
 ) -> DataFrame:
     """A bronze log from Kafka topics (needs the Kafka package on the cluster).
 
-    The source is the last part of the topic name. Records of one topic partition are ordered by
-    offset and partitions by record time, so ``seq`` is the time in milliseconds and then the offset.
+    The source is the last part of the topic name; ``seq`` is ``log_position``.
     """
     reader = spark.readStream if streaming else spark.read
     raw = (
@@ -47,11 +46,23 @@ def read_broker(
         F.substring_index("topic", ".", -1).alias("source"),
         F.col("key").cast("string").alias("key"),
         F.col("value").cast("string").alias("value"),
-        (F.unix_millis("timestamp") * 1_000_000 + F.pmod("offset", F.lit(1_000_000))).alias("seq"),
+        log_position(F.col("value").cast("string")).alias("seq"),
         F.col("timestamp").alias("at"),
     )
 
 
+def log_position(value: Column) -> Column:
+    """The place of a record in the source's own log, which orders all tables and partitions alike.
+
+    A row event names it in its source block, a transaction marker behind the colon of its id.
+    Broker times and offsets are no such order: offsets count per partition, and times repeat. A
+    record without a position has a null ``seq`` and is set aside as malformed.
+    """
+    own = F.get_json_object(value, "$.source.lsn")
+    marker = F.substring_index(F.get_json_object(value, "$.id"), ":", -1)
+    return F.coalesce(own.try_cast("bigint"), marker.try_cast("bigint"))
+
+
 def include_tables(bronze: DataFrame, spec: DocumentSpec) -> DataFrame:
     """Only the model's tables and the transaction markers."""
     return bronze.filter(F.col("source").isin(*spec.tables, MARKER_SOURCE))

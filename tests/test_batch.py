@@ -1,11 +1,14 @@
 import json
+import os
 
 import pytest
 import scenarios
 from pyspark.sql import functions as F
 
+from docfold import session
 from docfold.operators import assembly, documents, engine, fold, routing
 from docfold.session import materialize
+from docfold.sources import changelog
 from docfold.spec import CUSTOMER_SPEC as SPEC
 from docfold.streaming import sinks
 
@@ -157,6 +160,36 @@ def test_records_without_a_source_are_set_aside(spark, log):
     assert set(as_json(engine.final_outputs(log.frame(spark), SPEC))) == {"1"}
 
 
+def test_log_positions_order_all_partitions(spark):
+    """The source's own position counts, for rows and markers; without one a record is set aside."""
+    values = [
+        '{"op":"u","after":{"id":1,"first_name":"late"},"source":{"lsn":9007199254740993}}',
+        '{"op":"u","after":{"id":1,"first_name":"early"},"source":{"lsn":9007199254740992}}',
+        '{"status":"END","id":"5:77","event_count":0}',
+        '{"op":"u","after":{"id":2}}',
+    ]
+    sources = ["customers", "customers", "transaction", "customers"]
+    raw = spark.createDataFrame(list(zip(sources, values)), "source string, value string")
+    log = raw.select(
+        "source",
+        F.lit(None).cast("string").alias("key"),
+        "value",
+        changelog.log_position(F.col("value")).alias("seq"),
+        F.lit(None).cast("timestamp").alias("at"),
+    )
+    assert [r.seq for r in log.collect()] == [9007199254740993, 9007199254740992, 77, None]
+    assert as_json(engine.final_outputs(log, SPEC))["1"]["first_name"] == "late"
+    assert [r["error"] for r in engine.rejected(log, SPEC).collect()] == ["no log position"]
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        bad = log.withColumn("value", F.lit("{bad"))
+        engine.final_outputs(bad, SPEC, strict=True).collect()
+
+
+def test_discarded_work_is_gone(spark):
+    folder = materialize(spark.range(3), "test").inputFiles()[0]
+    assert session.discard_work(spark) > 0 and not os.path.exists(folder.removeprefix("file://"))
+
+
 def test_plain_values_keep_their_json_type(spark, log):
     log.row("customers", {"id": 1}, "c", after={"id": 1, "customer_number": 42, "first_name": True, "status": "7"})
     doc = as_json(engine.final_outputs(log.frame(spark), SPEC))["1"]
