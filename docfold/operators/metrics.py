@@ -52,6 +52,27 @@ def transaction_sizes(rows: DataFrame) -> DataFrame:
     )
 
 
+def record_sizes(bronze: DataFrame) -> DataFrame:
+    """One row: records, bytes, and median, 95th and 99th percentile of bytes per record."""
+    size = F.octet_length("value") + F.coalesce(F.octet_length("key"), F.lit(0))
+    sizes = bronze.filter("value is not null").select(size.cast("bigint").alias("size"))
+    quantiles = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+    return ranked_summary(sizes, "size", quantiles).select(
+        F.col("n").alias("records"), F.col("total").alias("total_bytes"), *quantiles, "largest"
+    )
+
+
+def rate_summary(rates: DataFrame) -> DataFrame:
+    """One row from hourly ``write_rate``: hours from first to last, writes, sustained and peak rate."""
+    first, last = F.min("window_start"), F.max("window_start")
+    spanned = (F.unix_seconds(last) - F.unix_seconds(first)) / 3600 + 1
+    return rates.agg(
+        spanned.cast("bigint").alias("hours"),
+        F.sum("writes").alias("writes"),
+        F.max("writes").alias("peak"),
+    ).withColumn("sustained", F.floor(F.col("writes") / F.col("hours")))
+
+
 def write_rate(rows: DataFrame, width: str = "1 hour") -> DataFrame:
     """Row events per tumbling window of event time: sustained against peak."""
     return (

@@ -168,6 +168,14 @@ def write_rate_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rates.select(F.unix_seconds("window_start").alias("window_start"), "writes")
 
 
+def record_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.record_sizes(mapping.change_log(spark, sf_dir))
+
+
+def write_rate_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.rate_summary(metrics.write_rate(routing.row_events(_decoded(spark, sf_dir))))
+
+
 def hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = routing.row_events(_decoded(spark, sf_dir))
     return metrics.hot_keys(assembly.bundle_events(rows, SPEC), 20)
@@ -189,5 +197,7 @@ QUERIES = {
     "workload_profile": workload_profile,
     "transaction_sizes": transaction_sizes,
     "write_rate_hourly": write_rate_hourly,
+    "record_sizes": record_sizes,
+    "write_rate_summary": write_rate_summary,
     "hot_keys": hot_keys,
 }

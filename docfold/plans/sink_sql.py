@@ -219,6 +219,16 @@ FROM counted""",
     "write_rate_hourly": """
 SELECT CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS window_start, count(*) AS writes
 FROM events GROUP BY ALL""",
+    "record_sizes": _RECORDS
+    + """
+SELECT count(*) AS records, CAST(sum(n) AS BIGINT) AS total_bytes, quantile_disc(n, 0.5) AS p50,
+  quantile_disc(n, 0.95) AS p95, quantile_disc(n, 0.99) AS p99, max(n) AS largest
+FROM (SELECT CAST(strlen(value) + strlen(key) AS BIGINT) AS n FROM records)""",
+    "write_rate_summary": """
+SELECT CAST((epoch(max(h)) - epoch(min(h))) / 3600 + 1 AS BIGINT) AS hours,
+  CAST(sum(n) AS BIGINT) AS writes, max(n) AS peak,
+  CAST(sum(n) AS BIGINT) // CAST((epoch(max(h)) - epoch(min(h))) / 3600 + 1 AS BIGINT) AS sustained
+FROM (SELECT date_trunc('hour', ts) AS h, count(*) AS n FROM events GROUP BY ALL)""",
     "hot_keys": "WITH"
     + LOG
     + AFFECTED

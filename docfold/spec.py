@@ -1,6 +1,8 @@
 """The document model as plain data: which table feeds which part of the document.
 
-Operators read this description, so a different model needs a new ``DocumentSpec`` only.
+Routing, assembly and the fold read this description alone. Documents also know two members by name
+(``created_at`` stands behind the parts, ``preferences`` holds JSON text), and the read model,
+validation, table rules and writes know the customer model.
 """
 
 from __future__ import annotations
