@@ -21,8 +21,7 @@ are read; other columns are not.
 
 from __future__ import annotations
 
-import itertools
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +40,8 @@ LEAST_WORDS = 20
 LONG_WORDS = 49
 STRETCH_WORDS = 16
 ANCHOR_WORDS, ANCHOR_WINDOW = 3, 33
+#: Words of lines that are read together.
+BLOCK_WORDS = 1 << 18
 #: Hashes of words a task remembers.
 MEMORY = 500_000
 #: Bits of the filter that spares documents without a candidate a shuffle; it never drops one that has.
@@ -71,59 +72,99 @@ def _rolled(words: np.ndarray, size: int) -> np.ndarray:
     return out * _BASE
 
 
-def anchors(words: np.ndarray) -> np.ndarray:
-    """Places whose next words have the smallest hash of some window of places."""
+def anchors(words: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Places whose next words have the smallest hash of some window of places inside a long line.
+
+    ``words`` are the hashed words of lines that follow each other.
+    """
     own = _rolled(words, ANCHOR_WORDS)
     # A word repeated over and over would make every place the smallest of some window.
-    own[1:][own[1:] == own[:-1]] = _LAST
+    same = np.zeros(len(own), bool)
+    same[1:] = own[1:] == own[:-1]
+    same[starts] = False
+    own[same] = _LAST
+    first, last = starts, starts + lengths - ANCHOR_WORDS - ANCHOR_WINDOW + 2
+    inside = np.zeros(len(own) + 1, np.int64)
+    long = lengths > LONG_WORDS
+    np.add.at(inside, first[long], 1)
+    np.add.at(inside, last[long], -1)
+    begins = np.flatnonzero(np.cumsum(inside[:-1]))
+    if not len(begins):
+        return begins
     windows = np.lib.stride_tricks.sliding_window_view(own, ANCHOR_WINDOW)
-    first = windows.argmin(axis=1)
-    chosen = np.unique(first + np.arange(len(first)))
-    return chosen[own[chosen] < _LAST]
+    # In parts, because a line can be very long.
+    parts = np.array_split(begins, len(begins) // (1 << 16) + 1)
+    chosen = np.unique(np.concatenate([x + windows[x].argmin(axis=1) for x in parts]))
+    chosen = chosen[own[chosen] < _LAST]
+    line = np.searchsorted(starts, chosen, side="right") - 1
+    return chosen[chosen + STRETCH_WORDS <= starts[line] + lengths[line]]
 
 
 class Paragraphs:
-    """Paragraphs of texts: id, place of the first word, number of words, band keys, order of similarity."""
+    """Paragraphs of texts, read in blocks of lines."""
 
     def __init__(self):
         self.hashes = _Hashes()
 
-    def of(self, text: bytes | None) -> Iterator[tuple[int, int, int, np.ndarray]]:
-        at = 0
-        for line in (text or b"").lower().split(b"\n"):
-            words = line.split()
-            n = len(words)
-            if n >= LEAST_WORDS:
-                yield from self._of_line(words, at)
-            at += n
-
-    def _of_line(self, words: list[bytes], at: int):
-        n = len(words)
-        hashed = np.fromiter(map(self.hashes.__getitem__, words), np.uint64, n)
+    def of(self, texts: Iterable[bytes | None]) -> Iterator[dict[str, np.ndarray]]:
+        """Blocks of uid, text (its number), first, words (how many) and keys of paragraphs."""
+        words, lines = [], []
+        for number, text in enumerate(texts):
+            at = 0
+            for line in (text or b"").lower().split(b"\n"):
+                own = line.split()
+                if len(own) >= LEAST_WORDS:
+                    lines.append((number, at, len(words), len(own)))
+                    words.extend(own)
+                    if len(words) >= BLOCK_WORDS:
+                        yield self._block(words, lines)
+                        words, lines = [], []
+                at += len(own)
+        if lines:
+            yield self._block(words, lines)
+
+    def _block(self, words: list[bytes], lines: list[tuple]) -> dict[str, np.ndarray]:
+        number, at, starts, lengths = np.array(lines, np.int64).T
+        hashed = np.fromiter(map(self.hashes.__getitem__, words), np.uint64, len(words))
         shingles = _rolled(hashed, SHINGLE_WORDS)
-        yield _name(words), at, n, band_keys(shingles[None, :])[0]
-        if n <= LONG_WORDS:
-            return
-        places = anchors(hashed)
-        places = places[places <= n - STRETCH_WORDS]
-        if not len(places):
-            return
+        places = anchors(hashed, starts, lengths)
+        line = np.searchsorted(starts, places, side="right") - 1
+        own = [_name(words[a : a + n]) for a, n in zip(starts.tolist(), lengths.tolist(), strict=True)]
+        own += [_name(words[a : a + STRETCH_WORDS]) for a in places.tolist()]
+        return {
+            "uid": np.array(own, np.uint64).view(np.int64),
+            "text": np.concatenate([number, number[line]]),
+            "first": np.concatenate([at, at[line] + places - starts[line]]),
+            "words": np.concatenate([lengths, np.full(len(places), STRETCH_WORDS)]),
+            "keys": self._keys(shingles, starts, lengths, places),
+        }
+
+    @staticmethod
+    def _keys(
+        shingles: np.ndarray, starts: np.ndarray, lengths: np.ndarray, places: np.ndarray
+    ) -> np.ndarray:
+        """Band keys of whole lines and then of the stretches at ``places``."""
+        # From each line's first shingle to behind its last; what lies between lines is left out.
+        bounds = np.stack([starts, starts + lengths - SHINGLE_WORDS + 1], axis=1).ravel()
+        bounds = bounds[:-1] if bounds[-1] == len(shingles) else bounds
         width = STRETCH_WORDS - SHINGLE_WORDS + 1
-        keys = band_keys(shingles[places[:, None] + np.arange(width)])
-        for place, own in zip(places.tolist(), keys, strict=True):
-            yield _name(words[place : place + STRETCH_WORDS]), at + place, STRETCH_WORDS, own
+        inside = places[:, None] + np.arange(width)
+        smallest = []
+        for m, a in zip(_MULTIPLY, _ADD, strict=True):
+            value = shingles * m + a
+            lines = np.minimum.reduceat(value, bounds)[::2]
+            smallest.append(np.concatenate([lines, value[inside].min(axis=1)]))
+        return band_keys(np.stack(smallest, axis=1))
 
 
 def _name(words: list[bytes]) -> int:
     return xxhash.xxh64_intdigest(b" ".join(words))
 
 
-def band_keys(shingles: np.ndarray) -> np.ndarray:
-    """Per row of shingle hashes one key per band."""
-    smallest = np.stack(
-        [(shingles * m + a).min(axis=1) for m, a in zip(_MULTIPLY, _ADD, strict=True)], axis=1
-    ).reshape(len(shingles), BANDS, ROWS)
-    keys = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), smallest.shape[:2]).copy()
+def band_keys(smallest: np.ndarray) -> np.ndarray:
+    """One key per band from the minimum hashes of each row."""
+    smallest = smallest.reshape(len(smallest), BANDS, ROWS)
+    keys = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(smallest), 1))
     for row in range(ROWS):
         keys = (keys ^ smallest[:, :, row]) * _BASE
         keys ^= keys >> np.uint64(31)
@@ -146,20 +187,13 @@ def paragraphs(docs: DataFrame) -> DataFrame:
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         reader = Paragraphs()
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
-            rows = (
-                (uid, doc_id, first, n, keys)
-                for doc_id, text in zip(ids, utf8(batch, "text"), strict=True)
-                for uid, first, n, keys in reader.of(text)
-            )
-            while part := list(itertools.islice(rows, 1 << 14)):
-                uid, doc_id, first, n, keys = zip(*part, strict=True)
-                keys = np.stack(keys).view(np.int64)
+            for found in reader.of(utf8(batch, "text")):
+                keys = found["keys"].view(np.int64)
                 yield {
-                    "uid": np.array(uid, np.uint64).view(np.int64),
-                    "doc_id": list(doc_id),
-                    "first": list(first),
-                    "words": list(n),
+                    "uid": found["uid"],
+                    "doc_id": batch.column("doc_id").take(pa.array(found["text"])),
+                    "first": found["first"],
+                    "words": found["words"],
                     **{c: keys[:, i] for i, c in enumerate(names)},
                 }
 
