@@ -23,11 +23,12 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docfold.llm.common import map_batches
+from docfold.session import materialize
 
 #: (verdict, host, path)
 RULES = (
@@ -80,12 +81,20 @@ def rule_for(host: Column, path: Column, rules: Sequence[tuple[str, str, str]])
 
 
 def dictionary(texts: DataFrame, column: str, size: int = DICTIONARY_WORDS) -> dict[str, int]:
-    """The most frequent words of all texts, tags aside, with their counts."""
+    """The most frequent words of all texts, tags aside, with their counts; at most ``size``.
+
+    The least count that still counts comes from the numbers of words per count, so that no more
+    than the dictionary itself comes to the driver. Words tied at that count come all or not at all.
+    """
     plain = F.lower(F.regexp_replace(F.col(column), r"<[^>]*>", " "))
     words = texts.select(F.explode(F.split(plain, r"[^a-z]+")).alias("word"))
     words = words.where(F.length("word").between(2, LONGEST_WORD))
-    counts = words.groupBy("word").count().orderBy(F.desc("count"), "word").limit(size)
-    found = {r["word"]: r["count"] for r in counts.collect()}
+    counts = materialize(words.groupBy("word").count(), "words")
+    alike = counts.groupBy("count").agg(F.count("*").alias("n"))
+    running = F.sum("n").over(Window.orderBy(F.desc("count")))
+    least = alike.withColumn("r", running).where(F.col("r") <= size).agg(F.min("count")).first()[0]
+    frequent = counts.where(F.col("count") >= least) if least else counts.limit(0)
+    found = {r["word"]: r["count"] for r in frequent.collect()}
     typical = max(1, sum(found.values()) // 1000)
     for word in BAD_WORDS | HOST_WORDS:
         found[word] = max(typical, found.get(word, 0))
