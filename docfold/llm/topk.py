@@ -210,7 +210,10 @@ def top_k(
     width = buckets.agg(F.max(F.size("v"))).first()[0] or 0
     asked = scaled(queries, scale)
     width = max(width, asked.agg(F.max(F.size("v"))).first()[0] or 0)
-    seeds = buckets.orderBy(F.desc("norm2"), "vec_id").limit(SEED_ROWS).collect()
+    # Any candidates give valid thresholds; long ones give good ones.
+    share = max(0.0, 1 - SEED_ROWS / max(1, buckets.count()))
+    long = buckets.agg(F.percentile_approx("norm2", share)).first()[0] or 0.0
+    seeds = buckets.where(F.col("norm2") >= long).limit(SEED_ROWS).collect()
     folder = work_folder(spark, "topk")
     block: list = []
     for row in asked.toLocalIterator():
