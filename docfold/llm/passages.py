@@ -44,6 +44,8 @@ ANCHOR_WORDS, ANCHOR_WINDOW = 3, 33
 BLOCK_WORDS = 1 << 18
 #: Hashes of words a task remembers.
 MEMORY = 500_000
+#: Stands for the document of rows without id where occurrences are looked up again.
+NO_ID = (1 << 63) - 1
 #: Bits of the filter that spares documents without a candidate a shuffle; it never drops one that has.
 FILTER_BITS = 1 << 20
 
@@ -200,8 +202,22 @@ def paragraphs(docs: DataFrame) -> DataFrame:
     return materialize(map_batches(docs.select("doc_id", "text"), step, schema), "passages")
 
 
-def candidates(found: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different paragraphs that agree in a band: with its first, and with the neighbour."""
+def representatives(found: DataFrame) -> DataFrame:
+    """One occurrence of each paragraph, that in the smallest document: uid, d, first, words."""
+    order = F.coalesce(F.col("doc_id"), F.lit(NO_ID))
+    places = found.groupBy("uid").agg(
+        F.min(order).alias("d"),
+        F.min_by("first", order).alias("first"),
+        F.min_by("words", order).alias("words"),
+    )
+    return materialize(places, "passages-places")
+
+
+def candidates(found: DataFrame, places: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different paragraphs that agree in a band: with its first, and with the neighbour.
+
+    Stretches that overlap each other in a document are the same text, so they make no pair.
+    """
     names = [f"k{i}" for i in range(BANDS)]
     distinct = found.groupBy("uid").agg(*(F.min(c).alias(c) for c in names))
     order = F.xxhash64(*names)
@@ -211,24 +227,25 @@ def candidates(found: DataFrame) -> DataFrame:
         "uid", F.first("uid").over(band).alias("low"), F.lag("uid").over(band).alias("near")
     ).where("near IS NOT NULL")
     pairs = pairs.select("uid", F.explode(F.array("low", "near")).alias("other"))
-    return pairs.select(F.least("uid", "other").alias("a"), F.greatest("uid", "other").alias("b")).distinct()
+    pairs = pairs.select(F.least("uid", "other").alias("a"), F.greatest("uid", "other").alias("b"))
+    pairs = materialize(pairs.distinct(), "passages-met")
+    pairs = pairs.join(places.toDF("a", "da", "fa", "wa"), "a")
+    pairs = pairs.join(places.toDF("b", "db", "fb", "wb"), "b")
+    overlap = F.expr("da = db AND fa < fb + wb AND fb < fa + wa")
+    return pairs.where(~overlap).select("a", "b")
 
 
-def shingle_sets(docs: DataFrame, found: DataFrame, wanted: DataFrame) -> DataFrame:
+def shingle_sets(docs: DataFrame, places: DataFrame, wanted: DataFrame) -> DataFrame:
     """uid and its shingles (hashes) for the wanted paragraphs, read again from one document each."""
-    places = found.select("uid", "doc_id", "first", "words").join(wanted, "uid", "left_semi")
-    places = places.groupBy("uid").agg(
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "first", "words")).alias("p")
-    )
-    # A null id is a document as well, so joins go by a text.
-    key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
-    places = places.select(key("p.doc_id").alias("d"), F.struct("uid", "p.first", "p.words").alias("at"))
+    # Rows without id share a key with that number; the words tell whose paragraph it is.
+    places = places.join(wanted, "uid", "left_semi")
+    places = places.select("d", F.struct("uid", "first", "words").alias("at"))
     places = materialize(places.groupBy("d").agg(F.collect_list("at").alias("places")), "passages-at")
     bit = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS)).cast("int")
     bits = np.zeros(FILTER_BITS, bool)
     bits[[r.bit for r in places.select(bit("d").alias("bit")).distinct().collect()]] = True
     shared = docs.sparkSession.sparkContext.broadcast(np.packbits(bits))
-    texts = docs.select(key("doc_id").alias("d"), "text")
+    texts = docs.select(F.coalesce(F.col("doc_id"), F.lit(NO_ID)).alias("d"), "text")
     texts = texts.withColumn("bit", bit("d"))
 
     def sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -237,7 +254,7 @@ def shingle_sets(docs: DataFrame, found: DataFrame, wanted: DataFrame) -> DataFr
             kept = batch.filter(pa.array(have[batch.column("bit").to_numpy()]))
             yield {"d": kept.column("d"), "text": kept.column("text")}
 
-    fields = [T.StructField("d", T.StringType()), T.StructField("text", T.StringType())]
+    fields = [T.StructField("d", T.LongType()), T.StructField("text", T.StringType())]
     texts = map_batches(texts, sieve, T.StructType(fields)).join(places, "d")
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -265,9 +282,10 @@ def shingle_sets(docs: DataFrame, found: DataFrame, wanted: DataFrame) -> DataFr
 
 def links(docs: DataFrame, found: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Pairs (a, b) of paragraphs with at least this exact Jaccard similarity of shingles."""
-    pairs = materialize(candidates(found), "passages-pairs")
+    places = representatives(found)
+    pairs = materialize(candidates(found, places), "passages-pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
-    sets = materialize(shingle_sets(docs, found, wanted), "passages-sets")
+    sets = materialize(shingle_sets(docs, places, wanted), "passages-sets")
     both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
     common = F.size(F.array_intersect("sa", "sb"))
     likeness = common / (F.size("sa") + F.size("sb") - common)
