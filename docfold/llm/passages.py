@@ -1,10 +1,11 @@
 """Substring dedup: near-equal paragraphs found by MinHash banding, verified exactly, clustered by components.
 
-A paragraph is a line of at least ``LEAST_WORDS`` words. A long line can hold a passage that other
-lines hold as well, so from lines of more than ``LONG_WORDS`` words stretches of ``STRETCH_WORDS``
-words are taken as paragraphs too, from places chosen by content (the smallest hash of three words in
-each window of ``ANCHOR_WINDOW``). Two lines that share a passage of ``ANCHOR_WINDOW + STRETCH_WORDS - 1``
-words choose a common place in it, so passages of 50 words and more are always found.
+A paragraph is a line of at least ``LEAST_WORDS`` words. A passage that several texts hold can also lie
+inside a line or across lines of any length, so from texts of more than ``LONG_WORDS`` words stretches of
+``STRETCH_WORDS`` words are taken as paragraphs too, from places chosen by content (the smallest hash of three
+words in each window of ``ANCHOR_WINDOW``). Words before and after a line break are neighbours there. Two texts that
+share a passage of ``ANCHOR_WINDOW + STRETCH_WORDS`` words choose a common place in it (one word less
+suffices unless it begins with one word four times), so passages of 50 words and more are always found.
 
 Each paragraph has ``BANDS * ROWS`` minimum hashes of its shingles. Paragraphs whose words are equal are one from
 here on. Paragraphs that agree in a band meet there; each is paired with the band's first and with its
@@ -40,7 +41,7 @@ LEAST_WORDS = 20
 LONG_WORDS = 49
 STRETCH_WORDS = 16
 ANCHOR_WORDS, ANCHOR_WINDOW = 3, 33
-#: Words of lines that are read together.
+#: Words that are read together, up to the end of a line.
 BLOCK_WORDS = 1 << 18
 #: Hashes of words a task remembers.
 MEMORY = 500_000
@@ -74,73 +75,105 @@ def _rolled(words: np.ndarray, size: int) -> np.ndarray:
     return out * _BASE
 
 
-def anchors(words: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Places whose next words have the smallest hash of some window of places inside a long line.
+def anchors(
+    words: np.ndarray, starts: np.ndarray, first: np.ndarray, last: np.ndarray
+) -> np.ndarray:
+    """Places whose next words have the smallest hash of some window of places.
 
-    ``words`` are the hashed words of lines that follow each other.
+    ``words`` are the hashed words of texts that follow each other, each from one of ``starts``. Windows begin
+    at the places from ``first`` up to ``last`` (exclusive) of each text.
     """
     own = _rolled(words, ANCHOR_WORDS)
     # A word repeated over and over would make every place the smallest of some window.
     same = np.zeros(len(own), bool)
     same[1:] = own[1:] == own[:-1]
-    same[starts] = False
+    same[starts[starts < len(own)]] = False
     own[same] = _LAST
-    first, last = starts, starts + lengths - ANCHOR_WORDS - ANCHOR_WINDOW + 2
+    some = first < last
     inside = np.zeros(len(own) + 1, np.int64)
-    long = lengths > LONG_WORDS
-    np.add.at(inside, first[long], 1)
-    np.add.at(inside, last[long], -1)
+    np.add.at(inside, first[some], 1)
+    np.add.at(inside, last[some], -1)
     begins = np.flatnonzero(np.cumsum(inside[:-1]))
     if not len(begins):
         return begins
     windows = np.lib.stride_tricks.sliding_window_view(own, ANCHOR_WINDOW)
-    # In parts, because a line can be very long.
+    # In parts, because a text can be very long.
     parts = np.array_split(begins, len(begins) // (1 << 16) + 1)
     chosen = np.unique(np.concatenate([x + windows[x].argmin(axis=1) for x in parts]))
-    chosen = chosen[own[chosen] < _LAST]
-    line = np.searchsorted(starts, chosen, side="right") - 1
-    return chosen[chosen + STRETCH_WORDS <= starts[line] + lengths[line]]
+    return chosen[own[chosen] < _LAST]
 
 
 class Paragraphs:
-    """Paragraphs of texts, read in blocks of lines."""
+    """Paragraphs of texts, read in blocks of lines.
+
+    A text that goes on in the next block takes its last ``LONG_WORDS + 2`` words along: windows that begin
+    from the third of them on are still to come; the place of the one before is known.
+    """
 
     def __init__(self):
         self.hashes = _Hashes()
 
     def of(self, texts: Iterable[bytes | None]) -> Iterator[dict[str, np.ndarray]]:
         """Blocks of uid, text (its number), first, words (how many) and keys of paragraphs."""
-        words, lines = [], []
+        keep = LONG_WORDS + 2
+        words, lines, parts = [], [], []
         for number, text in enumerate(texts):
-            at = 0
+            at, start, known = 0, len(words), False
             for line in (text or b"").lower().split(b"\n"):
                 own = line.split()
                 if len(own) >= LEAST_WORDS:
                     lines.append((number, at, len(words), len(own)))
-                    words.extend(own)
-                    if len(words) >= BLOCK_WORDS:
-                        yield self._block(words, lines)
-                        words, lines = [], []
+                words.extend(own)
                 at += len(own)
-        if lines:
-            yield self._block(words, lines)
-
-    def _block(self, words: list[bytes], lines: list[tuple]) -> dict[str, np.ndarray]:
-        number, at, starts, lengths = np.array(lines, np.int64).T
+                if len(words) >= BLOCK_WORDS:
+                    size = len(words) - start
+                    parts.append((number, at - size, start, size, known, True))
+                    yield from self._block(words, lines, parts)
+                    known = known or size >= keep
+                    words, lines, parts, start = words[-min(size, keep) :] if size else [], [], [], 0
+            size = len(words) - start
+            parts.append((number, at - size, start, size, known, False))
+        yield from self._block(words, lines, parts)
+
+    def _block(
+        self, words: list[bytes], lines: list[tuple], parts: list[tuple]
+    ) -> Iterator[dict[str, np.ndarray]]:
+        number, at, starts, lengths = np.array(lines, np.int64).reshape(-1, 4).T
         hashed = np.fromiter(map(self.hashes.__getitem__, words), np.uint64, len(words))
-        shingles = _rolled(hashed, SHINGLE_WORDS)
-        places = anchors(hashed, starts, lengths)
-        line = np.searchsorted(starts, places, side="right") - 1
+        places, text, first = self._stretches(hashed, parts)
+        if not len(lines) + len(places):
+            return
         own = [_name(words[a : a + n]) for a, n in zip(starts.tolist(), lengths.tolist(), strict=True)]
         own += [_name(words[a : a + STRETCH_WORDS]) for a in places.tolist()]
-        return {
+        yield {
             "uid": np.array(own, np.uint64).view(np.int64),
-            "text": np.concatenate([number, number[line]]),
-            "first": np.concatenate([at, at[line] + places - starts[line]]),
+            "text": np.concatenate([number, text]),
+            "first": np.concatenate([at, first]),
             "words": np.concatenate([lengths, np.full(len(places), STRETCH_WORDS)]),
-            "keys": self._keys(shingles, starts, lengths, places),
+            "keys": self._keys(_rolled(hashed, SHINGLE_WORDS), starts, lengths, places),
         }
 
+    @staticmethod
+    def _stretches(hashed: np.ndarray, parts: list[tuple]) -> tuple[np.ndarray, ...]:
+        """Places of stretches in the block; the number of their text, and their place in it."""
+        rows = np.array([p for p in parts if p[3]], np.int64).reshape(-1, 6)
+        number, at, starts, lengths, known, more = rows.T
+        # Of a text that goes on, only windows whose stretch is sure to be there, in a text sure to be long.
+        last = starts + lengths - np.where(more, LONG_WORDS, ANCHOR_WORDS + ANCHOR_WINDOW - 2)
+        last[(more == 0) & (at + lengths <= LONG_WORDS)] = 0
+        last[(more == 1) & (known == 0) & (lengths < LONG_WORDS + 2)] = 0
+        if len(hashed) < ANCHOR_WORDS + ANCHOR_WINDOW - 1:
+            return (np.zeros(0, np.int64),) * 3
+        places = anchors(hashed, starts, starts + known, last)
+        if len(rows) and known[0] and last[0] > 1:
+            # The window at the place 1 was the last one of the block before.
+            done = anchors(hashed[: LONG_WORDS + 2], starts[:1], np.array([1]), np.array([2]))
+            places = np.setdiff1d(places, done, assume_unique=True)
+        part = np.searchsorted(starts, places, side="right") - 1
+        fits = places + STRETCH_WORDS <= starts[part] + lengths[part]
+        places, part = places[fits], part[fits]
+        return places, number[part], at[part] + places - starts[part]
+
     @staticmethod
     def _keys(
         shingles: np.ndarray, starts: np.ndarray, lengths: np.ndarray, places: np.ndarray
@@ -148,13 +181,13 @@ class Paragraphs:
         """Band keys of whole lines and then of the stretches at ``places``."""
         # From each line's first shingle to behind its last; what lies between lines is left out.
         bounds = np.stack([starts, starts + lengths - SHINGLE_WORDS + 1], axis=1).ravel()
-        bounds = bounds[:-1] if bounds[-1] == len(shingles) else bounds
+        bounds = bounds[:-1] if len(bounds) and bounds[-1] == len(shingles) else bounds
         width = STRETCH_WORDS - SHINGLE_WORDS + 1
         inside = places[:, None] + np.arange(width)
         smallest = []
         for m, a in zip(_MULTIPLY, _ADD, strict=True):
             value = shingles * m + a
-            lines = np.minimum.reduceat(value, bounds)[::2]
+            lines = np.minimum.reduceat(value, bounds)[::2] if len(bounds) else value[:0]
             smallest.append(np.concatenate([lines, value[inside].min(axis=1)]))
         return band_keys(np.stack(smallest, axis=1))
 

@@ -178,3 +178,39 @@ def test_rows_without_id(spark):
     assert rows[None].keepers == [5] and rows[5].n_removed == 0
     alone = frame(spark, [(None, shared), (None, shared)])
     assert passages.duplicates(alone).count() == 0
+
+
+def broken(words, pick, longest):
+    """The words in lines of 1 to ``longest`` words."""
+    out, at = [], 0
+    while at < len(words):
+        n = pick.randint(1, longest)
+        out.append(line(words[at : at + n]))
+        at += n
+    return "\n".join(out)
+
+
+@pytest.mark.parametrize("longest", [6, 19, 40, 80])
+def test_a_passage_across_lines_has_a_common_place(longest, monkeypatch):
+    pick = random.Random(longest)
+    for block in (1, 60, 1 << 18):
+        monkeypatch.setattr(passages, "BLOCK_WORDS", block)
+        for _ in range(30):
+            shared = text(50, pick)
+            own = []
+            for _ in range(2):
+                words = [*text(pick.randrange(70), pick), *shared, *text(pick.randrange(70), pick)]
+                data = broken(words, pick, longest).encode()
+                blocks = passages.Paragraphs().of([data])
+                own.append({u for b in blocks for u in b["uid"][b["words"] == 16].tolist()})
+            assert own[0] & own[1]
+
+
+def test_passages_across_short_lines_are_found(spark):
+    pick = random.Random(21)
+    shared = text(60, pick)
+    docs = [(i, broken([*text(25, pick), *shared, *text(25, pick)], pick, 12)) for i in range(6)]
+    docs += [(50 + i, broken(text(110, pick), pick, 12)) for i in range(6)]
+    got = {r.doc_id: r for r in passages.by_document(passages.duplicates(frame(spark, docs))).collect()}
+    assert set(got) == set(range(6))
+    assert got[0].n_removed == 0 and all(got[i].n_removed >= 16 and got[i].keepers == [0] for i in range(1, 6))
