@@ -8,9 +8,11 @@ share a passage of ``ANCHOR_WINDOW + STRETCH_WORDS`` words choose a common place
 suffices unless it begins with one word four times), so passages of 50 words and more are always found.
 
 Each paragraph has ``BANDS * ROWS`` minimum hashes of its shingles. Paragraphs whose words are equal are one from
-here on. Paragraphs that agree in a band meet there; each is paired with the band's first and with its
-neighbour in the order of all minimum hashes, and a pair is a link if the exact Jaccard
-similarity of its shingles is at least ``SIMILARITY``. With 5 bands of 2 rows a pair at 0.8 meets with
+here on. Paragraphs that agree in a band meet there, and a pair is a link if the exact Jaccard
+similarity of its shingles is at least ``SIMILARITY``. Each is paired with the band's first and with its
+neighbour, which are all pairs of a band of three. In a larger band that then holds several
+classes, the others are paired by a prefix filter: two paragraphs that are similar enough share one
+of their rarest shingles in the band. So all pairs that meet end in one class if they are similar. With 5 bands of 2 rows a pair at 0.8 meets with
 probability 0.99, a pair at 0.9 with 0.9998. Of a class of linked paragraphs that stands in several documents, the
 document with the smallest id keeps its own; all other occurrences are to be removed.
 
@@ -47,6 +49,8 @@ BLOCK_WORDS = 1 << 18
 MEMORY = 500_000
 #: Stands for the document of rows without id where occurrences are looked up again.
 NO_ID = (1 << 63) - 1
+#: In a band of fewer paragraphs, the first and the neighbour make all pairs.
+CROWD = 4
 #: Bits of the filter that spares documents without a candidate a shuffle; it never drops one that has.
 FILTER_BITS = 1 << 20
 
@@ -246,28 +250,91 @@ def representatives(found: DataFrame) -> DataFrame:
     return materialize(places, "passages-places")
 
 
-def candidates(found: DataFrame, places: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different paragraphs that agree in a band: with its first, and with the neighbour.
-
-    Stretches that overlap each other in a document are the same text, so they make no pair.
-    """
+def bands(found: DataFrame) -> DataFrame:
+    """Each paragraph of a band but the first: key, uid, low (the band's first), near (the neighbour), nth."""
     names = [f"k{i}" for i in range(BANDS)]
     distinct = found.groupBy("uid").agg(*(F.min(c).alias(c) for c in names))
     order = F.xxhash64(*names)
     meeting = distinct.select("uid", order.alias("place"), F.explode(F.array(*names)).alias("key"))
     band = Window.partitionBy("key").orderBy("place", "uid")
-    pairs = meeting.select(
-        "uid", F.first("uid").over(band).alias("low"), F.lag("uid").over(band).alias("near")
-    ).where("near IS NOT NULL")
-    pairs = pairs.select("uid", F.explode(F.array("low", "near")).alias("other"))
-    pairs = pairs.select(F.least("uid", "other").alias("a"), F.greatest("uid", "other").alias("b"))
-    pairs = materialize(pairs.distinct(), "passages-met")
+    met = meeting.select(
+        "key",
+        "uid",
+        F.first("uid").over(band).alias("low"),
+        F.lag("uid").over(band).alias("near"),
+        F.row_number().over(band).alias("nth"),
+    )
+    return materialize(met.where("near IS NOT NULL"), "passages-bands")
+
+
+def crowds(met: DataFrame) -> DataFrame:
+    """key and uid of all paragraphs in bands of at least ``CROWD``."""
+    full = met.where(F.col("nth") == CROWD)
+    rest = met.select("key", "uid").join(full.select("key"), "key", "left_semi")
+    return full.select("key", F.col("low").alias("uid")).union(rest)
+
+
+def apart(pairs: DataFrame, places: DataFrame) -> DataFrame:
+    """Pairs (a, b) without stretches that overlap each other in a document: they are the same text."""
     pairs = pairs.join(places.toDF("a", "da", "fa", "wa"), "a")
     pairs = pairs.join(places.toDF("b", "db", "fb", "wb"), "b")
     overlap = F.expr("da = db AND fa < fb + wb AND fb < fa + wa")
     return pairs.where(~overlap).select("a", "b")
 
 
+def candidates(met: DataFrame, places: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different paragraphs in a band: with its first, and with the neighbour."""
+    pairs = met.select("uid", F.explode(F.array("low", "near")).alias("other"))
+    pairs = pairs.select(F.least("uid", "other").alias("a"), F.greatest("uid", "other").alias("b"))
+    return apart(materialize(pairs.distinct(), "passages-met"), places)
+
+
+def mixed(crowd: DataFrame, classes: DataFrame) -> DataFrame:
+    """key, uid and class of the paragraphs in bands that hold several classes."""
+    placed = crowd.join(classes.withColumnRenamed("node", "uid"), "uid", "left")
+    placed = placed.select("key", "uid", F.coalesce("component", "uid").alias("class"))
+    placed = materialize(placed, "passages-crowds")
+    several = placed.groupBy("key").agg(F.min("class").alias("l"), F.max("class").alias("h"))
+    return placed.join(several.where("l < h").select("key"), "key", "left_semi")
+
+
+def remaining(crowd: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of different classes in a band (``mixed``) that can be similar enough.
+
+    In a band, shingles are ordered by the number of paragraphs that have them. Two sets as
+    similar as asked share one of the first ``size - ceil(similarity * size) + 1`` of either. Where a shingle is one
+    of the first of many paragraphs, those of its most frequent class are paired only with the others.
+    """
+    full = crowd.join(sets, "uid").select("key", "uid", "class", F.size("shingles").alias("size"), "shingles")
+    each = full.select("key", "uid", "class", "size", F.explode("shingles").alias("shingle"))
+    each = materialize(each, "passages-shingles")
+    # A shingle that only one paragraph of the band has pairs nothing, but takes its place among the first.
+    often = each.groupBy("key", "shingle").agg(F.count("*").alias("n"))
+    least = F.ceil(F.col("size") * F.lit(similarity) - F.lit(1e-9)).cast("int")
+    ordered = each.join(often, ["key", "shingle"]).groupBy("key", "uid", "class", "size")
+    ordered = ordered.agg(F.array_sort(F.collect_list(F.struct("n", "shingle"))).alias("order"))
+    rare = F.slice("order", F.lit(1), F.greatest(F.lit(1), F.col("size") - least + 1))
+    rare = F.filter(rare, lambda x: x["n"] > 1)["shingle"]
+    first = materialize(
+        ordered.select("key", "uid", "class", "size", F.explode(rare).alias("shingle")), "passages-rare"
+    )
+    shared = first.groupBy("key", "shingle", "class").agg(F.count("*").alias("n"))
+    shared = shared.groupBy("key", "shingle").agg(
+        F.max_by("class", F.struct("n", "class")).alias("main"), F.count("*").alias("classes")
+    )
+    shared = materialize(shared.where("classes > 1").drop("classes"), "passages-shared")
+    first = first.join(shared, ["key", "shingle"])
+    other = first.where("class <> main").select(
+        "key", "shingle", F.col("uid").alias("o"), F.col("class").alias("oc"), F.col("size").alias("os")
+    )
+    pairs = other.join(first, ["key", "shingle"])
+    alike = F.least("os", "size") >= F.lit(similarity) * F.greatest("os", "size") - F.lit(1e-9)
+    # Of two that are both outside the main class, one order is enough.
+    pairs = pairs.where((F.col("oc") != F.col("class")) & alike & F.expr("class = main OR o < uid"))
+    pairs = pairs.select(F.least("o", "uid").alias("a"), F.greatest("o", "uid").alias("b"))
+    return materialize(pairs.distinct(), "passages-remaining")
+
+
 def shingle_sets(docs: DataFrame, places: DataFrame, wanted: DataFrame) -> DataFrame:
     """uid and its shingles (hashes) for the wanted paragraphs, read again from one document each."""
     # Rows without id share a key with that number; the words tell whose paragraph it is.
@@ -313,25 +380,56 @@ def shingle_sets(docs: DataFrame, places: DataFrame, wanted: DataFrame) -> DataF
     return found_sets.groupBy("uid").agg(F.max("shingles").alias("shingles"))
 
 
-def links(docs: DataFrame, found: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Pairs (a, b) of paragraphs with at least this exact Jaccard similarity of shingles."""
-    places = representatives(found)
-    pairs = materialize(candidates(found, places), "passages-pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("uid")).distinct()
-    sets = materialize(shingle_sets(docs, places, wanted), "passages-sets")
+def similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) with at least this exact Jaccard similarity of shingles."""
     both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
     common = F.size(F.array_intersect("sa", "sb"))
     likeness = common / (F.size("sa") + F.size("sb") - common)
     return both.where(likeness >= similarity).select("a", "b")
 
 
+def _linked(docs: DataFrame, found: DataFrame, similarity: float) -> tuple[DataFrame, ...]:
+    """Links by the band's first and the neighbour, their components, and the links that join these."""
+    places = representatives(found)
+    met = bands(found)
+    pairs = materialize(candidates(met, places), "passages-pairs")
+    crowd = crowds(met)
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("uid")).union(crowd.select("uid"))
+    sets = materialize(shingle_sets(docs, places, wanted.distinct()), "passages-sets")
+    near = materialize(similar(pairs, sets, similarity), "passages-near")
+    classes = materialize(components(near), "passages-classes")
+    others = remaining(mixed(crowd, classes), sets, similarity)
+    joining = materialize(similar(apart(others, places), sets, similarity), "passages-joining")
+    return near, classes, joining
+
+
+def links(docs: DataFrame, found: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Verified pairs (a, b) whose components are those of all similar pairs that meet in a band."""
+    near, _, joining = _linked(docs, found, similarity)
+    return near.union(joining)
+
+
+def linked_classes(docs: DataFrame, found: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """node and component (its smallest node) of all linked paragraphs."""
+    _, classes, joining = _linked(docs, found, similarity)
+    # The late links join whole classes, which are far fewer than their paragraphs.
+    named = lambda c: classes.toDF(c, f"{c}_class")
+    ends = joining.join(named("a"), "a", "left").join(named("b"), "b", "left")
+    ends = ends.select(F.coalesce("a_class", "a").alias("a"), F.coalesce("b_class", "b").alias("b"))
+    joined = materialize(components(ends.distinct()), "passages-joined").toDF("component", "final")
+    moved = classes.join(joined, "component", "left")
+    moved = moved.select("node", F.coalesce("final", "component").alias("component"))
+    single = joined.join(classes, joined["component"] == classes["node"], "left_anti")
+    return moved.union(single.select(F.col("component").alias("node"), F.col("final").alias("component")))
+
+
 def duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Occurrences of paragraphs that stand in several documents.
 
     doc_id, first, words, class_id, keeper (the document that keeps it), removed.
     """
     found = paragraphs(docs)
-    linked = materialize(components(links(docs, found, similarity)), "passages-classes")
+    linked = materialize(linked_classes(docs, found, similarity), "passages-linked")
     places = found.select("uid", "doc_id", "first", "words")
     placed = places.join(linked.withColumnRenamed("node", "uid"), "uid", "left")
     placed = placed.withColumn("class_id", F.coalesce("component", "uid")).drop("component", "uid")

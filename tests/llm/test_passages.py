@@ -214,3 +214,31 @@ def test_passages_across_short_lines_are_found(spark):
     got = {r.doc_id: r for r in passages.by_document(passages.duplicates(frame(spark, docs))).collect()}
     assert set(got) == set(range(6))
     assert got[0].n_removed == 0 and all(got[i].n_removed >= 16 and got[i].keepers == [0] for i in range(1, 6))
+
+
+def test_boilerplate_families_equal_all_pairs(spark):
+    """Bands of one long boilerplate mix many classes; all pairs that meet and are similar end together."""
+    pick = random.Random(33)
+    boiler, docs, lines = text(60, pick), [], []
+    for _ in range(150):
+        own = text(25, pick)
+        for edits in (0, 1, 2):
+            words = boiler + edited(own, edits, pick)
+            docs.append((len(docs), line(words)))
+            lines.append([w.lower() for w in words])
+    given = frame(spark, docs)
+    (block,) = passages.Paragraphs().of([line(x).encode() for x in lines])
+    whole = block["words"] == 85
+    uid, keys = block["uid"][whole].tolist(), [set(k) for k in block["keys"][whole].tolist()]
+    sets = [shingles(x) for x in lines]
+    meet = {
+        tuple(sorted((uid[i], uid[j])))
+        for i in range(len(docs))
+        for j in range(i)
+        if uid[i] != uid[j] and keys[i] & keys[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+    }
+    found = passages.paragraphs(given.select("doc_id", "text"))
+    of = classes({(r.a, r.b) for r in passages.links(given, found).collect()})
+    assert len(meet) > 200
+    assert not [p for p in meet if p[0] not in of or of[p[0]] != of.get(p[1])]
+    assert of == {r.node: r.component for r in passages.linked_classes(given, found).collect()}
