@@ -6,7 +6,9 @@ its marginal cost: zstandard, primed with a dictionary of identifiers and the te
 string, compresses the context alone and the context with the candidate. A name or a word repeats what the
 dictionaries hold and costs few bytes; a random string costs nearly all its own. Candidates whose
 marginal bytes per character reach ``NOVELTY`` are reported as kind ``novel``, unless they
-overlap a base span.
+overlap a base span. Other candidates that share ``SHARED`` characters with one are left out of the text
+around it, so a secret that is announced twice doesn't make itself known. A string that also stands
+where nothing announces it is a name.
 
 Null text is empty. Every row is judged on its whole text, by itself; other columns are not read.
 Spans are in code points, end exclusive.
@@ -42,6 +44,8 @@ CONTEXT_REACH = 48
 #: Characters before and behind the candidate that prime the compressor.
 AROUND = 256
 LEAST, NOVELTY = 16, 0.62
+#: A candidate with this many characters of another one holds a long part of it.
+SHARED = 8
 _SENSITIVE = re.compile("|".join(map(re.escape, CONTEXT_WORDS)), re.IGNORECASE | re.ASCII)
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST)
 
@@ -111,8 +115,17 @@ class Novelty:
         raw = zstandard.ZstdCompressionDict(words, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         self.packer = zstandard.ZstdCompressor(level=9, dict_data=raw, write_content_size=False)
 
-    def per_char(self, text: str, start: int, end: int) -> float:
-        context = text[max(0, start - AROUND) : start] + " " + text[end : end + AROUND] + " "
+    def per_char(
+        self, text: str, start: int, end: int, others: list[tuple[int, int]] = ()
+    ) -> float:
+        """``others``: other candidates; those that hold a long part of this one are cut from the context."""
+        low, high, cut = max(0, start - AROUND), end + AROUND, []
+        near = [(max(a, low), min(b, high)) for a, b in others if a < high and b > low]
+        near = [(a, b) for a, b in near if b <= start or a >= end]
+        if near:
+            own = _parts(text[start:end])
+            cut = [(a, b) for a, b in near if not own.isdisjoint(_parts(text[a:b]))]
+        context = _without(text, low, start, cut) + " " + _without(text, end, high, cut) + " "
         size = lambda x: len(self.packer.compress(x.encode("utf-8", "surrogatepass")))
         return (size(context + text[start:end]) - size(context)) / (end - start)
 
@@ -122,23 +135,41 @@ class Novelty:
         """Candidates in sensitive context that are incompressible and overlap no base span."""
         if not any(word in lower for word in CONTEXT_WORDS):
             return []
-        found, seen = [], -1
+        announced, seen = [], -1
         for word in _SENSITIVE.finditer(text):
             # A candidate that starts in reach is taken whole, however long it is.
             for m in _CANDIDATE.finditer(text, word.end()):
                 start, end = m.span()
                 if start > word.end() + CONTEXT_REACH:
                     break
-                if start <= seen:
-                    continue
-                seen = start
-                if any(start < e and s < end for _, s, e in base):
-                    continue
-                if self.per_char(text, start, end) >= NOVELTY:
-                    found.append(("novel", start, end))
+                if start > seen:
+                    seen = start
+                    announced.append((start, end))
+        found = []
+        for i, (start, end) in enumerate(announced):
+            if any(start < e and s < end for _, s, e in base):
+                continue
+            # Starts are at least 16 apart, but for candidates that begin inside another one.
+            others = announced[max(0, i - AROUND) : i + AROUND]
+            if self.per_char(text, start, end, others) >= NOVELTY:
+                found.append(("novel", start, end))
         return found
 
 
+def _parts(text: str) -> set[str]:
+    return {text[i : i + SHARED] for i in range(len(text) - SHARED + 1)}
+
+
+def _without(text: str, start: int, end: int, cut: list[tuple[int, int]]) -> str:
+    """The text from start to end without the ranges in ``cut``, which are in order."""
+    out = []
+    for a, b in cut:
+        if start < b and a < end:
+            out.append(text[start : max(a, start)])
+            start = b
+    return "".join(out) + text[start:end]
+
+
 def find(text: str | None, novelty: Novelty) -> list[tuple[str, int, int]]:
     """All spans of a text, by start and then kind."""
     text = text or ""

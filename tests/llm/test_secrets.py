@@ -67,6 +67,15 @@ def test_random_strings_in_sensitive_context():
         assert novel(f"{prose} {key} {prose}") == []  # nothing announces it
 
 
+def test_a_repeated_secret_is_found_each_time():
+    pick = random.Random(6)
+    for size in (20, 40, 64):
+        key = "".join(pick.choice(string.ascii_letters + string.digits) for _ in range(size))
+        line = f"Authorization: Bearer {key}\n"
+        assert novel(line * 3) == [key] * 3
+        assert novel(f"{line}signature {key[:-2]}\n") == [key, key[:-2]]
+
+
 def test_names_are_left_alone():
     assert novel("the signature of getElementById_setTimeout_callback is known") == []
     assert novel("set the credential placeholder_your-api-key-here first") == []
