@@ -47,7 +47,9 @@ LEAST, NOVELTY = 16, 0.62
 #: A candidate with this many characters of another one holds a long part of it.
 SHARED = 8
 _SENSITIVE = re.compile("|".join(map(re.escape, CONTEXT_WORDS)), re.IGNORECASE | re.ASCII)
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST)
+#: Key-like runs joined by single dots; a candidate is one with a run that is long enough.
+_TOKEN = re.compile(r"[A-Za-z0-9+/_=-]+(?:\.[A-Za-z0-9+/_=-]+)*")
+_RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST)
 
 #: Names that are common in source code and configuration.
 IDENTIFIERS = """
@@ -135,24 +137,31 @@ class Novelty:
         """Candidates in sensitive context that are incompressible and overlap no base span."""
         if not any(word in lower for word in CONTEXT_WORDS):
             return []
-        announced, seen = [], -1
+        tokens, seen = [], -1
         for word in _SENSITIVE.finditer(text):
             # A candidate that starts in reach is taken whole, however long it is.
-            for m in _CANDIDATE.finditer(text, word.end()):
+            for m in _TOKEN.finditer(text, word.end()):
                 start, end = m.span()
                 if start > word.end() + CONTEXT_REACH:
                     break
                 if start > seen:
-                    seen = start
-                    announced.append((start, end))
+                    runs = [r.span() for r in _RUN.finditer(text, start, end)]
+                    if runs:
+                        seen = start
+                        tokens.append(((start, end), runs))
+        # A token with dots is judged whole, and by its runs if that finds nothing.
+        announced = [[whole, *(r for r in runs if r != whole)] for whole, runs in tokens]
         found = []
-        for i, (start, end) in enumerate(announced):
-            if any(start < e and s < end for _, s, e in base):
-                continue
-            # Starts are at least 16 apart, but for candidates that begin inside another one.
-            others = announced[max(0, i - AROUND) : i + AROUND]
-            if self.per_char(text, start, end, others) >= NOVELTY:
-                found.append(("novel", start, end))
+        for i, spans in enumerate(announced):
+            # Tokens start at least 16 apart, but for those that begin inside another one.
+            others = [s for x in announced[max(0, i - AROUND) : i + AROUND] for s in x]
+            for start, end in spans:
+                if any(start < e and s < end for _, s, e in base):
+                    continue
+                if self.per_char(text, start, end, others) >= NOVELTY:
+                    found.append(("novel", start, end))
+                    if (start, end) == spans[0]:
+                        break
         return found
 
 

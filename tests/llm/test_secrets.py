@@ -76,6 +76,19 @@ def test_a_repeated_secret_is_found_each_time():
         assert novel(f"{line}signature {key[:-2]}\n") == [key, key[:-2]]
 
 
+def test_a_dotted_token_is_found_whole():
+    pick = random.Random(12)
+    part = lambda n: "".join(pick.choice(string.ascii_letters + string.digits + "_-") for _ in range(n))
+    for sizes in ((36, 74, 43), (36, 160, 43), (20, 10, 43)):
+        token = ".".join(part(n) for n in sizes)
+        assert novel(f"Authorization: Bearer {token}\n") == [token]
+        assert novel(f"Authorization: Bearer {token}\n" * 2) == [token] * 2
+    key = part(24)
+    # Names before a key don't hide it, nor does a base span in the same token.
+    assert key in "".join(novel(f"bearer configuration.production.authentication.service.{key} is used"))
+    assert novel(f"Bearer deadbeefdeadbeef01.{key} is used") == [key]
+
+
 def test_names_are_left_alone():
     assert novel("the signature of getElementById_setTimeout_callback is known") == []
     assert novel("set the credential placeholder_your-api-key-here first") == []
