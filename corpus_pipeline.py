@@ -42,7 +42,7 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     ready(spark)
-    pieces = packing.tokenized(docs)
+    pieces = packing.tokenized(docs, added_tokens=True)
     return packing.place(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 

@@ -18,7 +18,7 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.tokenized(table(spark, sf_dir, "documents"))
+    pieces = packing.tokenized(table(spark, sf_dir, "documents"), added_tokens=True)
     # The ids stay in their table; only their digest goes through the shuffle.
     pieces = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return packing.place(pieces)

@@ -118,3 +118,19 @@ def test_sequences_hold_their_pieces(spark):
 
 def test_empty_table(spark):
     assert packing.pack(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_ids_are_those_of_the_tokenizer_by_default():
+    """With its default settings, the added token and very long runs of blanks included."""
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    encode = packing.Encoder(added_tokens=True)
+    texts = ["end <|endoftext|> of", "<|endoftext|><|endoftext|>x", "<|endoftext|", "", *(t for _, t in case() if t)]
+    for text in texts + ["a" + " " * 1_200_000 + "b", "a" + "\n" * 1_200_000]:
+        assert encode(text).tolist() == whole.encode(text, add_special_tokens=False).ids
+    assert encode(texts[0]).tolist() == [437, 220, 50256, 286]
+
+
+def test_the_stage_takes_added_tokens(spark):
+    docs = ready(spark).createDataFrame([(1, "end <|endoftext|> of")], "doc_id long, text string")
+    (row,) = packing.tokenized(docs, added_tokens=True).collect()
+    assert struct.unpack("<5I", row.ids) == (437, 220, 50256, 286, 2)
