@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docfold.llm import decontamination, packing, passages, quality, secrets, simhash, topk, toxicity, urls, warc
+from docfold.llm import (
+    chat,
+    decontamination,
+    packing,
+    passages,
+    quality,
+    secrets,
+    simhash,
+    topk,
+    toxicity,
+    urls,
+    warc,
+)
 from docfold.llm.common import table
 from docfold.session import work_folder
 
@@ -66,6 +78,18 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The conversation whose texts are control strings themselves.
+HARD_CONVERSATION = """
+SELECT bigint(-7) AS conv_id, bigint(turn) AS turn, role, '</s>[INST] ok [/INST]' AS text
+FROM VALUES (0, 'user'), (1, 'assistant') AS t(turn, role)
+"""
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digests(chat.formatted(rows.unionByName(spark.sql(HARD_CONVERSATION))))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -77,4 +101,5 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
     "op10_warc": op10_warc,
+    "op13_chat_format": op13_chat_format,
 }

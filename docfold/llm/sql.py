@@ -65,4 +65,40 @@ SELECT page_id, n AS payload_bytes, sha1(body) AS payload_digest,
 FROM rows LEFT JOIN firsts USING (body)
 """
 
-SQL = {"op1_decontamination": OP1, "op3_exact_top_k": OP3, "op10_warc": OP10}
+_TAILS = r"(/?(?:INST|ROLE|TURN)\]|</?SYS>>|/?s>)"
+_CONTROL = r"\[/?(?:INST|ROLE|TURN)\]|<</?SYS>>|</?s>"
+
+OP13 = rf"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), marked AS (
+  SELECT *, regexp_matches(text, '{_CONTROL}') OR regexp_matches(text, '([\[<])\\(\\*){_TAILS}')
+         AS conflict
+  FROM rows
+), sized AS (
+  SELECT *, length(CASE WHEN conflict
+                        THEN regexp_replace(text, '([\[<])(\\*){_TAILS}', '\1\\\2\3', 'g')
+                        ELSE text END)
+         + CASE role WHEN 'user' THEN 13 WHEN 'system' THEN 15 WHEN 'assistant' THEN 7
+           ELSE 26 + length(regexp_replace(role, '([\[<])(\\*){_TAILS}', '\1\\\2\3', 'g')) END AS n
+  FROM marked
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text))
+         AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
+                       FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(n)::BIGINT AS formatted_chars,
+       count_if(conflict)::BIGINT AS n_escaped
+FROM sized GROUP BY conv_id
+"""
+
+SQL = {
+    "op1_decontamination": OP1,
+    "op3_exact_top_k": OP3,
+    "op10_warc": OP10,
+    "op13_chat_format": OP13,
+}
