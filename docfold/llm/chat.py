@@ -70,28 +70,43 @@ def joined(parts: Column) -> Column:
     return F.array_join(F.transform(parts, lambda s: s["text"]), "")
 
 
-def parsed(rendered: Column) -> Column:
-    """The turns (role, text) of a rendered conversation; null if it breaks the grammar.
+def parsed(frame: DataFrame, rendered: Column, turns: str) -> DataFrame:
+    """Add the turns (role, text) of a rendered conversation; null if it breaks the grammar.
 
-    Each lambda reads its own element only, so the work is linear in the text.
+    Each step is a column of its own, so that it is computed once, and each lambda reads its own
+    element only: the work is linear in the text.
     """
-    marks = F.regexp_extract_all(rendered, F.lit(CONTROL), F.lit(0))
-    texts = F.split(rendered, CONTROL, -1)
-    after = F.slice(texts, F.lit(2), F.greatest(F.size(texts) - 1, F.lit(0)))
-    cut = F.arrays_zip(marks.alias("mark"), after.alias("after"))
-    opened = F.filter(cut, lambda _, i: i % 2 == 0)
-    closed = F.filter(cut, lambda _, i: i % 2 == 1)
-    before = F.concat(F.array(F.lit(None)), opened)
-    pairs = F.arrays_zip(opened.alias("o"), closed.alias("c"), before.alias("b"))
-    # The row before has one element more; the last is no pair.
-    pairs = F.slice(pairs, F.lit(1), F.size(opened))
-    fits = F.forall(pairs, _fits) & (F.size(cut) % 2 == 0) & (F.get(texts, F.lit(0)) == "")
-    named = F.get(opened, F.size(opened) - 1)["mark"] != ROLE[0]
-    turns = F.transform(
-        F.filter(pairs, lambda p: p["o"]["mark"] != ROLE[0]),
+    kept = [c for c in frame.columns if c != turns]
+    steps = frame.withColumn("_text", rendered).withColumns(
+        {
+            "_marks": F.regexp_extract_all("_text", F.lit(CONTROL), F.lit(0)),
+            "_texts": F.split("_text", CONTROL, -1),
+        }
+    )
+    after = F.slice("_texts", F.lit(2), F.size("_marks"))
+    steps = steps.withColumn("_cut", F.arrays_zip(F.col("_marks").alias("mark"), after.alias("after")))
+    steps = steps.withColumns(
+        {
+            "_opened": F.filter("_cut", lambda _, i: i % 2 == 0),
+            "_closed": F.filter("_cut", lambda _, i: i % 2 == 1),
+        }
+    )
+    # What an opening mark follows: the list has one element more, which the slice takes away.
+    before = F.concat(F.array(F.lit(None)), F.col("_opened"))
+    pairs = F.arrays_zip(F.col("_opened").alias("o"), F.col("_closed").alias("c"), before.alias("b"))
+    steps = steps.withColumn("_pairs", F.slice(pairs, F.lit(1), F.size("_opened")))
+    named = F.get("_opened", F.size("_opened") - 1)["mark"] == ROLE[0]
+    fits = (
+        (F.size("_cut") % 2 == 0)
+        & (F.get("_texts", F.lit(0)) == "")
+        & ~F.coalesce(named, F.lit(False))
+        & F.forall("_pairs", _fits)
+    )
+    found = F.transform(
+        F.filter("_pairs", lambda p: p["o"]["mark"] != ROLE[0]),
         lambda p: F.struct(_role(p).alias("role"), unescape(p["o"]["after"]).alias("text")),
     )
-    return F.when(fits & F.coalesce(named, F.lit(True)), turns)
+    return steps.select(*kept, F.when(fits, found).alias(turns))
 
 
 def _fits(pair: Column) -> Column:
@@ -120,44 +135,43 @@ def formatted(rows: DataFrame) -> DataFrame:
     role = F.coalesce(F.col("role"), F.lit("")).alias("role")
     text = F.coalesce(F.col("text"), F.lit("")).alias("text")
     turns = rows.select("conv_id", "turn", role, text)
-    alone = parsed(joined(segments(F.col("role"), F.col("text"))))
-    source = F.array(F.struct("role", "text"))
-    turns = turns.withColumn("conflict", ~F.coalesce(alone == source, F.lit(False)))
-    whole = turns.groupBy("conv_id").agg(
+    turns = parsed(turns, joined(segments(F.col("role"), F.col("text"))), "alone")
+    same = F.coalesce(F.col("alone") == F.array(F.struct("role", "text")), F.lit(False))
+    turns = turns.withColumn("conflict", ~same)
+    found = turns.groupBy("conv_id").agg(
         F.array_sort(F.collect_list(F.struct("turn", "role", "text", "conflict"))).alias("turns")
     )
-    source = F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
-    first = whole.withColumn("source", source).withColumn(
-        "segments", _rendered(lambda t: F.when(t["conflict"], escape(t["text"])).otherwise(t["text"]))
-    )
-    same = lambda c: F.coalesce(parsed(joined(F.col(c))) == F.col("source"), F.lit(False))
-    first = first.withColumn("same", same("segments"))
-    second = first.withColumn(
-        "segments",
-        F.when(F.col("same"), F.col("segments")).otherwise(_rendered(lambda t: escape(t["text"]))),
+    found = found.withColumn("n_escaped", F.size(F.filter("turns", lambda t: t["conflict"])))
+    found = _attempt(found, lambda t: F.when(t["conflict"], escape(t["text"])).otherwise(t["text"]))
+    # Conversations that read back stay as they are, and are null for the second attempt.
+    missed = F.when(~F.col("same"), F.col("turns"))
+    once = found.withColumns(
+        {
+            "kept": F.when(F.col("same"), F.col("segments")),
+            "turns": missed,
+            "n_escaped": F.coalesce(F.size(missed), "n_escaped"),
+        }
     )
+    again = _attempt(once, lambda t: escape(t["text"]))
     failed = F.raise_error(F.lit("a rendered conversation doesn't read back"))
-    text = F.when(F.col("same") | same("segments"), joined(F.col("segments"))).otherwise(failed)
-    conflicts = F.size(F.filter("turns", lambda t: t["conflict"]))
-    escaped = F.when(F.col("same"), conflicts).otherwise(F.size("turns"))
-    return second.select(
-        "conv_id", text.alias("formatted"), "segments", escaped.alias("n_escaped")
-    )
+    chosen = F.when(F.col("kept").isNotNull(), F.col("kept")).when(F.col("same"), F.col("segments"))
+    again = again.withColumn("segments", chosen.otherwise(failed))
+    return again.select("conv_id", joined(F.col("segments")).alias("formatted"), "segments", "n_escaped")
 
 
-def _rendered(text_of) -> Column:
-    return F.flatten(F.transform("turns", lambda t: segments(t["role"], text_of(t))))
+def _attempt(found: DataFrame, text_of) -> DataFrame:
+    """Add ``segments`` rendered from ``turns``, and ``same``: whether they read back."""
+    rendered = F.flatten(F.transform("turns", lambda t: segments(t["role"], text_of(t))))
+    found = parsed(found.withColumn("segments", rendered), joined(F.col("segments")), "read")
+    source = F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
+    return found.withColumn("same", F.coalesce(F.col("read") == source, F.lit(False))).drop("read")
 
 
 def read_back(written: DataFrame) -> DataFrame:
     """``formatted``'s rows with the turns parsed from the text, and the text under the loss mask."""
     learned = F.filter("segments", lambda s: s["loss"])
-    return written.withColumns(
-        {
-            "turns": parsed(F.col("formatted")),
-            "loss_text": F.array_join(F.transform(learned, lambda s: unescape(s["text"])), ""),
-        }
-    )
+    plain = F.array_join(F.transform(learned, lambda s: unescape(s["text"])), "")
+    return parsed(written, F.col("formatted"), "turns").withColumn("loss_text", plain)
 
 
 def digests(written: DataFrame) -> DataFrame:

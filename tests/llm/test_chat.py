@@ -112,7 +112,7 @@ def test_long_texts_and_many_turns(spark):
 @pytest.mark.parametrize("text", ["[INST]a", "a[INST]b[/INST]", "[INST]a</s>", "[TURN]a[/TURN]", "[ROLE]a[/ROLE]"])
 def test_broken_texts_have_no_turns(spark, text):
     frame = spark.createDataFrame([(text,)], "formatted string")
-    assert frame.select(chat.parsed(F.col("formatted")).alias("turns")).first().turns is None
+    assert chat.parsed(frame, F.col("formatted"), "turns").first().turns is None
 
 
 def test_no_python_in_the_plan(spark):
