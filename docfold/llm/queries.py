@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from docfold.llm import (
     chat,
     decontamination,
+    negatives,
     packing,
     passages,
     quality,
@@ -78,6 +79,13 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.withColumn("label", moved)
+    return negatives.hard_negatives(rows, rows.where("vec_id % 50 = 0"))
+
+
 #: The conversation whose texts are control strings themselves.
 HARD_CONVERSATION = """
 SELECT bigint(-7) AS conv_id, bigint(turn) AS turn, role, '</s>[INST] ok [/INST]' AS text
@@ -101,5 +109,6 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
     "op10_warc": op10_warc,
+    "op11_hard_negatives": op11_hard_negatives,
     "op13_chat_format": op13_chat_format,
 }

@@ -65,6 +65,30 @@ SELECT page_id, n AS payload_bytes, sha1(body) AS payload_digest,
 FROM rows LEFT JOIN firsts USING (body)
 """
 
+OP11 = """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id AS vec_id, a.label = c.label AS same,
+         coalesce(list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2])), 0)::BIGINT AS score
+  FROM rows a JOIN rows c ON a.vec_id <> c.vec_id
+  WHERE a.vec_id % 50 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
 _TAILS = r"(/?(?:INST|ROLE|TURN)\]|</?SYS>>|/?s>)"
 _CONTROL = r"\[/?(?:INST|ROLE|TURN)\]|<</?SYS>>|</?s>"
 
@@ -100,5 +124,6 @@ SQL = {
     "op1_decontamination": OP1,
     "op3_exact_top_k": OP3,
     "op10_warc": OP10,
+    "op11_hard_negatives": OP11,
     "op13_chat_format": OP13,
 }
