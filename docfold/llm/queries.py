@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docfold.llm import (
     chat,
+    collocations,
     decontamination,
     negatives,
     packing,
@@ -86,6 +87,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(rows, rows.where("vec_id % 50 = 0"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 #: The conversation whose texts are control strings themselves.
 HARD_CONVERSATION = """
 SELECT bigint(-7) AS conv_id, bigint(turn) AS turn, role, '</s>[INST] ok [/INST]' AS text
@@ -110,5 +115,6 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_warc": op10_warc,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_collocations": op12_collocations,
     "op13_chat_format": op13_chat_format,
 }

@@ -89,6 +89,46 @@ WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * po
 QUALIFY rank <= 3
 """
 
+OP12 = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS piece,
+         regexp_extract_all(t, '[^ \\t]+') AS w
+  FROM (SELECT lang, unnest(regexp_split_to_array({_A_Z.format("coalesce(text, '')")},
+                                                  '[.,;:!?\\n\\x0B\\f\\r]')) AS t
+        FROM documents)
+), words AS (
+  SELECT lang, piece, w, unnest(range(1, len(w) + 1)) AS i FROM pieces
+), counts AS (
+  SELECT lang, size, phrase, count(*) AS f
+  FROM (SELECT lang, size, array_to_string(w[i : i + size - 1], ' ') AS phrase
+        FROM words, range(1, 5) AS s(size) WHERE i + size - 1 <= len(w))
+  GROUP BY ALL
+), totals AS (
+  SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE size = 1 GROUP BY lang
+), frequent AS (
+  SELECT *, string_split(phrase, ' ') AS w FROM counts WHERE f >= 30
+), candidates AS (
+  SELECT lang, size, phrase, w, f AS a FROM frequent WHERE size > 1
+), cuts AS (
+  SELECT c.lang, c.phrase, c.a, k, x.f AS l, y.f AS r, (2000000::HUGEINT * c.a) // (x.f + y.f) AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates) c
+  JOIN frequent x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1 : k], ' ')
+  JOIN frequent y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1 : c.size], ' ')
+), best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inside AS (
+  SELECT lang, array_to_string(w[i : i + m - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, size - m + 2)) AS i
+        FROM (SELECT *, unnest(range(2, size)) AS m FROM candidates))
+  GROUP BY ALL
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank,
+       phrase, a, l, r, n, score::BIGINT AS score
+FROM best LEFT JOIN inside USING (lang, phrase) JOIN totals USING (lang)
+WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a
+QUALIFY rank <= 2000
+"""
+
 _TAILS = r"(/?(?:INST|ROLE|TURN)\]|</?SYS>>|/?s>)"
 _CONTROL = r"\[/?(?:INST|ROLE|TURN)\]|<</?SYS>>|</?s>"
 
@@ -125,5 +165,6 @@ SQL = {
     "op3_exact_top_k": OP3,
     "op10_warc": OP10,
     "op11_hard_negatives": OP11,
+    "op12_collocations": OP12,
     "op13_chat_format": OP13,
 }
