@@ -247,22 +247,27 @@ def grouped(stored: DataFrame, budget: int = BUDGET_LEAVES) -> DataFrame:
     """Add ``cut``, the number of words in a leaf's prefix, and ``part``, the group of that prefix.
 
     ``stored`` is a written table. A heavy prefix has more than its share of the leaves, so
-    there are fewer of them than 8 per group.
+    of each length there are fewer of them than 8 per group.
     """
-    found = stored.withColumn("cut", F.lit(1))
-    for d in range(1, DEPTH):
-        named = found.where(F.col("cut") == d).select("lang", _prefix(F.lit(d)).alias("prefix"))
-        weights = named.groupBy("lang", "prefix").count().where(F.col("count") > budget / 8)
-        heavy = materialize(weights.select("lang", "prefix"), "collocations-heavy")
+    named = lambda d: _prefix(F.lit(d)).alias("leaf")
+    # Leaves per prefix, longest first: those of a shorter one are the sum.
+    weights, frame, cut = [], stored.select("lang", "leaf", F.lit(1).alias("n")), F.lit(1)
+    for d in range(DEPTH - 1, 0, -1):
+        frame = frame.groupBy("lang", named(d)).agg(F.sum("n").alias("n"))
+        frame = materialize(frame, "collocations-prefixes")
+        weights.append((d, frame.where(F.col("n") > budget / 8)))
+    found = stored
+    for d, heavy in weights:
         n = heavy.count()
         if not n:
-            break
-        heavy = heavy.withColumn("heavy", F.lit(1))
-        heavy = F.broadcast(heavy) if n <= SMALL_ROWS else heavy
-        found = found.withColumn("prefix", _prefix(F.lit(d))).join(heavy, ["lang", "prefix"], "left")
-        longer = (F.col("cut") == d) & F.col("heavy").isNotNull()
-        found = found.withColumn("cut", F.when(longer, d + 1).otherwise(F.col("cut")))
-        found = found.drop("prefix", "heavy")
+            continue
+        listed = heavy.select("lang", F.col("leaf").alias(f"prefix{d}"), F.lit(1).alias(f"heavy{d}"))
+        listed = F.broadcast(listed) if n <= SMALL_ROWS else listed
+        found = found.withColumn(f"prefix{d}", _prefix(F.lit(d)))
+        found = found.join(listed, ["lang", f"prefix{d}"], "left").drop(f"prefix{d}")
+        # Prefixes of a heavy one are heavy too, so the marks add up.
+        cut = cut + F.coalesce(f"heavy{d}", F.lit(0))
+    found = found.select("lang", "leaf", "n", cut.cast("int").alias("cut"))
     parts = max(1, -(-stored.count() // budget))
     place = F.xxhash64("lang", _prefix(F.col("cut")))
     return found.withColumn("part", F.pmod(place, F.lit(parts)).cast("int"))
