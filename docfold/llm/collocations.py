@@ -259,8 +259,6 @@ def grouped(stored: DataFrame, budget: int = BUDGET_LEAVES) -> DataFrame:
     found = stored
     for d, heavy in weights:
         n = heavy.count()
-        if not n:
-            continue
         listed = heavy.select("lang", F.col("leaf").alias(f"prefix{d}"), F.lit(1).alias(f"heavy{d}"))
         listed = F.broadcast(listed) if n <= SMALL_ROWS else listed
         found = found.withColumn(f"prefix{d}", _prefix(F.lit(d)))
