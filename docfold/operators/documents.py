@@ -79,11 +79,13 @@ def element_bytes(spec: DocumentSpec, source: Column, image: Column) -> Column:
     return size + 1
 
 
-def nest(rows: DataFrame, spec: DocumentSpec) -> DataFrame:
+def nest(rows: DataFrame, spec: DocumentSpec, keys: list[str] | None = None) -> DataFrame:
     """Group the live rows of entities that fit in one document; those without a root give none.
 
-    Every image is parsed once, before the grouping.
+    Every image is parsed once, before the grouping. ``keys`` are the entity and what else tells
+    documents of one entity apart; the latter are kept.
     """
+    keys = keys or ["entity_id"]
     image, source = F.col("image"), F.col("source")
     parsed = {"_root": F.when(source == spec.root, F.from_json(image, spec.root_image))}
     for child in spec.children:
@@ -102,7 +104,7 @@ def nest(rows: DataFrame, spec: DocumentSpec) -> DataFrame:
         else:
             found = F.max(F.when(source == child.table, image))
             aggregates.append(found.alias(child.part))
-    return shaped(ready.groupBy("entity_id").agg(*aggregates), spec)
+    return shaped(ready.groupBy(*keys).agg(*aggregates), spec, keys[1:])
 
 
 def shaped(

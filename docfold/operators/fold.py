@@ -73,7 +73,7 @@ def slice_width(rows: DataFrame, order: str) -> int:
     return max(1, (high - low) * SLICE_ROWS // n) if n else 1
 
 
-def _scan(
+def running(
     rows: DataFrame, keys: list[str], order: str, value: Column, name: str, width: int, back: bool
 ) -> DataFrame:
     """Add a running value within the keys: the maximum up to here, or (``back``) the minimum after.
@@ -117,8 +117,8 @@ def row_history(events: DataFrame, spec: DocumentSpec, width: int | None = None)
     acts = materialize(acts, "versions")
     width = width or slice_width(acts, "seq")
     root_end = F.when((F.col("source") == spec.root) & (F.col("action") == "remove"), F.col("seq"))
-    ended = _scan(acts, ["entity_id"], "seq", root_end, "root_end", width, back=True)
-    followed = _scan(ended, keys, "seq", F.col("seq"), "next_seq", width, back=True)
+    ended = running(acts, ["entity_id"], "seq", root_end, "root_end", width, back=True)
+    followed = running(ended, keys, "seq", F.col("seq"), "next_seq", width, back=True)
     return followed.filter("action = 'put'").select(
         *keys,
         F.col("seq").alias("valid_from"),
@@ -141,7 +141,7 @@ def document_log(events: DataFrame, spec: DocumentSpec, width: int | None = None
     )
     kept = materialize(per_bundle, "bundles")
     width = width or slice_width(kept, "bundle_seq")
-    known = _scan(
+    known = running(
         kept, ["entity_id"], "bundle_seq", F.col("root_code"), "known_root", width, back=False
     )
     lives = F.coalesce(F.pmod("known_root", F.lit(2)) == 1, F.lit(False))

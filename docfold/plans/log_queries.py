@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docfold.operators import assembly, documents, engine, fold, routing
+from docfold.operators import assembly, documents, engine, fold, history, routing
 from docfold.plans import mapping
 from docfold.session import materialize
 from docfold.spec import CUSTOMER_SPEC as SPEC
@@ -99,7 +99,7 @@ def row_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fold.row_history(_actions(spark, sf_dir), SPEC).drop("image")
 
 
-def flat_outputs(outputs: DataFrame) -> DataFrame:
+def flat_outputs(outputs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Outputs as scalar columns, so that they can be compared with SQL."""
     doc = F.col("document")
     addresses = F.transform(
@@ -110,6 +110,7 @@ def flat_outputs(outputs: DataFrame) -> DataFrame:
         lambda c: F.concat_ws(":", c["type"], c["value"], c["isPrimary"].cast("string")),
     )
     return outputs.select(
+        *(keep or []),
         "_id",
         "deleted",
         doc["customer_number"].alias("customer_number"),
@@ -136,6 +137,11 @@ def documents_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_outputs(engine.final_outputs(fold.as_of(mapping.change_log(spark, sf_dir), half), SPEC))
 
 
+def document_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = history.document_history(_actions(spark, sf_dir), SPEC)
+    return flat_outputs(found, ["bundle_id", "bundle_seq"])
+
+
 def delete_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fold.latest(_actions(spark, sf_dir))
     return fold.delete_markers(fold.lifetimes(rows, SPEC)).select(
@@ -169,6 +175,7 @@ QUERIES = {
     "row_history": row_history,
     "final_documents": final_documents,
     "documents_as_of": documents_as_of,
+    "document_history": document_history,
     "delete_markers": delete_markers,
     "document_updated_at": document_updated_at,
 }

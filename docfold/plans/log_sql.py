@@ -221,6 +221,31 @@ early AS (
   WHERE a.seq <= c AND (a.txn IS NULL OR a.txn IN (SELECT txn FROM early_complete)))"""
     + FOLD.format(acts="early")
     + DOCS,
+    "document_history": "WITH"
+    + LOG
+    + AFFECTED
+    + COMMITTED
+    + """,
+placed AS (SELECT *, max(seq) OVER (PARTITION BY bundle_id, entity_id) AS place FROM acts),
+bundles AS (
+  SELECT bundle_id, entity_id, max(place) AS bundle_seq,
+    bool_or(source = 'customers' AND action = 'remove') AS root_removed
+  FROM placed GROUP BY bundle_id, entity_id),
+-- The state after each bundle: all events of the entity's bundles up to its position.
+upto AS (
+  SELECT b.entity_id || '@' || b.bundle_id AS entity_id, p.seq, p.source, p.ts, p.value, p.props,
+    p.action, p.row_id
+  FROM bundles b JOIN placed p ON p.entity_id = b.entity_id AND p.place <= b.bundle_seq)"""
+    + FOLD.format(acts="upto")
+    + """,
+states AS ("""
+    + DOCS
+    + """)
+SELECT b.bundle_id, b.bundle_seq, b.entity_id AS _id, deleted,
+  split_part(customer_number, '@', 1) AS customer_number, first_name, status, date_of_birth,
+  preferred_language, annual_income, addresses, contacts, email_opt_in, channels, created_at, updated_at
+FROM states JOIN bundles b ON b.entity_id || '@' || b.bundle_id = _id
+WHERE NOT deleted OR b.root_removed""",
     "delete_markers": STATE
     + "SELECT entity_id AS _id, dead_before FROM lifetimes WHERE dead_before >= 0 AND NOT root_lives",
     "document_updated_at": STATE

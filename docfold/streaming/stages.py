@@ -148,7 +148,8 @@ class EntityFold(StatefulProcessor):
             elif row.seq > dead_before:
                 name = (row.source, row.row_id)
                 old = self.rows.getValue(name) if cache is None else cache.get(name)
-                buried = None if new or old else self.gone.getValue(name)
+                # This very call may have buried it, so even a new entity is asked.
+                buried = None if old else self.gone.getValue(name)
                 if row.seq > max(old[0] if old else -1, buried[0] if buried else -1):
                     size -= _size(old[1]) if old else 0
                     if row.action == "put":
