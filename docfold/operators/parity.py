@@ -157,6 +157,12 @@ def lag(source: DataFrame, replica: DataFrame, key: str) -> DataFrame:
     )
 
 
+def sink_lag(content: DataFrame) -> DataFrame:
+    """The lag of every id in a sink, by the times its files hold; ids without a source time are left out."""
+    millis = F.unix_millis("stored_at") - F.unix_millis("committed_at")
+    return content.filter("committed_at is not null").select("_id", millis.alias("lag_millis"))
+
+
 def lag_summary(lags: DataFrame) -> DataFrame:
     """One row: count, median, 95th and 99th percentile (exact ranks) and maximum of the lag."""
     quantiles = {"p50": 0.5, "p95": 0.95, "p99": 0.99}

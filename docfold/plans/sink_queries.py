@@ -13,7 +13,7 @@ from docfold.session import materialize, work_folder
 from docfold.sources.changelog import read_log
 from docfold.spec import CUSTOMER_SPEC as SPEC
 from docfold.spec import MARKER_SOURCE
-from docfold.streaming import pipeline, sinks
+from docfold.streaming import pipeline, rebuild, sinks
 
 
 def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +66,28 @@ def final_documents_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_outputs(sinks.replica(spark, f"{base}/sink"))
 
 
+def rebuilt_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The early part of the log by backfill, the rest by a stream that goes on from its state."""
+    base = work_folder(spark, "rebuild")
+    log = mapping.change_log(spark, sf_dir)
+    early = (F.col("source") != MARKER_SOURCE) & (F.col("seq") % 2 == 0)
+    log.filter(early).write.parquet(f"{base}/log")
+    rebuild.backfill(rebuild.read_files(spark, f"{base}/log"), SPEC, f"{base}/sink", f"{base}/seed")
+    log.filter(~early).write.mode("append").parquet(f"{base}/log")
+    found = rebuild.read_files(spark, f"{base}/log", streaming=True)
+    query = pipeline.start(
+        rebuild.remaining(found, f"{base}/seed"),
+        SPEC,
+        f"{base}/sink",
+        f"{base}/checkpoint",
+        available_now=True,
+        state_partitions=spark.sparkContext.defaultParallelism,
+        seed=f"{base}/seed",
+    )
+    query.awaitTermination()
+    return flat_outputs(sinks.replica(spark, f"{base}/sink"))
+
+
 def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _feed(spark, sf_dir).withColumn("at", F.unix_millis("at"))
 
@@ -141,18 +163,35 @@ def repair_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outputs.select("_id", "deleted", F.col("document.status").alias("status"))
 
 
-def _lags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = mapping.base_tables(spark, sf_dir)["customers"]
-    source = customers.select("id", F.col("updated_at").alias("committed_at"))
-    delay = (F.col("id") * 7919) % 5000
-    replica = customers.select(
-        "id", F.timestamp_millis(F.unix_millis("updated_at") + delay).alias("stored_at")
-    )
-    return parity.lag(source, replica, "id")
-
-
 def replication_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parity.lag_summary(_lags(spark, sf_dir))
+    """Lags read from the sink's files, which a write with a fixed clock has made."""
+    sink = work_folder(spark, "lag-sink")
+    events = assembly.actions(mapping.change_log(spark, sf_dir), SPEC)
+    outputs = engine.outputs_of(engine.state_of(events, SPEC), SPEC)
+    times = events.groupBy(F.col("entity_id").alias("_id")).agg(F.max("at").alias("committed_at"))
+    clock = F.lit("2024-03-01 00:00:00").cast("timestamp")
+    sinks.upsert_batch(sink, SPEC, clock=clock)(outputs.join(times, "_id"), 0)
+    return parity.lag_summary(parity.sink_lag(sinks.replica(spark, sink)))
+
+
+def replica_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second page of a sink with a compacted base, an index, and batches after it."""
+    sink = work_folder(spark, "page-sink")
+    outputs = materialize(snapshot_outputs(spark, sf_dir), "snapshot")
+    number = F.col("_id").cast("bigint")
+    stale = outputs.withColumn("deleted", number % 5 == 0)
+    for batch, rows in enumerate(
+        (stale, outputs.filter(number % 5 == 0), outputs.filter(number % 97 == 0))
+    ):
+        sinks.upsert_batch(sink, SPEC)(rows, batch)
+    sinks.compact(spark, sink, SPEC)
+    doc = F.col("document")
+    return sinks.page(spark, sink, "2").select(
+        doc["id"].alias("id"),
+        doc["updated_at"].alias("updated_at"),
+        F.size(doc["addresses"]).alias("n_addresses"),
+        F.size(doc["contacts"]).alias("n_contacts"),
+    )
 
 
 def workload_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,6 +225,7 @@ QUERIES = {
     "dead_letters": dead_letters,
     "sink_latest": sink_latest,
     "final_documents_stream": final_documents_stream,
+    "rebuilt_documents": rebuilt_documents,
     "change_feed": change_feed,
     "latest_feed_event": latest_feed_event,
     "count_parity": count_parity,
@@ -194,6 +234,7 @@ QUERIES = {
     "sampled_parity": sampled_parity,
     "repair_list": repair_list,
     "replication_lag": replication_lag,
+    "replica_page": replica_page,
     "workload_profile": workload_profile,
     "transaction_sizes": transaction_sizes,
     "write_rate_hourly": write_rate_hourly,

@@ -176,6 +176,7 @@ FROM texts""",
 SELECT entity_id AS _id, emits, bundle_id, bundle_seq FROM emitted
 QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY bundle_seq DESC) = 1""",
     "final_documents_stream": LOG_SQL["final_documents"],
+    "rebuilt_documents": LOG_SQL["final_documents"],
     "change_feed": _FEED + 'SELECT feed, operation, id, customer_number, at_ms AS "at" FROM feed',
     "latest_feed_event": _FEED
     + """,
@@ -206,10 +207,15 @@ WHERE age > 864000""",
 SELECT CAST(id AS VARCHAR) AS _id, false AS deleted, status FROM customers
 WHERE id IN (SELECT id FROM diff)
 UNION ALL SELECT CAST(id AS VARCHAR), true, NULL FROM diff WHERE difference = 'extra'""",
-    "replication_lag": """
+    "replication_lag": STATE
+    + """,
+times AS (SELECT entity_id, max(epoch_us(ts)) // 1000 AS at FROM acts GROUP BY entity_id),
+lags AS (
+  SELECT epoch_ms(TIMESTAMP '2024-03-01 00:00:00') - t.at AS l
+  FROM times t JOIN lifetimes USING (entity_id) WHERE root_lives OR dead_before >= 0)
 SELECT count(*) AS n, quantile_disc(l, 0.5) AS p50, quantile_disc(l, 0.95) AS p95,
   quantile_disc(l, 0.99) AS p99, max(l) AS longest
-FROM (SELECT (c_custkey * 7919) % 5000 AS l FROM customer)""",
+FROM lags""",
     "transaction_sizes": "WITH"
     + LOG
     + """

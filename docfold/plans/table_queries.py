@@ -88,16 +88,6 @@ def source_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(relational.source_page(mapping.base_tables(spark, sf_dir), SPEC, "3"))
 
 
-def replica_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shown = snapshot_outputs(spark, sf_dir).filter("not deleted").select(
-        F.col("document.id").alias("id"),
-        F.col("document.updated_at").alias("updated_at"),
-        F.size("document.addresses").alias("n_addresses"),
-        F.size("document.contacts").alias("n_contacts"),
-    )
-    return relational.page(shown, ["updated_at", "id"], "2")
-
-
 def page_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = mapping.table(spark, sf_dir, "customer")
     replica = snapshot_outputs(spark, sf_dir).filter("not deleted")
@@ -454,7 +444,6 @@ QUERIES = {
     "snapshot_documents": snapshot_documents,
     "collection_order_text_vs_number": collection_order_text_vs_number,
     "source_page": source_page,
-    "replica_page": replica_page,
     "page_counts": page_counts,
     "point_lookup": point_lookup,
     "read_model_from_tables": read_model_from_tables,

@@ -34,8 +34,16 @@ def configure(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_PROVIDER)
 
 
-def committed_stream(decoded: DataFrame, slice_seqs: int = SLICE_SEQS) -> DataFrame:
+def _state(spark: SparkSession, seed: str | None, table: str, *keys: str):
+    """A stage's state as a backfill has left it, or none."""
+    return spark.read.parquet(f"{seed}/{table}").groupBy(*keys) if seed else None
+
+
+def committed_stream(
+    decoded: DataFrame, slice_seqs: int = SLICE_SEQS, seed: str | None = None
+) -> DataFrame:
     """Row events of complete transactions, and at once those without a transaction."""
+    spark = decoded.sparkSession
     rows = routing.row_events(decoded)
     columns, schema = rows.columns, _ddl(rows.schema)
     slice_of = F.expr(f"seq div {slice_seqs}")
@@ -44,7 +52,13 @@ def committed_stream(decoded: DataFrame, slice_seqs: int = SLICE_SEQS) -> DataFr
         .select("txn_id", slice_of.alias("slice"), "is_marker", "status", "event_count", "seq")
         .mapInPandas(count_per_slice, TransactionGate.INPUT)
         .groupBy("txn_id")
-        .transformWithState(TransactionGate(), TransactionGate.OUTPUT, "Append", "None")
+        .transformWithState(
+            TransactionGate(),
+            TransactionGate.OUTPUT,
+            "Append",
+            "None",
+            _state(spark, seed, "gate", "txn_id"),
+        )
     )
     empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema]
     messages = releases.select(
@@ -60,22 +74,35 @@ def committed_stream(decoded: DataFrame, slice_seqs: int = SLICE_SEQS) -> DataFr
     return (
         staged.unionByName(messages)
         .groupBy("group", "slice")
-        .transformWithState(TransactionStage(columns, schema), schema, "Append", "None")
+        .transformWithState(
+            TransactionStage(columns, schema),
+            schema,
+            "Append",
+            "None",
+            _state(spark, seed, "staged", "group", "slice"),
+        )
     )
 
 
 def entity_stream(
-    committed: DataFrame, spec: DocumentSpec, limit: int = DOCUMENT_LIMIT_BYTES
+    committed: DataFrame,
+    spec: DocumentSpec,
+    limit: int = DOCUMENT_LIMIT_BYTES,
+    seed: str | None = None,
 ) -> DataFrame:
     """One output per touched entity and micro-batch, shaped like the batch outputs."""
     acts = (
         bundle_events(committed, spec)
         .filter("action <> 'none'")
-        .select("entity_id", "source", "row_id", "seq", "action", "image")
+        .select("entity_id", "source", "row_id", "seq", "at", "action", "image")
     )
     newest = acts.mapInPandas(newest_per_row, _ddl(acts.schema) + ", removed_seq bigint")
     folded = newest.groupBy("entity_id").transformWithState(
-        EntityFold(spec.root, limit * RENDER_SLACK), EntityFold.OUTPUT, "Append", "None"
+        EntityFold(spec.root, limit * RENDER_SLACK),
+        EntityFold.OUTPUT,
+        "Append",
+        "None",
+        _state(committed.sparkSession, seed, "entities", "entity_id"),
     )
     images = F.arrays_zip(F.col("sources"), F.col("images"))
     parts = {
@@ -89,12 +116,13 @@ def entity_stream(
         )
     grouped = folded.withColumns(parts)
     is_doc = F.col("emits") == "document"
-    return documents.shaped(grouped, spec, keep=["emits", "version", "total_bytes"]).select(
+    return documents.shaped(grouped, spec, keep=["emits", "version", "committed_at", "total_bytes"]).select(
         "_id",
         (F.col("emits") == "marker").alias("deleted"),
         F.when(is_doc, F.col("document")).alias("document"),
         "root_image",
         "version",
+        "committed_at",
         F.when(F.col("emits") == "too_large", F.lit(TOO_LARGE)).alias("error"),
         "total_bytes",
     )
@@ -124,15 +152,20 @@ def start(
     interval: str = "1 second",
     slice_seqs: int = SLICE_SEQS,
     state_partitions: int | None = None,
+    seed: str | None = None,
 ):
     """Start the query; ``sink`` and ``checkpoint`` are folders all executors share.
 
+    ``seed`` is the folder a ``rebuild.backfill`` has written, for a query that goes on from it; give
+    ``rebuild.remaining`` of the log then, and the same folder at each start from this checkpoint.
+
     The number of state partitions is fixed by the first run; without one given it is the session's
     number of shuffle partitions.
     """
     spark = bronze.sparkSession
     configure(spark)
-    outputs = entity_stream(committed_stream(routing.decode(bronze, spec), slice_seqs), spec, limit)
+    committed = committed_stream(routing.decode(bronze, spec), slice_seqs, seed)
+    outputs = entity_stream(committed, spec, limit, seed)
     writer = (
         outputs.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)

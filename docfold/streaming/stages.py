@@ -24,11 +24,19 @@ class TransactionGate(StatefulProcessor):
 
     INPUT = "txn_id string, slice bigint, n bigint, expected bigint, marker_seq bigint"
     OUTPUT = "txn_id string, slice bigint"
+    #: What a transaction that was open at a backfill starts from: its counts, and its slices.
+    STATE = "txn_id string, slice bigint, n bigint, seen bigint, expected bigint, marker bigint"
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.counts = handle.getValueState("counts", "seen bigint, expected bigint, marker bigint")
         self.slices = handle.getMapState("slices", "slice bigint", "n bigint")
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        if initialState.slice is None:
+            self.counts.update((initialState.seen, initialState.expected, initialState.marker))
+        else:
+            self.slices.updateValue((initialState.slice,), (initialState.n,))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         stored = self.counts.get()
         seen, expected, marker = stored or (0, None, None)
@@ -70,6 +78,9 @@ class TransactionStage(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.staged = handle.getListState("staged", self.schema)
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.staged.appendValue(tuple(initialState[c] for c in self.columns))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         make = Row(*self.columns)
         buffer, released = [], False
@@ -103,7 +114,7 @@ class TransactionStage(StatefulProcessor):
 class EntityFold(StatefulProcessor):
     """Per entity: keep its newest row images and emit its state once per micro-batch.
 
-    Input is the newest action per row (``source, row_id, seq, action, image, removed_seq``). An
+    Input is the newest action per row (``source, row_id, seq, at, action, image, removed_seq``). An
     older event that arrives late never overwrites a newer one: tombstones keep their ``seq``, and
     everything older than the last root delete is dropped. An entity too large for one document
     emits only its size. Tombstones are apart from the rows and read by key only, so replaced
@@ -111,9 +122,14 @@ class EntityFold(StatefulProcessor):
     """
 
     OUTPUT = (
-        "entity_id string, emits string, version bigint, total_bytes bigint,"
+        "entity_id string, emits string, version bigint, committed_at timestamp, total_bytes bigint,"
         " sources array<string>, images array<string>"
     )
+    #: What an entity starts from after a backfill: a head, its rows and its tombstones.
+    STATE = (
+        "entity_id string, kind string, source string, row_id string, seq bigint, image string,"
+        " dead_before bigint, version bigint, bytes bigint"
+    )
 
     def __init__(self, root: str, limit: int) -> None:
         self.root = root
@@ -129,6 +145,15 @@ class EntityFold(StatefulProcessor):
         )
         self.gone = handle.getMapState("gone", "source string, row_id string", "seq bigint")
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        own = initialState
+        if own.kind == "head":
+            self.head.update((own.seq, own.image, own.dead_before, own.version, own.bytes))
+        elif own.kind == "row":
+            self.rows.updateValue((own.source, own.row_id), (own.seq, own.image))
+        else:
+            self.gone.updateValue((own.source, own.row_id), (own.seq,))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         head = self.head.get() or (-1, None, -1, -1, 0)
         root_seq, root_image, dead_before, version, size = head
@@ -137,8 +162,11 @@ class EntityFold(StatefulProcessor):
         # rows that change are read.
         new = head[3] < 0
         cache = {} if new else dict(self.rows.iterator()) if size <= self.limit else None
+        at = None
         for row in rows:
             version = max(version, row.seq)
+            if row.at is not None and not pd.isna(row.at):
+                at = row.at if at is None else max(at, row.at)
             if row.source == self.root:
                 if row.removed_seq is not None and not pd.isna(row.removed_seq):
                     dead_before = max(dead_before, int(row.removed_seq))
@@ -171,19 +199,19 @@ class EntityFold(StatefulProcessor):
         if dead_before > died_at:
             size -= self._drop_older(dead_before, cache)
         self.head.update((root_seq, root_image, dead_before, version, size))
-        make = Row("entity_id", "emits", "version", "total_bytes", "sources", "images")
+        make = Row("entity_id", "emits", "version", "committed_at", "total_bytes", "sources", "images")
         if root_image is not None:
             total = size + _size(root_image)
             if total > self.limit:
-                yield make(key[0], "too_large", version, total, [], [])
+                yield make(key[0], "too_large", version, at, total, [], [])
             else:
                 live = self.rows.iterator() if cache is None else cache.items()
                 found = [(name[0], value[1]) for name, value in live]
                 sources = [self.root] + [source for source, _ in found]
                 images = [root_image] + [image for _, image in found]
-                yield make(key[0], "document", version, total, sources, images)
+                yield make(key[0], "document", version, at, total, sources, images)
         elif dead_before > died_at:
-            yield make(key[0], "marker", version, 0, [], [])
+            yield make(key[0], "marker", version, at, 0, [], [])
 
     def _drop_older(self, dead_before: int, cache: dict | None) -> int:
         """Remove rows older than a root delete; returns the bytes set free."""

@@ -8,19 +8,30 @@ from docfold.operators import assembly, documents, engine
 from docfold.session import work_folder
 from docfold.sources.changelog import BRONZE, read_log
 from docfold.spec import CUSTOMER_SPEC as SPEC
-from docfold.streaming import pipeline, sinks
+from docfold.streaming import pipeline, rebuild, sinks
 
 
-def run(spark, base, records, limit=16 * 1024 * 1024):
+def append(spark, base, records, files=8):
+    """Append records to the log, dealt over several files, so that one micro-batch has many tasks."""
+    frame = spark.createDataFrame(records, BRONZE).repartition(files)
+    frame.write.mode("append").parquet(f"{base}/log")
+
+
+def run(spark, base, records, limit=16 * 1024 * 1024, files=8):
     """Append records to the log and let the query take them, from its checkpoint."""
-    spark.createDataFrame(records, BRONZE).coalesce(1).write.mode("append").parquet(f"{base}/log")
+    append(spark, base, records, files)
+    go_on(spark, base, read_log(spark, f"{base}/log", streaming=True), limit)
+
+
+def go_on(spark, base, log, limit=16 * 1024 * 1024, seed=None):
     query = pipeline.start(
-        read_log(spark, f"{base}/log", streaming=True),
+        log,
         SPEC,
         f"{base}/sink",
         f"{base}/checkpoint",
         limit=limit,
         available_now=True,
+        seed=seed,
     )
     query.awaitTermination()
 
@@ -48,18 +59,12 @@ def test_scenarios_in_three_shuffled_runs(spark):
     # A replayed batch leaves the sink as it is.
     sink = f"{base}/sink"
     before = content(spark, base)
-    stored = spark.read.parquet(sink).filter("batch_id = 0 and outcome = 'stored'")
-    again = stored.drop("outcome", "batch_id", "json_bytes")
+    stored = spark.read.parquet(f"{sink}/log").filter("batch_id = 0 and outcome = 'stored'")
+    again = stored.drop("outcome", "batch_id", "json_bytes", "bucket", "stored_at")
     kept = spark.createDataFrame(again.collect(), again.schema)
     sinks.upsert_batch(sink, SPEC)(kept, 0)
     assert content(spark, base) == before
 
-    # Compaction keeps the view.
-    sinks.compact(spark, sink, f"{base}/compacted")
-    rows = sinks.replica(spark, f"{base}/compacted")
-    assert {r["_id"] for r in rows.collect()} == set(before)
-    assert spark.read.parquet(f"{base}/compacted").count() == len(before)
-
 
 def test_large_entity_goes_to_dead_letters_and_the_rest_passes(spark):
     log = Log().root(1, "r").root(2, "r")
@@ -139,6 +144,73 @@ def test_replaced_rows_and_late_events(spark):
     assert [c["value"] for c in content(spark, base)["1"]["contacts"]] == ["new"]
 
 
+def test_a_removal_before_its_put_in_one_micro_batch(spark):
+    """Put and removal come from two files, the removal first: the row stays away."""
+    image = {"id": 5, "customer_id": 1, "contact_type": "email", "contact_value": "gone"}
+    for seed in range(3):
+        log = Log().root(1, "r", seq=0)
+        base = work_folder(spark, "test-order")
+        log.row("customer_contacts", {"id": 5}, "d", before=image, seq=10)
+        append(spark, base, log.records, files=1)
+        put = Log().row("customer_contacts", {"id": 5}, "c", after=image, seq=4)
+        run(spark, base, put.records, files=1 + seed)
+        assert content(spark, base)["1"]["contacts"] == []
+
+
+def random_log(seed, n=300):
+    """Puts, removals, moves and root deletes of few rows, in transactions and without."""
+    rng = random.Random(seed)
+    log = Log()
+    for txn in range(n // 4):
+        rows = rng.randrange(1, 6)
+        name = None if rng.random() < 0.3 else f"t{txn}"
+        for _ in range(rows):
+            owner, row = rng.randrange(6), rng.randrange(5)
+            image = {"id": row, "customer_id": owner, "contact_type": "email"}
+            image["contact_value"] = f"v{len(log.records)}"
+            kind = rng.random()
+            if kind < 0.15:
+                log.root(owner, rng.choice(["c", "u", "u", "d"]), name)
+            elif kind < 0.4:
+                log.row("customer_contacts", {"id": row}, "d", before=image, txn=name)
+            else:
+                before = {"id": row, "customer_id": rng.randrange(6)}
+                log.row("customer_contacts", {"id": row}, "u", before=before, after=image, txn=name)
+        if name and rng.random() < 0.9:
+            log.end(name, rows)
+    return log.records
+
+
+def final(spark, records):
+    outputs = engine.final_outputs(spark.createDataFrame(records, BRONZE), SPEC)
+    rows = outputs.select("_id", documents.document_json(SPEC).alias("json")).collect()
+    return {r["_id"]: json.loads(r["json"]) for r in rows}
+
+
+def test_random_order_over_many_files_equals_the_batch(spark):
+    records = random_log(7)
+    shuffled = random.Random(8).sample(records, len(records))
+    base = work_folder(spark, "test-random")
+    run(spark, base, shuffled[:200])
+    run(spark, base, shuffled[200:])
+    assert content(spark, base) == final(spark, records)
+
+
+def test_rebuild_half_by_backfill_and_half_by_stream(spark):
+    """Transactions, rows, tombstones and root deletes reach over the cut; open ones wait in the state."""
+    records = random_log(9)
+    shuffled = random.Random(10).sample(records, len(records))
+    base = work_folder(spark, "test-rebuild")
+    append(spark, base, shuffled[:180])
+    rebuild.backfill(rebuild.read_files(spark, f"{base}/log"), SPEC, f"{base}/sink", f"{base}/seed")
+    assert content(spark, base) == final(spark, shuffled[:180])
+    for part in (shuffled[180:250], shuffled[250:]):
+        append(spark, base, part)
+        log = rebuild.read_files(spark, f"{base}/log", streaming=True)
+        go_on(spark, base, rebuild.remaining(log, f"{base}/seed"), seed=f"{base}/seed")
+    assert content(spark, base) == final(spark, records)
+
+
 def test_an_empty_sink_reads_as_empty(spark):
     assert sinks.replica(spark, work_folder(spark, "nothing")).count() == 0
     assert sinks.dead_letters(spark, work_folder(spark, "nothing")).count() == 0
