@@ -43,7 +43,7 @@ COVER = 80
 SCALE = 2_000_000
 #: Leaves a group of subtrees may hold.
 BUDGET_LEAVES = 200_000
-#: Lists up to this many rows may be broadcast; longer ones are joined by shuffle.
+#: Heavy prefixes of a length up to this many are part of the plan; longer lists are joined by shuffle.
 SMALL_ROWS = 10_000
 #: Most bits of a table of frequent hashes (16 MB), and bits per entry below that.
 TABLE_BITS = 1 << 27
@@ -257,13 +257,16 @@ def grouped(stored: DataFrame, budget: int = BUDGET_LEAVES) -> DataFrame:
         frame = materialize(frame, "collocations-prefixes")
         weights.append((d, frame.where(F.col("n") > budget / 8)))
     found = stored
+    # Prefixes of a heavy one are heavy too, so the marks add up.
     for d, heavy in weights:
-        n = heavy.count()
-        listed = heavy.select("lang", F.col("leaf").alias(f"prefix{d}"), F.lit(1).alias(f"heavy{d}"))
-        listed = F.broadcast(listed) if n <= SMALL_ROWS else listed
-        found = found.withColumn(f"prefix{d}", _prefix(F.lit(d)))
-        found = found.join(listed, ["lang", f"prefix{d}"], "left").drop(f"prefix{d}")
-        # Prefixes of a heavy one are heavy too, so the marks add up.
+        # Words hold no line break, so a line names the language and the prefix.
+        line = lambda prefix: F.concat_ws("\n", "lang", prefix)
+        if heavy.count() <= SMALL_ROWS:
+            listed = [r[0] for r in heavy.select(line(F.col("leaf"))).collect()]
+            cut = cut + F.when(line(_prefix(F.lit(d))).isin(listed), 1).otherwise(0)
+            continue
+        listed = heavy.select(line(F.col("leaf")).alias("line"), F.lit(1).alias(f"heavy{d}"))
+        found = found.withColumn("line", line(_prefix(F.lit(d)))).join(listed, "line", "left").drop("line")
         cut = cut + F.coalesce(f"heavy{d}", F.lit(0))
     found = found.select("lang", "leaf", "n", cut.cast("int").alias("cut"))
     parts = max(1, -(-stored.count() // budget))

@@ -71,8 +71,9 @@ def corpus(seed, n):
     return out
 
 
-@pytest.mark.parametrize("budget", [200_000, 40])
-def test_equals_a_plain_count(spark, monkeypatch, budget):
+@pytest.mark.parametrize("budget, small", [(200_000, 10_000), (40, 10_000), (40, 0)])
+def test_equals_a_plain_count(spark, monkeypatch, budget, small):
+    monkeypatch.setattr(collocations, "SMALL_ROWS", small)
     monkeypatch.setattr(collocations, "PART_BYTES", 500)
     monkeypatch.setattr(collocations, "PAIRS_HELD", 300)
     rows = corpus(1, 600)
