@@ -40,10 +40,13 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    """A row per piece: doc_id, piece, start, length, ids, ids_crc32, sequence_id, offset.
+
+    ``packing.sequences`` gives the training sequences of these rows.
+    """
     ready(spark)
     pieces = packing.tokenized(docs, added_tokens=True)
-    return packing.place(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+    return packing.place(pieces.withColumn("ids_crc32", F.crc32("ids")))
 
 
 STAGES = [

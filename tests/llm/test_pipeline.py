@@ -6,10 +6,12 @@ import struct
 import zlib
 from collections import defaultdict
 
+import public_tokenizers
 import pytest
 from test_decontamination import brute as contamination
 from test_packing import check_places, reference_ids
 from test_simhash import brute as near_duplicates
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from docfold.llm import quality, secrets
@@ -84,6 +86,16 @@ def test_equals_brute_force(spark, tmp_path):
     got = sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows)
     assert got == brute(docs, labels, items)
     check_places(rows, 1024)
+    # The ids themselves are there, and read as the texts that the stages have left.
+    tokens = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    pieces = defaultdict(list)
+    for r in sorted(rows, key=lambda r: (r.doc_id, r.piece)):
+        assert zlib.crc32(r.ids) == r.ids_crc32 and len(r.ids) == 4 * r.length
+        pieces[r.doc_id] += struct.unpack(f"<{r.length}I", r.ids)
+    kept = {i: t for i, t in docs if i in pieces and "token=" not in t}
+    assert len(kept) > 30
+    for i, text in kept.items():
+        assert pieces[i][-1] == 2 and tokens.decode(pieces[i][:-1], skip_special_tokens=False) == text
 
 
 def test_odd_tables(spark, tmp_path):
