@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from docfold.session import materialize
+
 
 def workload_profile(bronze: DataFrame) -> DataFrame:
     """One row per source: records, and bytes per record."""
@@ -30,8 +32,16 @@ def ranked_summary(values: DataFrame, column: str, quantiles: dict[str, float])
     number of values: values are counted first, and ranks are running sums over the distinct ones.
     """
     counts = values.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_c"))
-    running = F.sum("_c").over(W.orderBy(column).rowsBetween(W.unboundedPreceding, 0))
-    ranks = counts.select(column, "_c", running.alias("_r"), F.sum("_c").over(W.partitionBy()).alias("_n"))
+    # Distinct values are ranged over tasks and summed inside each; the sums before a range come from one
+    # row per range, so those windows are bounded by the number of partitions.
+    ranged = counts.repartitionByRange(column).withColumn("_p", F.spark_partition_id())
+    ranged = materialize(ranged, "ranks")
+    sums = ranged.groupBy("_p").agg(F.sum("_c").alias("_s"))
+    earlier = F.sum("_s").over(W.orderBy("_p").rowsBetween(W.unboundedPreceding, -1))
+    offsets = sums.select("_p", F.coalesce(earlier, F.lit(0)).alias("_o"), F.sum("_s").over(W.partitionBy()).alias("_n"))
+    inside = F.sum("_c").over(W.partitionBy("_p").orderBy(column).rowsBetween(W.unboundedPreceding, 0))
+    placed = ranged.withColumn("_i", inside).join(F.broadcast(offsets), "_p")
+    ranks = placed.withColumn("_r", F.col("_o") + F.col("_i"))
     return ranks.agg(
         F.coalesce(F.max("_n"), F.lit(0)).alias("n"),
         F.sum(F.col(column) * F.col("_c")).alias("total"),
