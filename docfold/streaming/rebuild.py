@@ -17,11 +17,10 @@ from docfold.session import materialize
 from docfold.sources.changelog import BRONZE
 from docfold.spec import DOCUMENT_LIMIT_BYTES, DocumentSpec
 from docfold.streaming import sinks, stages
+from docfold.streaming.pipeline import SLICE_SEQS
 
 #: The sink's batch that holds what the backfill gave; the stream's batches start at 0.
 FIRST_BATCH = -1
-#: Rows of a transaction whose ``seq`` falls in the same range share a slice.
-SLICE_SEQS = 100_000
 
 
 def read_files(
