@@ -58,6 +58,46 @@ def relational_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(relational.relational_documents(mapping.base_tables(spark, sf_dir), SPEC))
 
 
+def oversized_relational(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of all children belong to root 1, whose collections then come in chunks.
+
+    One row per root, and one per element of a collection above the limit.
+    """
+    tables = mapping.base_tables(spark, sf_dir)
+    for name in ("customer_addresses", "customer_contacts"):
+        owner = F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("customer_id")).cast("bigint")
+        tables[name] = tables[name].withColumn("customer_id", owner)
+    limit = 65_536
+    docs = relational.relational_documents(tables, SPEC, limit)
+    roots = docs.select(
+        F.col("id").cast("bigint").alias("id"),
+        F.lit("root").alias("part"),
+        F.lit(0).cast("bigint").alias("place"),
+        F.concat(F.size("addresses").cast("string"), F.lit(":"), F.size("contacts").cast("string")).alias("shown"),
+        "total_bytes",
+        "error",
+    )
+    chunks = relational.collection_chunks(tables, SPEC, limit, chunk_bytes=4_096)
+    frames = [roots]
+    for part, value in (("addresses", "line1"), ("contacts", "value")):
+        places = chunks.filter(F.col("part") == part).select(
+            "customer_id", "part", "first_place", F.posexplode(part).alias("at", "e")
+        )
+        frames.append(
+            places.select(
+                F.col("customer_id").alias("id"),
+                "part",
+                (F.col("first_place") + F.col("at")).alias("place"),
+                F.concat_ws(":", F.col("e.type"), F.col(f"e.{value}")).alias("shown"),
+            )
+        )
+    return (
+        frames[0]
+        .unionByName(frames[1], allowMissingColumns=True)
+        .unionByName(frames[2], allowMissingColumns=True)
+    )
+
+
 def snapshot_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     doc = F.col("document")
     return snapshot_outputs(spark, sf_dir).select(
@@ -441,6 +481,7 @@ def shred_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "relational_documents": relational_documents,
+    "oversized_relational": oversized_relational,
     "snapshot_documents": snapshot_documents,
     "collection_order_text_vs_number": collection_order_text_vs_number,
     "source_page": source_page,

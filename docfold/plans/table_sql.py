@@ -190,8 +190,40 @@ customer_addresses AS (SELECT * REPLACE (
 """
 )
 
+_TOO_LARGE = """
+WITH a AS (
+  SELECT 'addresses' AS part, CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE o_custkey END AS id, o_orderkey AS k,
+    CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'residential' WHEN '2' THEN 'mailing'
+      WHEN '3' THEN 'mailing' ELSE 'work' END AS kind,
+    'Street ' || CAST(o_orderkey AS VARCHAR) AS shown,
+    strlen('City ' || o_orderstatus) + 5 + 2
+      + CASE WHEN o_orderkey % 4 = 0 THEN strlen(o_orderpriority) ELSE 0 END AS more
+  FROM orders),
+c AS (
+  SELECT 'contacts' AS part, CASE WHEN event_id % 3 = 0 THEN 1 ELSE user_id END AS id, event_id AS k,
+    CASE event_type WHEN 'view' THEN 'email' WHEN 'click' THEN 'mobile_phone' ELSE 'home_phone' END AS kind,
+    'v' || CAST(event_id AS VARCHAR) AS shown, 0 AS more
+  FROM events),
+e AS (SELECT * FROM a UNION ALL SELECT * FROM c),
+sizes AS (
+  SELECT id, CAST(sum(128 + strlen(kind) + strlen(shown) + more) AS BIGINT) AS total_bytes,
+    count(*) FILTER (part = 'addresses') AS n_a, count(*) FILTER (part = 'contacts') AS n_c
+  FROM e GROUP BY id)
+SELECT CAST(c_custkey AS BIGINT) AS id, 'root' AS part, CAST(0 AS BIGINT) AS place,
+  CASE WHEN coalesce(total_bytes, 0) <= 65536
+    THEN CAST(coalesce(n_a, 0) AS VARCHAR) || ':' || CAST(coalesce(n_c, 0) AS VARCHAR) END AS shown,
+  CASE WHEN total_bytes > 65536 THEN total_bytes END AS total_bytes,
+  CASE WHEN total_bytes > 65536 THEN 'document is too large' END AS error
+FROM customer LEFT JOIN sizes ON sizes.id = c_custkey
+UNION ALL
+SELECT CAST(id AS BIGINT), part, row_number() OVER (PARTITION BY id, part ORDER BY kind, k) - 1,
+  kind || ':' || shown, NULL, NULL
+FROM e WHERE id IN (SELECT id FROM sizes WHERE total_bytes > 65536)
+"""
+
 SQL = {
     "relational_documents": DOCS + FLAT,
+    "oversized_relational": _TOO_LARGE,
     "snapshot_documents": DOCS
     + f"""
 SELECT CAST(id AS VARCHAR) AS _id, customer_number, CAST(date_of_birth AS VARCHAR) AS date_of_birth,

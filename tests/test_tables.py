@@ -51,6 +51,40 @@ def test_relational_documents_have_every_root(spark):
     assert everything.filter("addresses is null or contacts is null").count() == 0
 
 
+@needs_data
+def test_large_collections_come_in_chunks(spark, monkeypatch):
+    """Chunks put together are what gathering would have given, in both ways to tell large owners."""
+    tables = mapping.base_tables(spark, SF_DIR)
+    for name in ("customer_addresses", "customer_contacts"):
+        owner = F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 7 != 0, F.col("customer_id"))
+        tables[name] = materialize(tables[name].withColumn("customer_id", owner), "hot")
+    whole = {r["id"]: r for r in relational.relational_documents(tables, SPEC).collect()}
+    assert all(r["error"] is None and r["total_bytes"] is None for r in whole.values())
+    for max_hot in (10_000, 1):
+        monkeypatch.setattr(relational, "MAX_HOT_KEYS", max_hot)
+        docs = {r["id"]: r for r in relational.relational_documents(tables, SPEC, 3_000).collect()}
+        assert set(docs) == set(whole)
+        large = {i for i, r in docs.items() if r["error"]}
+        assert 1 in large and 1 < len(large) < len(docs)
+        chunks = relational.collection_chunks(tables, SPEC, 3_000, chunk_bytes=1_000).collect()
+        for i, row in docs.items():
+            for part in ("addresses", "contacts"):
+                if i not in large:
+                    assert row[part] == whole[i][part]
+                    continue
+                assert row[part] is None
+                own = sorted(
+                    (c for c in chunks if c["customer_id"] == i and c["part"] == part), key=lambda c: c["chunk"]
+                )
+                assert [c["chunk"] for c in own] == list(range(len(own)))
+                put_together = []
+                for c in own:
+                    assert c["first_place"] == len(put_together) and c["n_rows"] == len(c[part]) <= 8
+                    put_together += c[part]
+                assert put_together == whole[i][part]
+    assert relational.collection_chunks(tables, SPEC).count() == 0
+
+
 def test_attach_equals_a_plain_join(spark):
     rows = spark.range(3_000).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("k"), "id"
