@@ -13,7 +13,7 @@ from docfold.session import materialize, work_folder
 from docfold.sources.changelog import read_log
 from docfold.spec import CUSTOMER_SPEC as SPEC
 from docfold.spec import MARKER_SOURCE
-from docfold.streaming import pipeline, rebuild, sinks
+from docfold.streaming import feeds, pipeline, rebuild, sinks
 
 
 def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,6 +98,46 @@ def _feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed.combined(source, feed.replica_changes(stored, "id", "bundle_seq"))
 
 
+def change_feed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both feeds as one stream over three runs, the newest batch of the sink replayed between two of them."""
+    base = work_folder(spark, "feeds")
+    log = materialize(mapping.change_log(spark, sf_dir), "log")
+    stored = materialize(
+        fold.document_log(assembly.actions(log, SPEC), SPEC)
+        .filter("emits <> 'nothing'")
+        .select(
+            F.col("entity_id").alias("_id"),
+            (F.col("emits") == "marker").alias("deleted"),
+            F.col("bundle_seq").alias("version"),
+            F.col("at").alias("committed_at"),
+            F.lit("stored").alias("outcome"),
+            F.expr("bundle_seq div 4000").alias("step"),
+            sinks.bucket_of(F.col("entity_id")).alias("bucket"),
+        ),
+        "stored",
+    )
+    for run in range(3):
+        part = F.least(F.expr("seq div 4000"), F.lit(2)) == run
+        log.filter(part).write.mode("append").parquet(f"{base}/log")
+        # Batches up to the one before come again.
+        outputs = stored.withColumn("batch_id", F.least("step", F.lit(2)).cast("bigint")).drop("step")
+        again = outputs.filter(F.col("batch_id").between(max(0, run - 1), run))
+        again.repartition("batch_id", "bucket").write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy("outcome", "batch_id", "bucket").parquet(f"{base}/sink/log")
+        feeds.start(
+            read_log(spark, f"{base}/log", streaming=True),
+            SPEC,
+            f"{base}/sink",
+            f"{base}/feed",
+            f"{base}/checkpoint",
+            available_now=True,
+        ).awaitTermination()
+    tables = (feeds.ordered, feeds.late, feeds.waiting)
+    both = [t(spark, f"{base}/feed").select("feed", "operation", "id", "customer_number", "at") for t in tables]
+    return both[0].unionByName(both[1]).unionByName(both[2]).withColumn("at", F.unix_millis("at"))
+
+
 def latest_feed_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest = feed.latest_per_feed(materialize(_feed(spark, sf_dir), "feed"))
     return latest.withColumn("at", F.unix_millis("at"))
@@ -227,6 +267,7 @@ QUERIES = {
     "final_documents_stream": final_documents_stream,
     "rebuilt_documents": rebuilt_documents,
     "change_feed": change_feed,
+    "change_feed_stream": change_feed_stream,
     "latest_feed_event": latest_feed_event,
     "count_parity": count_parity,
     "field_parity": field_parity,

@@ -158,6 +158,8 @@ records AS (
 """
 )
 
+_CHANGES = _FEED + 'SELECT feed, operation, id, customer_number, at_ms AS "at" FROM feed'
+
 SQL = {
     "workload_profile": _RECORDS
     + """
@@ -177,7 +179,9 @@ SELECT entity_id AS _id, emits, bundle_id, bundle_seq FROM emitted
 QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY bundle_seq DESC) = 1""",
     "final_documents_stream": LOG_SQL["final_documents"],
     "rebuilt_documents": LOG_SQL["final_documents"],
-    "change_feed": _FEED + 'SELECT feed, operation, id, customer_number, at_ms AS "at" FROM feed',
+    "change_feed": _CHANGES,
+    # In whatever runs the events come, they are the same.
+    "change_feed_stream": _CHANGES,
     "latest_feed_event": _FEED
     + """,
 both_feeds AS (SELECT feed AS name, * FROM feed UNION ALL SELECT 'any', * FROM feed)

@@ -101,7 +101,7 @@ def schema(spark: SparkSession, spec: DocumentSpec = CUSTOMER_SPEC) -> T.StructT
     return T.StructType([*docs, *T.StructType.fromDDL(more)])
 
 
-def _read(spark: SparkSession, folder: str, columns: T.StructType) -> DataFrame:
+def read_folder(spark: SparkSession, folder: str, columns: T.StructType) -> DataFrame:
     """A folder's rows; one that is not there yet is empty."""
     try:
         return spark.read.schema(columns).parquet(folder)
@@ -113,7 +113,7 @@ def _read(spark: SparkSession, folder: str, columns: T.StructType) -> DataFrame:
 
 def published(spark: SparkSession, path: str) -> tuple[str | None, int]:
     """Folder of the newest base, and the last batch it holds; without one all batches count."""
-    rows = _read(spark, f"{path}/manifest", T.StructType.fromDDL(MANIFEST))
+    rows = read_folder(spark, f"{path}/manifest", T.StructType.fromDDL(MANIFEST))
     newest = rows.agg(F.max(F.struct("generation", "folder", "through")).alias("m")).first()["m"]
     return (newest["folder"], newest["through"]) if newest else (None, -(1 << 62))
 
@@ -122,10 +122,10 @@ def _layers(spark: SparkSession, path: str, spec: DocumentSpec) -> tuple[DataFra
     """The stored rows of the published base, and those of the batches after it."""
     columns = schema(spark, spec)
     folder, through = published(spark, path)
-    log = _read(spark, f"{path}/log", columns).filter("outcome = 'stored'")
+    log = read_folder(spark, f"{path}/log", columns).filter("outcome = 'stored'")
     base = spark.createDataFrame([], columns)
     if folder:
-        base = _read(spark, f"{folder}/base", columns)
+        base = read_folder(spark, f"{folder}/base", columns)
     return base, log.filter(F.col("batch_id") > through)
 
 
@@ -151,7 +151,7 @@ def lookup(
 
 def dead_letters(spark: SparkSession, path: str, spec: DocumentSpec = CUSTOMER_SPEC) -> DataFrame:
     """Rejected outputs with their error and batch."""
-    rows = _read(spark, f"{path}/log", schema(spark, spec))
+    rows = read_folder(spark, f"{path}/log", schema(spark, spec))
     return rows.filter("outcome = 'dead'").drop("outcome", "bucket")
 
 
@@ -172,7 +172,7 @@ def compact(
     One compaction of a sink runs at a time.
     """
     folder, before = published(spark, path)
-    log = _read(spark, f"{path}/log", schema(spark, spec))
+    log = read_folder(spark, f"{path}/log", schema(spark, spec))
     if through is None:
         newest = log.agg(F.max("batch_id")).first()[0]
         through = before if newest is None else newest - 1
@@ -188,12 +188,12 @@ def compact(
         .parquet(f"{target}/base")
     )
     # The keys of all documents in page order: range 0 holds the newest.
-    written = _read(spark, f"{target}/base", schema(spark, spec))
+    written = read_folder(spark, f"{target}/base", schema(spark, spec))
     order = [F.desc("updated_at"), F.desc("id")]
     keys = _page_keys(written).repartitionByRange(*order).sortWithinPartitions(*order)
     keys = keys.withColumn("range", F.spark_partition_id())
     keys.write.partitionBy("range").parquet(f"{target}/index")
-    generations = _read(spark, f"{path}/manifest", T.StructType.fromDDL(MANIFEST))
+    generations = read_folder(spark, f"{path}/manifest", T.StructType.fromDDL(MANIFEST))
     number = (generations.agg(F.max("generation")).first()[0] or 0) + 1
     row = spark.createDataFrame([(number, target, through)], MANIFEST)
     row.coalesce(1).write.mode("append").parquet(f"{path}/manifest")
@@ -218,7 +218,7 @@ def page(
     fresh = materialize(newest_per_id(log, "batch_id", "version"), "page-fresh")
     keys = _page_keys(fresh)
     if folder:
-        index = _read(spark, f"{folder}/index", T.StructType([*keys.schema, T.StructField("range", T.IntegerType())]))
+        index = read_folder(spark, f"{folder}/index", T.StructType([*keys.schema, T.StructField("range", T.IntegerType())]))
         needed = skipped + size + fresh.count()
         sizes = index.groupBy("range").agg(F.count("*").alias("n"))
         upto = F.sum("n").over(W.orderBy("range").rowsBetween(W.unboundedPreceding, -1))
@@ -240,14 +240,19 @@ def expire(spark: SparkSession, path: str, spec: DocumentSpec = CUSTOMER_SPEC) -
     folder, through = published(spark, path)
     if not folder:
         return 0
-    rows = _read(spark, f"{path}/log", schema(spark, spec)).filter("outcome = 'stored'")
+    rows = read_folder(spark, f"{path}/log", schema(spark, spec)).filter("outcome = 'stored'")
     old = rows.filter(F.col("batch_id") <= through).select("batch_id").distinct()
     gone = [f"{path}/log/outcome=stored/batch_id={r[0]}" for r in old.collect()]
-    known = _read(spark, f"{path}/manifest", T.StructType.fromDDL(MANIFEST)).select("folder").distinct()
+    known = read_folder(spark, f"{path}/manifest", T.StructType.fromDDL(MANIFEST)).select("folder").distinct()
     gone += [r[0] for r in known.collect() if r[0] != folder]
+    return remove(spark, gone)
+
+
+def remove(spark: SparkSession, folders: list[str]) -> int:
+    """Delete folders; returns how many were there."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     removed = 0
-    for name in gone:
+    for name in folders:
         target = jvm.org.apache.hadoop.fs.Path(name)
         removed += bool(target.getFileSystem(conf).delete(target, True))
     return removed
