@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from docfold.operators.skew import SLICE_ROWS, split_hot
+from docfold.operators.skew import split_hot
 from docfold.session import materialize
 from docfold.spec import DOCUMENT_LIMIT_BYTES, DocumentSpec
 
@@ -67,44 +67,49 @@ def delete_markers(entities: DataFrame) -> DataFrame:
     return entities.filter("dead_before >= 0 and not root_lives").select("entity_id", "dead_before")
 
 
-def slice_width(rows: DataFrame, order: str) -> int:
-    """The range of ``order`` that holds about ``SLICE_ROWS`` rows of all keys together."""
-    low, high, n = rows.agg(F.min(order), F.max(order), F.count("*")).first()
-    return max(1, (high - low) * SLICE_ROWS // n) if n else 1
+def in_ranges(
+    rows: DataFrame, order: list[str], purpose: str, ranges: int | None = None
+) -> DataFrame:
+    """The rows as a written table whose column ``_p`` numbers ranges of (entity, order) of equal depth.
+
+    The bounds come from the rows, so neither one entity nor a burst of positions makes a deep range. Rows with
+    equal positions are told apart by the rest of ``order``.
+    """
+    n = [] if ranges is None else [ranges]
+    ranged = rows.repartitionByRange(*n, "entity_id", *order)
+    return materialize(ranged.withColumn("_p", F.spark_partition_id()), purpose)
 
 
 def running(
-    rows: DataFrame, keys: list[str], order: str, value: Column, name: str, width: int, back: bool
+    rows: DataFrame, keys: list[str], order: list[str], value: Column, name: str, back: bool
 ) -> DataFrame:
     """Add a running value within the keys: the maximum up to here, or (``back``) the minimum after.
 
-    Each key is cut into slices of ``width`` in ``order``: a short window inside every slice, and
-    one over the slice totals, whose result is joined back. A key of any size stays distributed.
+    ``rows`` come from ``in_ranges`` with this order: a short window inside every range, and one over the totals
+    of a key's ranges, whose result is joined back. A key of any size stays distributed.
     """
     fold = F.min if back else F.max
-    sliced = rows.withColumn("_v", value).withColumn(
-        "_s", F.expr(f"{order} div {width}")
-    )
-    slice_order = F.col("_s").desc() if back else F.col("_s")
-    row_order = F.col(order).desc() if back else F.col(order)
-    others = W.partitionBy(*keys).orderBy(slice_order).rowsBetween(W.unboundedPreceding, -1)
+    valued = rows.withColumn("_v", value)
+    range_order = F.col("_p").desc() if back else F.col("_p")
+    row_order = [F.col(c).desc() if back else F.col(c) for c in order]
+    others = W.partitionBy(*keys).orderBy(range_order).rowsBetween(W.unboundedPreceding, -1)
     inside = (
-        W.partitionBy(*keys, "_s")
-        .orderBy(row_order)
+        W.partitionBy(*keys, "_p")
+        .orderBy(*row_order)
         .rowsBetween(W.unboundedPreceding, -1 if back else 0)
     )
-    totals = sliced.groupBy(*keys, "_s").agg(fold("_v").alias("_t"))
-    carried = totals.select(*keys, "_s", fold("_t").over(others).alias("_carry"))
+    totals = valued.groupBy(*keys, "_p").agg(fold("_v").alias("_t"))
+    carried = totals.select(*keys, "_p", fold("_t").over(others).alias("_carry"))
     combined = F.least("_run", "_carry") if back else F.greatest("_run", "_carry")
     return (
-        sliced.withColumn("_run", fold("_v").over(inside))
-        .join(carried, [*keys, "_s"])
+        valued.withColumn("_run", fold("_v").over(inside))
+        .join(carried, [*keys, "_p"])
         .withColumn(name, combined)
-        .drop("_s", "_v", "_run", "_carry")
+        .drop("_v", "_run", "_carry")
     )
 
 
-def row_history(events: DataFrame, spec: DocumentSpec, width: int | None = None) -> DataFrame:
+def row_history(events: DataFrame, spec: DocumentSpec, ranges: int | None = None) -> DataFrame:
     """Validity of every row version, ``[valid_from, valid_to)`` in log order.
 
     A version ends at the next event of its row or at the next root delete of its entity. The
@@ -114,11 +119,11 @@ def row_history(events: DataFrame, spec: DocumentSpec, width: int | None = None)
     acts = events.filter("action <> 'none'").select(
         *keys, "seq", "action", "image"
     )
-    acts = materialize(acts, "versions")
-    width = width or slice_width(acts, "seq")
+    order = ["seq", "source", "row_id"]
+    acts = in_ranges(acts, order, "versions", ranges)
     root_end = F.when((F.col("source") == spec.root) & (F.col("action") == "remove"), F.col("seq"))
-    ended = running(acts, ["entity_id"], "seq", root_end, "root_end", width, back=True)
-    followed = running(ended, keys, "seq", F.col("seq"), "next_seq", width, back=True)
+    ended = running(acts, ["entity_id"], order, root_end, "root_end", back=True)
+    followed = running(ended, keys, order, F.col("seq"), "next_seq", back=True)
     return followed.filter("action = 'put'").select(
         *keys,
         F.col("seq").alias("valid_from"),
@@ -127,7 +132,7 @@ def row_history(events: DataFrame, spec: DocumentSpec, width: int | None = None)
     )
 
 
-def document_log(events: DataFrame, spec: DocumentSpec, width: int | None = None) -> DataFrame:
+def document_log(events: DataFrame, spec: DocumentSpec, ranges: int | None = None) -> DataFrame:
     """What each bundle makes the fold emit for its entity: a document, a marker or nothing."""
     is_root = F.col("source") == spec.root
     code = F.col("seq") * 2 + F.when(F.col("action") == "put", 1).otherwise(0)
@@ -139,15 +144,13 @@ def document_log(events: DataFrame, spec: DocumentSpec, width: int | None = None
         F.max(F.when(acts, code)).alias("root_code"),
         F.coalesce(F.max(acts & (F.col("action") == "remove")), F.lit(False)).alias("root_removed"),
     )
-    kept = materialize(per_bundle, "bundles")
-    width = width or slice_width(kept, "bundle_seq")
-    known = running(
-        kept, ["entity_id"], "bundle_seq", F.col("root_code"), "known_root", width, back=False
-    )
+    order = ["bundle_seq", "bundle_id"]
+    kept = in_ranges(per_bundle, order, "bundles", ranges)
+    known = running(kept, ["entity_id"], order, F.col("root_code"), "known_root", back=False)
     lives = F.coalesce(F.pmod("known_root", F.lit(2)) == 1, F.lit(False))
     return known.withColumn(
         "emits", F.when(lives, "document").when(F.col("root_removed"), "marker").otherwise("nothing")
-    ).drop("root_code", "known_root")
+    ).drop("root_code", "known_root", "_p")
 
 
 def as_of(bronze: DataFrame, seq: int) -> DataFrame:

@@ -22,18 +22,19 @@ from docfold.spec import DOCUMENT_LIMIT_BYTES, RENDER_SLACK, TOO_LARGE, Document
 SLICE_POINTS = 4_096
 
 
-def versions(events: DataFrame, spec: DocumentSpec, width: int | None = None) -> DataFrame:
+def versions(events: DataFrame, spec: DocumentSpec, ranges: int | None = None) -> DataFrame:
     """Row images with the positions ``[valid_from, valid_to)`` at which their entity shows them."""
     keys = ["entity_id", "source", "row_id"]
     acts = events.filter("action <> 'none'")
     placed = events.groupBy("bundle_id", "entity_id").agg(F.max("seq").alias("place"))
     acts = acts.join(placed, ["bundle_id", "entity_id"])
-    acts = materialize(acts.select(*keys, "seq", "place", "action", "image"), "placed")
-    width = width or fold.slice_width(acts, "seq")
+    order = ["seq", "source", "row_id"]
+    acts = acts.select(*keys, "seq", "place", "action", "image")
+    acts = fold.in_ranges(acts, order, "placed", ranges)
     removed = (F.col("source") == spec.root) & (F.col("action") == "remove")
     root_end = F.when(removed, F.col("place"))
-    ended = fold.running(acts, ["entity_id"], "seq", root_end, "root_end", width, back=True)
-    hidden = fold.running(ended, keys, "seq", F.col("place"), "hidden_at", width, back=True)
+    ended = fold.running(acts, ["entity_id"], order, root_end, "root_end", back=True)
+    hidden = fold.running(ended, keys, order, F.col("place"), "hidden_at", back=True)
     shown = hidden.filter("action = 'put'").withColumn("valid_to", F.least("hidden_at", "root_end"))
     return shown.filter("valid_to is null or valid_to > place").select(
         *keys, F.col("place").alias("valid_from"), "valid_to", "image"
@@ -69,7 +70,7 @@ def document_history(
     events: DataFrame,
     spec: DocumentSpec,
     limit: int = DOCUMENT_LIMIT_BYTES,
-    width: int | None = None,
+    ranges: int | None = None,
     slice_points: int = SLICE_POINTS,
 ) -> DataFrame:
     """One output per bundle that makes the fold emit something, in the layout of final outputs.
@@ -78,11 +79,11 @@ def document_history(
     all of them. ``events`` are the committed bundle events. A point whose rows exceed
     ``RENDER_SLACK`` times the limit has an error instead of a document.
     """
-    log = materialize(fold.document_log(events, spec, width).filter("bundle_seq is not null"), "emissions")
+    log = materialize(fold.document_log(events, spec, ranges).filter("bundle_seq is not null"), "emissions")
     places = log.select("entity_id", "bundle_seq").distinct()
     order = [F.col("entity_id"), F.col("bundle_seq")]
     points = materialize(dense_number(places, order, "point"), "points")
-    found = materialize(versions(events, spec, width), "versions")
+    found = materialize(versions(events, spec, ranges), "versions")
     ranged = materialize(_ranges(found, points), "ranges")
     emitted = log.filter("emits <> 'nothing'").join(points, ["entity_id", "bundle_seq"])
     wanted = materialize(emitted.filter("emits = 'document'").select("point").distinct(), "wanted")

@@ -3,6 +3,7 @@ import os
 
 import pytest
 import scenarios
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from docfold import session
@@ -99,7 +100,7 @@ def test_hot_entity_and_hot_transaction(spark, log):
 
 def test_document_log_follows_every_bundle(spark):
     events = assembly.actions(scenarios.build().frame(spark), SPEC)
-    emitted = fold.document_log(events, SPEC, width=3).orderBy("bundle_seq").collect()
+    emitted = fold.document_log(events, SPEC, ranges=3).orderBy("bundle_seq").collect()
     kinds = {}
     for row in emitted:
         kinds.setdefault(row["entity_id"], []).append(row["emits"])
@@ -110,13 +111,13 @@ def test_document_log_follows_every_bundle(spark):
     assert kinds["31"] == ["nothing"]
     assert kinds["32"] == ["marker"]
     wide = fold.document_log(events, SPEC).select("bundle_id", "entity_id", "emits")
-    narrow = fold.document_log(events, SPEC, width=3).select("bundle_id", "entity_id", "emits")
+    narrow = fold.document_log(events, SPEC, ranges=3).select("bundle_id", "entity_id", "emits")
     assert wide.exceptAll(narrow).count() == 0
 
 
 def test_history_ends_with_the_current_state(spark):
     events = materialize(assembly.actions(scenarios.build().frame(spark), SPEC), "events")
-    history = fold.row_history(events, SPEC, width=4)
+    history = fold.row_history(events, SPEC, ranges=4)
     state = engine.state_of(events, SPEC)
     current = history.filter("valid_to is null").select("entity_id", "source", "row_id")
     live = state.live.select("entity_id", "source", "row_id")
@@ -124,6 +125,25 @@ def test_history_ends_with_the_current_state(spark):
     assert fold.row_history(events, SPEC).exceptAll(history).count() == 0
 
 
+def test_ranges_are_of_equal_depth(spark):
+    """Neither a burst of positions, nor rows of one position, nor one entity with most rows make a deep range."""
+    rows = spark.range(20_000).select(
+        F.when(F.col("id") % 3 == 0, F.concat(F.lit("e"), F.col("id") % 97)).otherwise("hot").alias("entity_id"),
+        F.when(F.col("id") < 9_000, 0).when(F.col("id") < 19_000, F.col("id")).otherwise(F.col("id") * 10**9).alias("seq"),
+        F.lit("t").alias("source"),
+        F.col("id").cast("string").alias("row_id"),
+    )
+    order = ["seq", "source", "row_id"]
+    ranged = fold.in_ranges(rows, order, "depth", ranges=16)
+    depths = sorted(r["count"] for r in ranged.groupBy("_p").count().collect())
+    assert sum(depths) == 20_000 and depths[-1] <= 2 * depths[len(depths) // 2]
+    after = fold.running(ranged, ["entity_id"], order, F.col("seq"), "next_seq", back=True)
+    w = Window.partitionBy("entity_id").orderBy(*order)
+    want = rows.withColumn("next_seq", F.lead("seq").over(w))
+    got = after.select(*rows.columns, "next_seq")
+    assert got.exceptAll(want).count() == 0 and got.count() == 20_000
+
+
 def test_past_state(spark, log):
     log.root(1, "r", status="first").root(1, "u", status="second").root(1, "d")
     status = [

@@ -26,7 +26,7 @@ def values(row):
 
 def test_last_is_final_in_all_scenarios(spark):
     log = scenarios.build()
-    found = outputs(spark, log, width=3, slice_points=2)
+    found = outputs(spark, log, ranges=3, slice_points=2)
     last = {r["_id"]: r["json"] for r in found}
     final = engine.final_outputs(log.frame(spark), SPEC)
     rows = final.select("_id", documents.document_json(SPEC).alias("json")).collect()
@@ -58,11 +58,11 @@ def test_a_hot_entity_in_slices_and_too_large_points(spark):
     log = Log().root(1, "r")
     for i in range(60):
         log.row("customer_contacts", {"id": i % 20}, "u", after=contact(i % 20, f"v{i}" * 3))
-    found = outputs(spark, log, slice_points=7, width=11, limit=150)
+    found = outputs(spark, log, slice_points=7, ranges=11, limit=150)
     assert len(found) == 61
     errors = [r["error"] is not None for r in found]
     assert not errors[0] and errors[-1] and errors == sorted(errors)
-    fine = outputs(spark, log, slice_points=7, width=11)
+    fine = outputs(spark, log, slice_points=7, ranges=11)
     assert [len(r["document"]["contacts"]) for r in fine] == [min(i, 20) for i in range(61)]
 
 
