@@ -10,7 +10,9 @@ overlap a base span. Other candidates that share ``SHARED`` characters with one
 around it, so a secret that is announced twice doesn't make itself known. A string that also stands
 where nothing announces it is a name.
 
-Null text is empty. Every row is judged on its whole text, by itself; other columns are not read.
+Null text is empty. Every row is judged on its whole text, by itself; other columns are not read, so they may have any
+names, and repeated rows give repeated results. An empty table gives none. The time grows with the length of a text, long
+runs of announcing words included: a word inside a token announces what is left of it up to the next such word.
 Spans are in code points, end exclusive.
 """
 
@@ -18,7 +20,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
@@ -137,26 +141,24 @@ class Novelty:
         """Candidates in sensitive context that are incompressible and overlap no base span."""
         if not any(word in lower for word in CONTEXT_WORDS):
             return []
-        tokens, seen = [], -1
-        for word in _SENSITIVE.finditer(text):
-            # A candidate that starts in reach is taken whole, however long it is.
-            for m in _TOKEN.finditer(text, word.end()):
-                start, end = m.span()
-                if start > word.end() + CONTEXT_REACH:
-                    break
-                if start > seen:
-                    runs = [r.span() for r in _RUN.finditer(text, start, end)]
-                    if runs:
-                        seen = start
-                        tokens.append(((start, end), runs))
+        tokens = _announced(text)
         # A token with dots is judged whole, and by its runs if that finds nothing.
         announced = [[whole, *(r for r in runs if r != whole)] for whole, runs in tokens]
-        found = []
+        starts = [whole[0] for whole, _ in tokens]
+        base_starts, reached = [s for _, s, _ in base], list(accumulate((e for *_, e in base), max))
+        found, longest = [], -1
         for i, spans in enumerate(announced):
-            # Tokens start at least 16 apart, but for those that begin inside another one.
-            others = [s for x in announced[max(0, i - AROUND) : i + AROUND] for s in x]
+            # Tokens are in order. What reaches into the context from before it is the last one, or the one that
+            # has gone furthest.
+            first = max(0, bisect_left(starts, spans[0][0] - AROUND) - 1)
+            last = bisect_left(starts, spans[0][1] + AROUND)
+            near = ([announced[longest]] if 0 <= longest < first else []) + announced[first:last]
+            others = [s for x in near for s in x]
+            if longest < 0 or spans[0][1] > announced[longest][0][1]:
+                longest = i
             for start, end in spans:
-                if any(start < e and s < end for _, s, e in base):
+                before = bisect_left(base_starts, end)
+                if before and reached[before - 1] > start:
                     continue
                 if self.per_char(text, start, end, others) >= NOVELTY:
                     found.append(("novel", start, end))
@@ -165,6 +167,43 @@ class Novelty:
         return found
 
 
+def _announced(text: str) -> list[tuple[tuple[int, int], list[tuple[int, int]]]]:
+    """Tokens that start in reach of an announcing word, and their runs that are long enough, in order.
+
+    A token in reach is taken whole, however long it is. A word inside a token announces the rest of it up to the
+    next such word, so what is matched and judged grows with the text, however many words a token holds.
+    """
+    words = [w.span() for w in _SENSITIVE.finditer(text)]
+    tokens, seen, known = [], -1, -1
+
+    def take(start: int, end: int) -> None:
+        nonlocal seen
+        runs = [r.span() for r in _RUN.finditer(text, start, end)] if start > seen else []
+        if runs:
+            seen = start
+            tokens.append(((start, end), runs))
+
+    for i, (_, at) in enumerate(words):
+        cut = words[i + 1][0] if i + 1 < len(words) else len(text)
+        go_on = at
+        if at < known:  # inside a token whose end is known
+            if m := _TOKEN.search(text, at, min(cut, known)):
+                take(*m.span())
+            go_on = known
+        for m in _TOKEN.finditer(text, go_on) if go_on <= at + CONTEXT_REACH else ():
+            start, end = m.span()
+            if start > at + CONTEXT_REACH:
+                break
+            known = max(known, end)
+            own = start == at or text[at : at + 1] == "." and start == at + 1
+            if own and start <= cut < end:
+                if m := _TOKEN.search(text, start, cut):
+                    take(*m.span())
+            else:
+                take(start, end)
+    return tokens
+
+
 def _parts(text: str) -> set[str]:
     return {text[i : i + SHARED] for i in range(len(text) - SHARED + 1)}
 

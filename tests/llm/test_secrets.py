@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import string
+import time
 
 from docfold.llm import secrets
 from docfold.llm.common import ready
@@ -89,6 +90,36 @@ def test_a_dotted_token_is_found_whole():
     assert novel(f"Bearer deadbeefdeadbeef01.{key} is used") == [key]
 
 
+def test_words_inside_a_token_announce_what_follows():
+    pick = random.Random(9)
+    key = "".join(pick.choice(string.ascii_letters + string.digits) for _ in range(40))
+    assert novel(f"see x_signature={key} here") == [f"={key}"]
+    assert novel(f"credential=signature={key}") == [f"={key}"]
+    assert novel(f"signature.{key}") == [key]
+    # A key that holds such a word by chance is found whole.
+    assert f"{key}pwd{key[::-1]}" in novel(f"Authorization: Bearer {key}pwd{key[::-1]}\n")
+
+
+def test_time_grows_with_the_text():
+    """Long texts of announcing words, of keys and of base spans; each was quadratic once."""
+    pick = random.Random(3)
+    key = lambda: "".join(pick.choice(string.ascii_letters + string.digits) for _ in range(20))
+    makers = [
+        lambda n: "token" * (n // 5),
+        lambda n: "token." * (n // 6),
+        lambda n: "".join("signature" + key() for _ in range(n // 29)),
+        lambda n: "".join("secret = " + key() + "\n" for _ in range(n // 30)),
+        lambda n: "bearer " + "A1" * (n // 2),
+    ]
+    for make in makers:
+        spent = []
+        for size in (60_000, 960_000):
+            text, start = make(size), time.process_time()
+            secrets.find(text, secrets.Novelty())
+            spent.append(time.process_time() - start)
+        assert spent[1] < 64 * max(spent[0], 0.01), spent  # 16 times the text; squares would be 256
+
+
 def test_names_are_left_alone():
     assert novel("the signature of getElementById_setTimeout_callback is known") == []
     assert novel("set the credential placeholder_your-api-key-here first") == []
