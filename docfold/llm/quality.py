@@ -6,7 +6,9 @@ Each class has a mean and a covariance, shrunk towards the pooled diagonal; a do
 logistic of the difference of the two log densities, computed as Mahalanobis distances with
 Cholesky factors that are computed once per model.
 
-The sums for means and covariances come from all labelled rows, added up where the rows are.
+The sums for means and covariances come from all labelled rows, added up where the rows are. How much to shrink and
+what to add to the variances is chosen among ``CHOICES`` by the log loss over inner folds of these same rows; labels
+that are held out have no say in it. Very long texts are read whole; an empty table gives no rows.
 Null and empty texts are the same and get a score like any other. Null labels and labels of rows that are held
 out are not learned from; several labels of one id count as the largest; repeated rows of documents
 count and are scored each; a null id is never learned from. If a class has no row, every
@@ -27,11 +29,14 @@ from pyspark.sql import types as T
 from docfold.llm.common import map_batches, utf8
 from docfold.session import materialize
 
-SHRINKAGE = 0.05
 THRESHOLD = 0.3
-#: Added to each variance: a statistic that never varies in a class must not decide alone.
-LEAST_VARIANCE = 2e-3
 FOLDS = 5
+#: Shares of the pooled diagonal, and what is added to each variance: a statistic that never varies in a class must not
+#: decide alone. The more regular choice comes first and wins a tie.
+CHOICES = tuple((shrinkage, least) for shrinkage in (0.4, 0.2, 0.1, 0.05, 0.02) for least in (8e-3, 2e-3, 5e-4))
+INNER_FOLDS = 4
+#: Mean losses are compared after rounding, so that the order of additions doesn't choose.
+LOSS_DIGITS = 6
 
 NAMES = (
     "log_words", "log_word_length", "repeated_words", "adjacent_repeats", "capital_words", "capitals",
@@ -97,35 +102,74 @@ class Model:
         return 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -500, 500)))
 
 
-def fit(rows: DataFrame, shrinkage: float = SHRINKAGE) -> Model:
-    """A model from ``rows`` with ``label`` (0, 1) and ``x`` (array of statistics)."""
+def fit(rows: DataFrame, regularisation: tuple[float, float] | None = None) -> Model:
+    """A model from ``rows`` with ``label`` (0, 1), ``fold`` (inner) and ``x`` (array of statistics).
+
+    ``regularisation`` is a choice like those in ``CHOICES``; without one the best of these is taken.
+    """
     d = len(NAMES)
     size = 1 + d + d * d
     schema = T.StructType(
-        [T.StructField("label", T.IntegerType()), T.StructField("sums", T.ArrayType(T.DoubleType()))]
+        [T.StructField("part", T.IntegerType()), T.StructField("sums", T.ArrayType(T.DoubleType()))]
+    )
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        sums = np.zeros((2 * INNER_FOLDS, size))
+        for batch in batches:
+            x, part = _table(batch)
+            for p in np.unique(part):
+                own = x[part == p]
+                sums[p, 0] += len(own)
+                sums[p, 1 : 1 + d] += own.sum(axis=0)
+                sums[p, 1 + d :] += (own.T @ own).ravel()
+        yield {"part": list(range(2 * INNER_FOLDS)), "sums": sums.tolist()}
+
+    partial = map_batches(rows.select("label", "fold", "x"), step, schema)
+    total = partial.select("part", F.posexplode("sums")).groupBy("part", "pos").agg(F.sum("col"))
+    sums = np.zeros((2 * INNER_FOLDS, size))
+    for part, position, value in total.collect():  # a fixed number of rows
+        sums[part, position] = value
+    sums = sums.reshape(INNER_FOLDS, 2, size)
+    whole = sums.sum(axis=0)
+    if regularisation is None:
+        regularisation = CHOICES[0] if whole[:, 0].min() == 0 else _chosen(rows, whole - sums)
+    return model_of(whole, *regularisation)
+
+
+def _table(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Statistics, and fold and label as one number."""
+    x = np.array(batch.column("x").to_pylist(), float).reshape(-1, len(NAMES))
+    label = np.array(batch.column("label").to_pylist(), int)
+    return x, 2 * np.array(batch.column("fold").to_pylist(), int) + label
+
+
+def _chosen(rows: DataFrame, others: np.ndarray) -> tuple[float, float]:
+    """The choice with the smallest log loss, each row scored by a model of the other inner folds' sums."""
+    models = [[model_of(sums, *choice) for choice in CHOICES] for sums in others]
+    schema = T.StructType(
+        [T.StructField("n", T.LongType()), T.StructField("losses", T.ArrayType(T.DoubleType()))]
     )
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        sums = np.zeros((2, size))
+        n, losses = 0, np.zeros(len(CHOICES))
         for batch in batches:
-            x = np.array(batch.column("x").to_pylist(), float).reshape(-1, d)
-            y = np.array(batch.column("label").to_pylist(), int)
-            for label in (0, 1):
-                own = x[y == label]
-                sums[label, 0] += len(own)
-                sums[label, 1 : 1 + d] += own.sum(axis=0)
-                sums[label, 1 + d :] += (own.T @ own).ravel()
-        yield {"label": [0, 1], "sums": sums.tolist()}
-
-    partial = map_batches(rows.select("label", "x"), step, schema)
-    total = partial.select("label", F.posexplode("sums")).groupBy("label", "pos").agg(F.sum("col"))
-    sums = np.zeros((2, size))
-    for label, position, value in total.collect():  # a fixed number of rows
-        sums[label, position] = value
-    return model_of(sums, shrinkage)
-
-
-def model_of(sums: np.ndarray, shrinkage: float) -> Model:
+            x, part = _table(batch)
+            n += len(x)
+            for p in np.unique(part):
+                own = x[part == p]
+                for c, model in enumerate(models[p // 2]):
+                    right = model.score(own) if p % 2 else 1 - model.score(own)
+                    losses[c] -= np.log(np.maximum(right, 1e-9)).sum()
+        yield {"n": [n], "losses": [losses.tolist()]}
+
+    partial = map_batches(rows.select("label", "fold", "x"), step, schema)
+    n = F.sum("n").alias("n")
+    summed = partial.agg(n, *[F.sum(F.col("losses")[c]).alias(f"c{c}") for c in range(len(CHOICES))]).first()
+    means = [round(summed[f"c{c}"] / summed["n"], LOSS_DIGITS) for c in range(len(CHOICES))]
+    return CHOICES[means.index(min(means))]
+
+
+def model_of(sums: np.ndarray, shrinkage: float, least_variance: float) -> Model:
     """A model from each class's count, sums and sums of products."""
     d = len(NAMES)
     n = sums[:, 0]
@@ -138,7 +182,7 @@ def model_of(sums: np.ndarray, shrinkage: float) -> Model:
     parts = []
     for label in (0, 1):
         shrunk = (1 - shrinkage) * spread[label] + shrinkage * pooled
-        lower = np.linalg.cholesky(shrunk + LEAST_VARIANCE * np.eye(d))
+        lower = np.linalg.cholesky(shrunk + least_variance * np.eye(d))
         parts.append((float(np.log(n[label] / n.sum())), means[label], np.linalg.inv(lower)))
     return Model(parts)
 
@@ -156,22 +200,26 @@ def described(docs: DataFrame, text: str = "text") -> DataFrame:
     return map_batches(docs, step, schema)
 
 
-def learned(found: DataFrame, labels: DataFrame, shrinkage: float = SHRINKAGE) -> Model:
+def learned(
+    found: DataFrame, labels: DataFrame, regularisation: tuple[float, float] | None = None
+) -> Model:
     """A model from rows (doc_id, x) and labels (doc_id, quality) that are not held out."""
     known = labels.where("quality IN (0, 1)").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("quality").cast("int").alias("label"))
-    return fit(found.join(known, "doc_id"), shrinkage)
+    inner = F.concat(F.lit("inner "), F.col("doc_id").cast("string")).cast("binary")
+    rows = found.join(known, "doc_id").select("label", (F.crc32(inner) % INNER_FOLDS).cast("int").alias("fold"), "x")
+    return fit(materialize(rows, "quality-labelled"), regularisation)
 
 
 def quality(
     docs: DataFrame,
     labels: DataFrame,
-    shrinkage: float = SHRINKAGE,
+    regularisation: tuple[float, float] | None = None,
     threshold: float = THRESHOLD,
 ) -> DataFrame:
     """Per row of ``docs``: doc_id, held_out, score (0 to 1), predicted (score >= threshold)."""
     found = materialize(described(docs.select("doc_id", "text")), "quality")
-    model = learned(found, labels, shrinkage)
+    model = learned(found, labels, regularisation)
     schema = T.StructType([docs.schema["doc_id"], T.StructField("score", T.DoubleType())])
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -190,13 +238,13 @@ def quality(
 def keep_good(
     docs: DataFrame,
     labels: DataFrame,
-    shrinkage: float = SHRINKAGE,
+    regularisation: tuple[float, float] | None = None,
     threshold: float = THRESHOLD,
 ) -> DataFrame:
     """The rows of ``docs`` that reach the threshold, with all columns; learns from the same rows."""
     # Texts are read twice rather than shuffled: only their statistics meet the labels.
     found = materialize(described(docs.select("doc_id", "text")), "quality")
-    model = learned(found, labels, shrinkage)
+    model = learned(found, labels, regularisation)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

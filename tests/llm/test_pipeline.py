@@ -59,7 +59,7 @@ def brute(docs, labels, items):
 def plain_model(docs, labels):
     from test_quality import brute_scores
 
-    scores = brute_scores(docs, labels, quality.SHRINKAGE)
+    scores = brute_scores(docs, labels)
     by_text = {t: scores[i] for i, t in docs}
     return by_text.__getitem__
 
