@@ -9,10 +9,15 @@ magic as its separator, and gives a candidate to the range it starts in. A candi
 if its gzip header is sound, its data can be inflated and they begin with a WARC header. Compressed
 data can hold the magic by chance; then the candidate isn't complete and the next one is no
 member, and they are put together again: within a range at once, across ranges by a second step
-over these rare pieces. Members that stay incomplete or damaged are left out.
+over these rare pieces. Each chain of pieces, from the range in which a member starts to the next one that holds a
+whole member, is a group of its own. Members that stay incomplete or damaged are left out.
 
-Names must not end in a compression suffix like ``.gz``, for which Spark's reader would inflate the
-whole file in one task.
+Spark's reader would inflate a file whose name ends in ``.gz`` whole, in one task. Ranges of such files are rows, and their
+tasks open the file themselves, through Arrow's file systems: they look for the magic in their own range, and read on
+behind it for the last record that starts inside. The rules for members are the same.
+
+Very long html makes a long record, which a task holds whole. An empty table gives archives without records, and a
+folder of them no rows. Columns of ``pages`` beside page_id, url and html are not read, so they may have any names.
 
 Null html is an empty payload, a null url an empty target. Control characters and spaces of a url are
 percent-encoded. Rows with equal payloads and the same, largest page_id are all responses; a row
@@ -24,16 +29,19 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import urllib.parse
 import zlib
 from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docfold.llm.common import map_batches
+from docfold.llm.common import BATCH_ROWS, map_batches
 from docfold.session import materialize
 
 #: Equal payloads of fewer bytes are all written in full.
@@ -42,6 +50,8 @@ LEVEL = 6
 DATE = "2020-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 MAGIC = b"\x1f\x8b\x08"
+#: Bytes a task reads at a time, and hands to the unpacker at a time.
+BLOCK, STEP = 1 << 20, 1 << 16
 
 
 def gzip_member(data: bytes, level: int = LEVEL) -> bytes:
@@ -226,11 +236,102 @@ class _Range:
         return [done for c in others for done in self._join(c)]
 
 
+class _File:
+    """A file read in blocks, of which one is held."""
+
+    def __init__(self, uri: str):
+        scheme, _, path = uri.partition(":")
+        # Names come as they are; addresses need them quoted.
+        system, name = fs.FileSystem.from_uri(f"{scheme}:{urllib.parse.quote(path)}")
+        self.source, self.at, self.held = system.open_input_file(name), 0, b""
+
+    def _load(self, at: int) -> None:
+        self.at, self.held = at, self.source.read_at(BLOCK, at)
+
+    def piece(self, at: int) -> memoryview:
+        """Some bytes from a position; none behind the end."""
+        if not self.at <= at < self.at + len(self.held):
+            self._load(at)
+        return memoryview(self.held)[at - self.at : at - self.at + STEP]
+
+    def magic(self, at: int, end: int) -> int | None:
+        """The first position of the magic from ``at`` on and before ``end``."""
+        while at < end:
+            self.piece(at)
+            found = self.held.find(MAGIC, at - self.at)
+            if found >= 0:
+                return self.at + found if self.at + found < end else None
+            if self.at + len(self.held) <= at + 2:  # the end of the file
+                return None
+            at = self.at + len(self.held) - 2
+            self._load(at)
+        return None
+
+    def member(self, start: int, payload: bool) -> tuple[dict | None, int]:
+        """The record of the member at ``start`` and its length in the file; no record if it is no member."""
+        unpacker, data, at = zlib.decompressobj(31), bytearray(), start
+        while not unpacker.eof:
+            piece = self.piece(at)
+            if not piece:
+                return None, 0
+            try:
+                data += unpacker.decompress(piece)
+            except zlib.error:
+                return None, 0
+            if data[:5] != b"WARC/"[: len(data)]:
+                return None, 0
+            at += len(piece)
+        return parse(bytes(data), payload), at - len(unpacker.unused_data) - start
+
+    def records(self, start: int, end: int, payload: bool) -> Iterator[dict]:
+        """The records that start in a byte range, wherever they end."""
+        while (at := self.magic(start, end)) is not None:
+            record, length = self.member(at, payload)
+            start = at + (length if record else 1)
+            if record:
+                yield record
+
+
+def _named_gz(spark: SparkSession, folder: str, payload: bool) -> DataFrame | None:
+    """The records of the files whose names end in ``.gz``; null if there are none."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(folder)
+    files = files.where("length > 0").select("path", "length")
+    if files.isEmpty():
+        return None
+    size = int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("bB"))
+    starts = F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(size).cast("long"))
+    ranges = files.select("path", F.explode(starts).alias("start"))
+    n = ranges.count()
+    # A range is a partition's worth of work.
+    ranges = ranges.withColumn("size", F.lit(size)).repartition(min(n, 100_000), "path", "start")
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            for path, start, size in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                held = []
+                for record in _File(path).records(start, start + size, payload):
+                    held.append(record)
+                    if len(held) == BATCH_ROWS:
+                        yield {k: [r[k] for r in held] for k in RECORD.names}
+                        held = []
+                yield {k: [r[k] for r in held] for k in RECORD.names}
+
+    return map_batches(ranges, step, RECORD)
+
+
 def read(spark: SparkSession, folder: str, payload: bool = True) -> DataFrame:
     """The records of all archives in ``folder``, with the columns of ``RECORD``."""
+    named = _named_gz(spark, folder, payload)
+    plain = _plain(spark, folder, payload)
+    return plain if named is None else plain.unionByName(named)
+
+
+def _plain(spark: SparkSession, folder: str, payload: bool) -> DataFrame:
+    """The records of the files whose names don't end in ``.gz``."""
     chunks = (
         spark.read.option("lineSep", MAGIC.decode("latin-1"))
         .option("encoding", "ISO-8859-1")
+        .option("pathGlobFilter", "{*[!z],*[!g]z,*[!.]gz}")
         .text(folder)
         .select(
             F.col("value").cast("binary").alias("value"),
@@ -266,16 +367,21 @@ def read(spark: SparkSession, folder: str, payload: bool = True) -> DataFrame:
 
     def join_pieces(group: pd.DataFrame) -> pd.DataFrame:
         state, out = _Range(payload), []
-        columns = ["found", "before", "after"]
-        for found, before, after in group.sort_values("start")[columns].itertuples(index=False):
-            for candidate in before:
-                out += state.take(candidate)
-            if found:
-                state = _Range(payload)
-            for candidate in after:
+        for candidates in group.sort_values("start")["candidates"]:
+            for candidate in candidates:
                 out += state.take(candidate)
         return pd.DataFrame(out, columns=RECORD.names)
 
     whole = pieces.where("record IS NOT NULL").select("record.*")
     cut = pieces.where("record IS NULL").drop("record")
-    return whole.unionByName(cut.groupBy("file").applyInPandas(join_pieces, RECORD))
+    # A chain starts in a range with a whole member and ends in the next such one. Numbering them takes a small row
+    # per range; the pieces themselves meet by chain only.
+    ends = F.sum(F.col("found").cast("int")).over(W.partitionBy("file").orderBy("start"))
+    numbers = cut.select("file", "start", "found").withColumn("chain", ends).drop("found")
+    sides = F.array(
+        F.struct((F.col("chain") - F.col("found").cast("int")).alias("chain"), F.col("before").alias("candidates")),
+        F.struct("chain", F.col("after").alias("candidates")),
+    )
+    chained = cut.join(numbers, ["file", "start"]).select("file", "start", F.inline(sides))
+    chained = chained.where(F.size("candidates") > 0)
+    return whole.unionByName(chained.groupBy("file", "chain").applyInPandas(join_pieces, RECORD))

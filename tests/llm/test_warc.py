@@ -10,6 +10,7 @@ import pytest
 from docfold.llm import warc
 from docfold.llm.common import ready
 
+MAGICAL = b"\x1f\x8b\x08\x00words " * 3
 SCHEMA = "page_id long, url string, html string, record string"
 
 
@@ -80,6 +81,61 @@ def test_round_trip_over_splits(spark, split, tmp_path, size, level):
     assert result(warc.read(spark, folder)) == brute(ROWS, 1000)
 
 
+@pytest.mark.parametrize("size", [64, 4096, 1 << 24])
+@pytest.mark.parametrize("block", [64, 1 << 20])
+def test_names_of_archives(spark, split, tmp_path, monkeypatch, size, block):
+    """Files named ``.gz`` are read by ranges too, beside others, with odd characters in their names."""
+    folder = tmp_path / "w"
+    more = [(100 + i, "http://m", "m" * 50 * i, None) for i in range(9)]
+    for rows, to, name in ((ROWS, folder, "a b%20+é.warc.gz"), (more, tmp_path / "v", "plain.warc")):
+        warc.write(pages(spark, rows).coalesce(1), str(to))
+        (part,) = (f for f in glob.glob(f"{to}/part-*") if os.path.getsize(f))
+        os.rename(part, folder / name)
+    (folder / "empty.warc.gz").write_bytes(b"")
+    split(size)
+    want = sorted(brute(ROWS, 1000) + brute(more, 1000), key=str)
+    assert result(warc.read(spark, str(folder))) == want
+    monkeypatch.setattr(warc, "BLOCK", block)  # here only; tasks read by whole blocks
+    for start in (0, 1, 50, 700):
+        held = warc._File(f"file:{folder}/a b%20+é.warc.gz")
+        length = os.path.getsize(folder / "a b%20+é.warc.gz")
+        cuts = list(range(0, length, max(1, start * 7))) + [length]
+        whole = [r["record_id"] for r in held.records(0, length, False)]
+        found = [r["record_id"] for a, b in zip(cuts, cuts[1:], strict=False) for r in held.records(a, b, False)]
+        assert found == whole and whole
+
+
+def test_damage_in_a_named_file(spark, split, tmp_path):
+    folder = tmp_path / "w"
+    folder.mkdir()
+    digest = hashlib.sha1(b"p" * 400).hexdigest()
+    data = [warc.record(i, "http://x", b"p" * 400, digest, None, warc.DATE) for i in range(5)]
+    members = [warc.gzip_member(d) for d in data]
+    members[1] = members[1][:-20]
+    members[3] = members[3][:60] + b"\0\0\0\0" + members[3][64:]
+    (folder / "a.warc.gz").write_bytes(b"junk" + b"".join(members) + b"\x1f")
+    split(120)
+    found = {r.record_id for r in warc.read(spark, str(folder)).collect()}
+    assert found == {f"<urn:page:{i}>" for i in (0, 2, 4)}
+
+
+def test_a_member_over_many_ranges(spark, split, tmp_path):
+    """Chains of pieces: a record over dozens of ranges between small ones."""
+    folder = tmp_path / "w"
+    folder.mkdir()
+    sizes = [10, 9_000, 20, 30, 7_000, 7_000, 40]
+    with open(folder / "a.warc", "wb") as f:
+        for i, size in enumerate(sizes):
+            payload = (MAGICAL * size)[:size]
+            digest = hashlib.sha1(payload).hexdigest()
+            f.write(warc.gzip_member(warc.record(i, "http://x", payload, digest, None, warc.DATE), 0))
+    split(200)
+    rows = warc.read(spark, str(folder)).collect()
+    assert sorted((int(r.record_id[10:-1]), r.payload_bytes, r.intact) for r in rows) == [
+        (i, size, True) for i, size in enumerate(sizes)
+    ]
+
+
 @pytest.mark.parametrize("size", [50, 97, 1000, 1 << 20])
 def test_magic_inside_stored_data(spark, split, tmp_path, size):
     # Level 0 stores the bytes as they are, so a gzip member as payload shows its magic inside another.
