@@ -2,21 +2,25 @@
 
 The words of a text are its symbols. All windows of one length form a pattern set with a table of
 shifts: the last ``BLOCK_WORDS`` words at a position say how far the search may jump, because no
-window can end before. A shift of zero leads to the bucket of windows that end in this block; their first word
-and then the whole window are compared directly. Shorter items are windows of their own length.
+window can end before. A shift of zero leads to the bucket of windows that end in this block; those with the hash of
+the words at hand are compared with them directly. Shorter items are windows of their own length.
 
 The benchmark is read in blocks of at most ``BLOCK_BYTES`` of text (one item at least). Each block is
 searched in all texts by one pass, and passes add to what earlier ones found, so neither the driver
-nor a task ever holds more than one block. Null texts have no words; an item without words has no
+nor a task ever holds more than one block; its tables are built once per worker process. An empty table of documents
+gives no rows, very long texts are searched whole, and other columns may have any names. Null texts have no words; an item without words has no
 window; an item without id hits words but names nothing; rows with equal item ids are one item.
 Rows of documents are judged one by one, so repeated rows give repeated results.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
+import uuid
+from array import array
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,37 +55,65 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 
 class PatternSet:
-    """Shift table and suffix buckets of windows that all have ``length`` words."""
+    """Shift table and suffix buckets of windows that all have ``length`` words, as packed arrays.
 
-    def __init__(self, length: int, windows: dict[tuple, set]):
+    Both are addressed by a hash of a block of words. Blocks that share a place share the smaller shift, and windows that
+    share a bucket are told apart by a hash of the whole window and then by their words.
+    """
+
+    def __init__(self, length: int):
         self.length = length
         self.block = min(BLOCK_WORDS, length)
-        self.jump = length - self.block + 1
-        self.shift: dict[tuple, int] = {}
-        self.buckets: dict[tuple, dict[bytes, list]] = defaultdict(lambda: defaultdict(list))
-        for window, items in windows.items():
-            for end in range(self.block, length + 1):
-                part = window[end - self.block : end]
-                self.shift[part] = min(self.shift.get(part, self.jump), length - end)
-            self.buckets[window[-self.block :]][window[0]].append((window, items))
-        self.buckets = {k: dict(v) for k, v in self.buckets.items()}
-
-    def search(self, words: list[bytes]) -> Iterator[tuple[int, set]]:
-        """Start and items of every occurrence."""
-        shift, buckets, length, block, jump = (
-            self.shift.get, self.buckets, self.length, self.block, self.jump,
-        )
+        self.jump = min(length - self.block + 1, 255)
+        self._blocks, self._shifts = array("q"), bytearray()
+        self._starts, self._ends, self._whole = array("q"), array("q"), array("q")
+
+    def add(self, words: list[bytes], first: int) -> None:
+        """All windows of an item, whose first word is number ``first``."""
+        length, block = self.length, self.block
+        hashes = list(map(hash, zip(*(words[i:] for i in range(block)), strict=False)))
+        self._blocks.extend(hashes)
+        # Every place of an item but the first ones is the end of a window.
+        self._shifts.extend(min(max(0, length - end), self.jump) for end in range(block, len(words) + 1))
+        n = len(words) - length + 1
+        self._starts.extend(range(first, first + n))
+        self._ends.extend(hashes[length - block :])
+        self._whole.extend(hash(b" ".join(words[i : i + length])) for i in range(n))
+
+    def seal(self) -> PatternSet:
+        bits = max(8, len(self._blocks).bit_length() + 2)
+        self.mask, places = (1 << bits) - 1, np.frombuffer(self._blocks, np.int64)
+        table = np.full(1 << bits, self.jump, np.uint8)
+        np.minimum.at(table, places & self.mask, np.frombuffer(self._shifts, np.uint8))
+        self.shift = table.tobytes()
+        bits = max(8, len(self._starts).bit_length())
+        self.bucket = (1 << bits) - 1
+        buckets = np.frombuffer(self._ends, np.int64) & self.bucket
+        whole = np.frombuffer(self._whole, np.int64)
+        order = np.lexsort((whole, buckets))
+        self.whole, self.starts = whole[order], np.frombuffer(self._starts, np.int64)[order]
+        counts = np.bincount(buckets, minlength=self.bucket + 1)
+        self.heads = np.concatenate([[0], np.cumsum(counts)])
+        del self._blocks, self._shifts, self._starts, self._ends, self._whole
+        return self
+
+    def search(self, words: list[bytes]) -> Iterator[tuple[int, bytes, np.ndarray]]:
+        """Start and text of every place that may be an occurrence, and the windows with the same hash."""
+        shift, mask, heads, length, block = self.shift, self.mask, self.heads, self.length, self.block
         end, n = length, len(words)
         while end <= n:
-            part = tuple(words[end - block : end])
-            step = shift(part, jump)
+            part = hash(tuple(words[end - block : end]))
+            step = shift[part & mask]
             if step:
                 end += step
                 continue
-            start = end - length
-            for window, items in buckets[part].get(words[start], ()):
-                if window == tuple(words[start:end]):
-                    yield start, items
+            low, high = heads[part & self.bucket], heads[(part & self.bucket) + 1]
+            if low < high:
+                text = b" ".join(words[end - length : end])
+                near, whole = self.whole[low:high], hash(text)
+                low, high = low + near.searchsorted(whole), low + near.searchsorted(whole, "right")
+                if low < high:
+                    yield end - length, text, self.starts[low:high]
             end += 1
 
 
@@ -89,24 +121,52 @@ class Matcher:
     """Pattern sets for a block of items (item_id, text in UTF-8)."""
 
     def __init__(self, items: Iterable[tuple[int | None, bytes | None]], window: int):
-        by_length: dict[int, dict[tuple, set]] = defaultdict(lambda: defaultdict(set))
-        for item, text in items:
-            words = words_of(text)
+        text, self.offsets = bytearray(), array("q")
+        self.firsts, self.ids = array("q"), []
+        by_length: dict[int, PatternSet] = {}
+        for item, data in items:
+            words = words_of(data)
             size = min(window, len(words))
-            for start in range(len(words) - size + 1 if size else 0):
-                named = by_length[size][tuple(words[start : start + size])]
-                if item is not None:
-                    named.add(item)
-        self.sets = [PatternSet(k, v) for k, v in sorted(by_length.items())]
+            if not size:
+                continue
+            by_length.setdefault(size, PatternSet(size)).add(words, len(self.offsets))
+            self.firsts.append(len(self.offsets))
+            self.ids.append(item)
+            for word in words:
+                self.offsets.append(len(text))
+                text += word + b" "
+        self.offsets.append(len(text))
+        self.text = bytes(text)
+        self.sets = [by_length[k].seal() for k in sorted(by_length)]
 
     def find(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set]:
         """Joined hit ranges of words (end exclusive), and the items that occur."""
         ranges, items = [], set()
         for patterns in self.sets:
-            for start, named in patterns.search(words):
-                ranges.append((start, start + patterns.length))
-                items |= named
-        return joined(ranges), items
+            known: dict[bytes, bool] = {}
+            for start, text, near in patterns.search(words):
+                if text not in known:
+                    same = [i for i in near.tolist() if self._is(i, patterns.length, text)]
+                    known[text] = bool(same)
+                    items.update(self.ids[bisect_right(self.firsts, i) - 1] for i in same)
+                if known[text]:
+                    ranges.append((start, start + patterns.length))
+        return joined(ranges), items - {None}
+
+    def _is(self, start: int, length: int, text: bytes) -> bool:
+        """Direct comparison of the window at word number ``start``."""
+        return self.text[self.offsets[start] : self.offsets[start + length] - 1] == text
+
+
+_BUILT: dict[str, Matcher] = {}
+
+
+def shared_matcher(name: str, items: Iterable[tuple], window: int) -> Matcher:
+    """The matcher of a block, built once per worker process; the one before goes."""
+    if name not in _BUILT:
+        _BUILT.clear()
+        _BUILT[name] = Matcher(items, window)
+    return _BUILT[name]
 
 
 def joined(ranges: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -153,11 +213,12 @@ def occurrences(
 
 def _pass(texts: DataFrame, block: list[tuple], window: int, columns: list[str]) -> DataFrame:
     items = texts.sparkSession.sparkContext.broadcast(block)
+    name = uuid.uuid4().hex
     row = T.StructType([texts.schema["row"].dataType[c] for c in columns])
     schema = T.StructType([T.StructField("row", row), T.StructField("found", FOUND)])
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        matcher = Matcher(items.value, window)
+        matcher = shared_matcher(name, items.value, window)
         for batch in batches:
             whole = batch.column("row")
             before = batch.column("found").to_pylist() if "found" in batch.schema.names else None

@@ -3,6 +3,8 @@
 import hashlib
 import random
 import re
+import string
+import tracemalloc
 
 import pytest
 
@@ -66,6 +68,42 @@ def test_other_windows_and_blocks(spark, window):
     assert run(spark, docs, items, window=window, block_bytes=60) == brute(docs, items, window)
 
 
+def test_places_and_buckets_that_are_shared(monkeypatch):
+    """Whatever blocks and windows share by their hashes, words decide."""
+    monkeypatch.setattr(dec, "hash", lambda x: len(x) % 2, raising=False)
+    for seed in range(3):
+        docs, items = case(seed)
+        matcher = dec.Matcher([(i, None if t is None else t.encode()) for i, t in items], 10)
+        for doc, want in zip(sorted(docs, key=str), sorted(docs, key=str), strict=True):
+            ranges, named = matcher.find(dec.words_of((doc[1] or "").encode()))
+            ((_, _, hit, n_items, _, _),) = brute([want], items)
+            assert (sum(b - a for a, b in ranges), len(named)) == (hit, n_items)
+
+
+def test_memory_of_a_block():
+    """A quarter of a full block of random words; a full one takes four times that."""
+    pick, letters = random.Random(5), string.ascii_lowercase
+    word = lambda: "".join(pick.choices(letters, k=pick.randint(3, 8)))
+    items = [(i, " ".join(word() for _ in range(320)).encode()) for i in range(1000)]
+    assert sum(len(t) for _, t in items) > dec.BLOCK_BYTES // 5
+    tracemalloc.start()
+    matcher = dec.Matcher(items, 10)
+    held, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held < 40 << 20 and peak < 75 << 20
+    assert matcher.find(dec.words_of(items[7][1]))[1] == {7}
+
+
+def test_a_very_long_text(spark):
+    docs, items = case(3)
+    long = "q " * 300_000 + items[6][1] + " q" * 300_000
+    ready(spark)
+    left = spark.createDataFrame([(1, long)], "doc_id long, text string")
+    right = spark.createDataFrame([(6, items[6][1])], "item_id long, text string")
+    (got,) = dec.contamination(left, right).collect()
+    assert got.n_hit == len(words(items[6][1])) and got.n_words == 600_000 + got.n_hit
+
+
 def test_empty_tables(spark):
     docs, items = case(1)
     assert run(spark, docs, []) == brute(docs, [])
