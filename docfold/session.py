@@ -5,12 +5,17 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 # Folders of materialized tables that are still there.
 _WRITTEN: list[str] = []
+# Those of the thread's own ``scratch`` block, if it is in one.
+_OWN = threading.local()
 
 STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -66,18 +71,33 @@ def materialize(frame: DataFrame, purpose: str) -> DataFrame:
     spark = frame.sparkSession
     folder = work_folder(spark, purpose)
     frame.write.parquet(folder)
-    _WRITTEN.append(folder)
+    getattr(_OWN, "written", _WRITTEN).append(folder)
     return spark.read.schema(frame.schema).parquet(folder)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables this thread materializes in the block are removed at its end: a query that never ends leaves none."""
+    _OWN.written = written = []
+    try:
+        yield
+    finally:
+        del _OWN.written
+        _remove(spark, written)
+
+
 def discard_work(spark: SparkSession) -> int:
     """Remove the tables this process has materialized; call it once their results are stored.
 
     Frames that still read them can't be used any more. Returns the number of folders.
     """
+    return _remove(spark, _WRITTEN)
+
+
+def _remove(spark: SparkSession, folders: list[str]) -> int:
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     removed = 0
-    while _WRITTEN:
-        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+    while folders:
+        path = jvm.org.apache.hadoop.fs.Path(folders.pop())
         removed += bool(path.getFileSystem(conf).delete(path, True))
     return removed

@@ -1 +1 @@
-"""Structured Streaming form of the engine: stateful stages, pipeline and sink."""
+"""Structured Streaming form of the engine: state, pipeline and sink."""

@@ -13,15 +13,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docfold.operators import feed, routing
 from docfold.spec import CUSTOMER_SPEC, DocumentSpec
-from docfold.streaming import pipeline, sinks
+from docfold.streaming import pipeline, sinks, stages
 from docfold.streaming.stages import StoredChange
 
+# The stage travels with the query, so the workers need no installed package.
+cloudpickle.register_pickle_by_value(stages)
+
 FEEDS = ("source", "replica")
 EVENT = "feed string, operation string, id string, customer_number string, at timestamp"
 ORDER = ["at", "feed", "id", "operation"]

@@ -2,146 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from docfold.operators import documents, routing
-from docfold.operators.assembly import bundle_events
+from docfold.operators import routing
+from docfold.operators.skew import SLICE_ROWS
 from docfold.session import STATE_PROVIDER
-from docfold.spec import DOCUMENT_LIMIT_BYTES, RENDER_SLACK, TOO_LARGE, DocumentSpec
-from docfold.streaming import sinks, stages
-from docfold.streaming.stages import (
-    EntityFold,
-    TransactionGate,
-    TransactionStage,
-    count_per_slice,
-    newest_per_row,
-)
-
-# Rows of a transaction whose ``seq`` falls in the same range share a slice: a usual transaction
-# has one, a very large one is spread over many. Choose the range after how dense ``seq`` is: this
-# default suits consecutive numbers, ``changelog.BROKER_SLICE`` the order of a broker log.
-SLICE_SEQS = 100_000
-
-# The stages travel with the query, so the workers need no installed package.
-cloudpickle.register_pickle_by_value(stages)
+from docfold.spec import DOCUMENT_LIMIT_BYTES, DocumentSpec
+from docfold.streaming import state
 
 
 def configure(spark: SparkSession) -> None:
-    """The keyed stages need the RocksDB state store."""
+    """Keyed stages need the RocksDB state store."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_PROVIDER)
 
 
-def _state(spark: SparkSession, seed: str | None, table: str, *keys: str):
-    """A stage's state as a backfill has left it, or none."""
-    return spark.read.parquet(f"{seed}/{table}").groupBy(*keys) if seed else None
-
-
-def committed_stream(
-    decoded: DataFrame, slice_seqs: int = SLICE_SEQS, seed: str | None = None
-) -> DataFrame:
-    """Row events of complete transactions, and at once those without a transaction."""
-    spark = decoded.sparkSession
-    rows = routing.row_events(decoded)
-    columns, schema = rows.columns, _ddl(rows.schema)
-    slice_of = F.expr(f"seq div {slice_seqs}")
-    releases = (
-        decoded.filter("txn_id is not null and not malformed")
-        .select("txn_id", slice_of.alias("slice"), "is_marker", "status", "event_count", "seq")
-        .mapInPandas(count_per_slice, TransactionGate.INPUT)
-        .groupBy("txn_id")
-        .transformWithState(
-            TransactionGate(),
-            TransactionGate.OUTPUT,
-            "Append",
-            "None",
-            _state(spark, seed, "gate", "txn_id"),
-        )
-    )
-    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema]
-    messages = releases.select(
-        *empty, F.col("txn_id").alias("group"), "slice", F.lit(True).alias("released")
-    )
-    staged = rows.withColumns(
-        {
-            "group": F.coalesce("txn_id", "routing_key"),
-            "slice": slice_of,
-            "released": F.lit(False),
-        }
-    )
-    return (
-        staged.unionByName(messages)
-        .groupBy("group", "slice")
-        .transformWithState(
-            TransactionStage(columns, schema),
-            schema,
-            "Append",
-            "None",
-            _state(spark, seed, "staged", "group", "slice"),
-        )
-    )
-
-
-def entity_stream(
-    committed: DataFrame,
-    spec: DocumentSpec,
-    limit: int = DOCUMENT_LIMIT_BYTES,
-    seed: str | None = None,
-) -> DataFrame:
-    """One output per touched entity and micro-batch, shaped like the batch outputs."""
-    acts = (
-        bundle_events(committed, spec)
-        .filter("action <> 'none'")
-        .select("entity_id", "source", "row_id", "seq", "at", "action", "image")
-    )
-    newest = acts.mapInPandas(newest_per_row, _ddl(acts.schema) + ", removed_seq bigint")
-    folded = newest.groupBy("entity_id").transformWithState(
-        EntityFold(spec.root, limit * RENDER_SLACK),
-        EntityFold.OUTPUT,
-        "Append",
-        "None",
-        _state(committed.sparkSession, seed, "entities", "entity_id"),
-    )
-    images = F.arrays_zip(F.col("sources"), F.col("images"))
-    parts = {
-        "root_image": F.when(F.col("emits") == "document", F.col("images")[0]),
-        "latest": F.array_max(F.transform("images", documents.updated_at)),
-    }
-    for child in spec.children:
-        found = _images_of(images, child.table)
-        parts[child.part] = (
-            F.transform(found, _keyed(child)) if child.is_collection else F.get(found, F.lit(0))
-        )
-    grouped = folded.withColumns(parts)
-    is_doc = F.col("emits") == "document"
-    return documents.shaped(grouped, spec, keep=["emits", "version", "committed_at", "total_bytes"]).select(
-        "_id",
-        (F.col("emits") == "marker").alias("deleted"),
-        F.when(is_doc, F.col("document")).alias("document"),
-        "root_image",
-        "version",
-        "committed_at",
-        F.when(F.col("emits") == "too_large", F.lit(TOO_LARGE)).alias("error"),
-        "total_bytes",
-    )
-
-
-def _images_of(zipped, table: str):
-    return F.transform(
-        F.filter(zipped, lambda z: z["sources"] == table), lambda z: z["images"]
-    )
-
-
-def _keyed(child):
-    return lambda image: documents.keyed_part(child, image)
-
-
-def _ddl(schema: T.StructType) -> str:
-    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
-
-
 def start(
     bronze: DataFrame,
     spec: DocumentSpec,
@@ -150,34 +24,28 @@ def start(
     limit: int = DOCUMENT_LIMIT_BYTES,
     available_now: bool = False,
     interval: str = "1 second",
-    slice_seqs: int = SLICE_SEQS,
-    state_partitions: int | None = None,
+    slice_rows: int = SLICE_ROWS,
     seed: str | None = None,
 ):
     """Start the query; ``sink`` and ``checkpoint`` are folders all executors share.
 
-    ``seed`` is the folder a ``rebuild.backfill`` has written, for a query that goes on from it; give
-    ``rebuild.remaining`` of the log then, and the same folder at each start from this checkpoint.
-
-    The number of state partitions is fixed by the first run; without one given it is the session's
-    number of shuffle partitions.
+    The state is kept as tables below the checkpoint. ``seed`` is the folder a ``rebuild.backfill`` has written, for a
+    query that goes on from it; give ``rebuild.remaining`` of the log then, and the same folder at each start from this
+    checkpoint. Rows of a transaction above ``slice_rows`` are spread.
     """
-    spark = bronze.sparkSession
-    configure(spark)
-    committed = committed_stream(routing.decode(bronze, spec), slice_seqs, seed)
-    outputs = entity_stream(committed, spec, limit, seed)
+    tables = state.Tables(f"{checkpoint}/tables", spec, seed)
+
+    def take(decoded: DataFrame, batch_id: int) -> None:
+        state.step(decoded, tables, sink, batch_id, limit, slice_rows)
+
     writer = (
-        outputs.writeStream.outputMode("append")
+        routing.decode(bronze, spec)
+        .writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(sinks.upsert_batch(sink, spec, limit))
+        .foreachBatch(take)
     )
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
-    usual = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions or usual))
-    try:
-        return writer.trigger(**trigger).start()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", usual)
+    return writer.trigger(**trigger).start()
 
 
 def start_malformed(

@@ -1,8 +1,8 @@
 """Rebuild: fold a log in batch, then let the stream go on from there.
 
-``backfill`` folds the files a log has now, stores the outputs as the sink's first batch, and writes the state of the
-three keyed stages as tables, with the list of files they stand for. A stream started with that folder takes
-the state in its first micro-batch and leaves those files out, so every record counts once: in the tables or in
+``backfill`` takes the files a log has now as one batch: it stores the outputs as the sink's first batch and writes the
+tables of the state, with the list of files they stand for. A stream started with that folder goes on from
+these tables and leaves those files out, so every record counts once: in the tables or in
 the stream. Transactions that are open at the cut are part of the state, with their rows.
 """
 
@@ -10,17 +10,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from docfold.operators import assembly, engine, fold, routing
+from docfold.operators import routing
+from docfold.operators.skew import SLICE_ROWS
 from docfold.session import materialize
 from docfold.sources.changelog import BRONZE
 from docfold.spec import DOCUMENT_LIMIT_BYTES, DocumentSpec
-from docfold.streaming import sinks, stages
-from docfold.streaming.pipeline import SLICE_SEQS
-
-#: The sink's batch that holds what the backfill gave; the stream's batches start at 0.
-FIRST_BATCH = -1
+from docfold.streaming import state
+from docfold.streaming.state import FIRST_BATCH
 
 
 def read_files(
@@ -44,78 +41,15 @@ def backfill(
     sink: str,
     folder: str,
     limit: int = DOCUMENT_LIMIT_BYTES,
-    slice_seqs: int = SLICE_SEQS,
+    slice_rows: int = SLICE_ROWS,
 ) -> None:
-    """Fold ``log`` (from ``read_files``) into the sink, and write the stages' state to ``folder``.
+    """Fold ``log`` (from ``read_files``) into the sink, and write the state to ``folder``.
 
     ``covered`` is written last: it publishes the position the sink and the state are applied up to.
-    ``limit`` and ``slice_seqs`` have to be those of the stream.
+    ``limit`` has to be that of the stream.
     """
     # The frame's own listing decides: files that come later are the stream's.
     covered = materialize(log.select("file").distinct(), "backfill-files")
-    decoded = materialize(routing.decode(log.drop("file"), spec), "decoded")
-    rows, markers = routing.row_events(decoded), routing.marker_events(decoded)
-    transactions = materialize(assembly.progress(rows, markers), "progress")
-    events = assembly.bundle_events(assembly.committed(rows, transactions), spec)
-    latest = materialize(fold.latest(events), "latest")
-    entities = materialize(fold.lifetimes(latest, spec), "entities")
-    state = engine.State(entities, *fold.live_rows(latest, entities, limit))
-    seen = events.filter("action <> 'none'").groupBy("entity_id")
-    seen = seen.agg(F.max("seq").alias("version"), F.max("at").alias("committed_at"))
-    outputs = engine.outputs_of(state, spec, limit).join(
-        seen.withColumnRenamed("entity_id", "_id"), "_id", "left"
-    )
-    sinks.upsert_batch(sink, spec, limit)(outputs, FIRST_BATCH)
-
-    open_ = transactions.filter("status <> 'complete'").select("txn_id", "seen")
-    waiting = rows.join(open_.select("txn_id"), "txn_id", "left_semi")
-    waiting = waiting.select(*rows.columns).withColumn("slice", F.expr(f"seq div {slice_seqs}"))
-    _gate(open_, waiting, markers).write.parquet(f"{folder}/gate")
-    waiting.withColumn("group", F.col("txn_id")).write.parquet(f"{folder}/staged")
-    _entities(latest, entities, spec).write.parquet(f"{folder}/entities")
+    decoded = routing.decode(log.drop("file"), spec)
+    state.step(decoded, state.Tables(folder, spec), sink, FIRST_BATCH, limit, slice_rows)
     covered.write.parquet(f"{folder}/covered")
-
-
-def _gate(open_: DataFrame, waiting: DataFrame, markers: DataFrame) -> DataFrame:
-    """A row per slice of an open transaction, and one for its counts, as the gate keeps them."""
-    ends = (
-        markers.filter("status = 'END' and txn_id is not null")
-        .withColumn("event_count", F.coalesce("event_count", F.lit(-1)))
-        .groupBy("txn_id")
-        .agg(F.max_by("event_count", "seq").alias("expected"), F.max("seq").alias("marker"))
-    )
-    counts = open_.join(ends, "txn_id", "left").withColumns(
-        {"slice": F.lit(None).cast("bigint"), "n": F.lit(None).cast("bigint")}
-    )
-    slices = waiting.groupBy("txn_id", "slice").agg(F.count("*").alias("n"))
-    found = counts.unionByName(slices, allowMissingColumns=True)
-    return found.select(*T.StructType.fromDDL(stages.TransactionGate.STATE).names)
-
-
-def _entities(latest: DataFrame, entities: DataFrame, spec: DocumentSpec) -> DataFrame:
-    """Rows, tombstones and one head per entity, as the fold keeps them."""
-    is_root = F.col("source") == spec.root
-    is_put = F.col("action") == "put"
-    dead = entities.select("entity_id", "dead_before")
-    known = latest.join(dead, "entity_id")
-    rooted = F.when(is_root, F.col("seq"))
-    child = ~is_root & (F.col("seq") > F.col("dead_before"))
-    size = F.when(child & is_put, F.octet_length("image"))
-    heads = known.groupBy("entity_id").agg(
-        F.lit("head").alias("kind"),
-        F.coalesce(F.max(rooted), F.lit(-1)).cast("bigint").alias("seq"),
-        F.max(F.when(is_root & is_put, F.col("image"))).alias("image"),
-        F.max("dead_before").alias("dead_before"),
-        F.max("seq").alias("version"),
-        F.coalesce(F.sum(size), F.lit(0)).cast("bigint").alias("bytes"),
-    )
-    kept = known.filter(child).select(
-        "entity_id",
-        F.when(is_put, "row").otherwise("gone").alias("kind"),
-        "source",
-        "row_id",
-        "seq",
-        F.when(is_put, F.col("image")).alias("image"),
-    )
-    found = heads.unionByName(kept, allowMissingColumns=True)
-    return found.select(*T.StructType.fromDDL(stages.EntityFold.STATE).names)

@@ -1,269 +1,12 @@
-"""The keyed stages of the streams.
-
-Each keeps one small state per key in the state store and touches only the keys of a micro-batch.
-Rows arrive in no particular order, so every rule goes by ``seq``.
-"""
+"""The keyed stage of the feeds: a small state per id in the state store."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-BUFFER_ROWS = 1_000
-
-
-class TransactionGate(StatefulProcessor):
-    """Per transaction: add up row counts, and release its slices once they equal the END count.
-
-    Rows are counted per task before they come here. The output is one row per slice of a
-    transaction that became complete.
-    """
-
-    INPUT = "txn_id string, slice bigint, n bigint, expected bigint, marker_seq bigint"
-    OUTPUT = "txn_id string, slice bigint"
-    #: What a transaction that was open at a backfill starts from: its counts, and its slices.
-    STATE = "txn_id string, slice bigint, n bigint, seen bigint, expected bigint, marker bigint"
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.counts = handle.getValueState("counts", "seen bigint, expected bigint, marker bigint")
-        self.slices = handle.getMapState("slices", "slice bigint", "n bigint")
-
-    def handleInitialState(self, key, initialState, timerValues) -> None:
-        if initialState.slice is None:
-            self.counts.update((initialState.seen, initialState.expected, initialState.marker))
-        else:
-            self.slices.updateValue((initialState.slice,), (initialState.n,))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        stored = self.counts.get()
-        seen, expected, marker = stored or (0, None, None)
-        added = {}
-        for row in rows:
-            if row.n is not None:
-                added[row.slice] = added.get(row.slice, 0) + row.n
-            elif marker is None or row.marker_seq >= marker:
-                expected, marker = row.expected, row.marker_seq
-        seen += sum(added.values())
-        if expected is not None and expected >= 0 and seen == expected:
-            earlier = {number for (number,) in self.slices.keys()} if stored else set()
-            for number in sorted(earlier | set(added)):
-                yield Row(txn_id=key[0], slice=number)
-            if stored:
-                self.counts.clear()
-                self.slices.clear()
-        else:
-            for number, n in added.items():
-                self.slices.updateValue((number,), (n,))
-            self.counts.update((seen, expected, marker))
-
-    def close(self) -> None:
-        pass
-
-
-class TransactionStage(StatefulProcessor):
-    """Per (transaction, slice): keep row events until the gate releases the transaction.
-
-    A large transaction is spread over slices, and a slice is appended to a list state and read
-    back as an iterator, never held as one value. Rows without a transaction pass at once. The
-    event columns are opaque here.
-    """
-
-    def __init__(self, columns: list[str], schema: str) -> None:
-        self.columns = columns
-        self.schema = schema
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.staged = handle.getListState("staged", self.schema)
-
-    def handleInitialState(self, key, initialState, timerValues) -> None:
-        self.staged.appendValue(tuple(initialState[c] for c in self.columns))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        make = Row(*self.columns)
-        buffer, released = [], False
-        for row in rows:
-            if row.released:
-                released = True
-                continue
-            event = tuple(row[c] for c in self.columns)
-            if row.txn_id is None:
-                yield make(*event)
-                continue
-            buffer.append(event)
-            if len(buffer) == BUFFER_ROWS:
-                self.staged.appendList(buffer)
-                buffer = []
-        if not released:
-            if buffer:
-                self.staged.appendList(buffer)
-            return
-        if self.staged.exists():
-            for stored in self.staged.get():
-                yield make(*stored)
-            self.staged.clear()
-        for event in buffer:
-            yield make(*event)
-
-    def close(self) -> None:
-        pass
-
-
-class EntityFold(StatefulProcessor):
-    """Per entity: keep its newest row images and emit its state once per micro-batch.
-
-    Input is the newest action per row (``source, row_id, seq, at, action, image, removed_seq``). An
-    older event that arrives late never overwrites a newer one: tombstones keep their ``seq``, and
-    everything older than the last root delete is dropped. An entity too large for one document
-    emits only its size. Tombstones are apart from the rows and read by key only, so replaced
-    rows cost a touch of their entity nothing; a root delete drops those it makes needless.
-    """
-
-    OUTPUT = (
-        "entity_id string, emits string, version bigint, committed_at timestamp, total_bytes bigint,"
-        " sources array<string>, images array<string>"
-    )
-    #: What an entity starts from after a backfill: a head, its rows and its tombstones.
-    STATE = (
-        "entity_id string, kind string, source string, row_id string, seq bigint, image string,"
-        " dead_before bigint, version bigint, bytes bigint"
-    )
-
-    def __init__(self, root: str, limit: int) -> None:
-        self.root = root
-        self.limit = limit
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.head = handle.getValueState(
-            "head",
-            "root_seq bigint, root_image string, dead_before bigint, version bigint, bytes bigint",
-        )
-        self.rows = handle.getMapState(
-            "rows", "source string, row_id string", "seq bigint, image string"
-        )
-        self.gone = handle.getMapState("gone", "source string, row_id string", "seq bigint")
-
-    def handleInitialState(self, key, initialState, timerValues) -> None:
-        own = initialState
-        if own.kind == "head":
-            self.head.update((own.seq, own.image, own.dead_before, own.version, own.bytes))
-        elif own.kind == "row":
-            self.rows.updateValue((own.source, own.row_id), (own.seq, own.image))
-        else:
-            self.gone.updateValue((own.source, own.row_id), (own.seq,))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        head = self.head.get() or (-1, None, -1, -1, 0)
-        root_seq, root_image, dead_before, version, size = head
-        died_at = dead_before
-        # An entity that fits in one document is read once and kept here; of a larger one only the
-        # rows that change are read.
-        new = head[3] < 0
-        cache = {} if new else dict(self.rows.iterator()) if size <= self.limit else None
-        at = None
-        for row in rows:
-            version = max(version, row.seq)
-            if row.at is not None and not pd.isna(row.at):
-                at = row.at if at is None else max(at, row.at)
-            if row.source == self.root:
-                if row.removed_seq is not None and not pd.isna(row.removed_seq):
-                    dead_before = max(dead_before, int(row.removed_seq))
-                if row.seq > root_seq:
-                    root_seq = row.seq
-                    root_image = row.image if row.action == "put" else None
-            elif row.seq > dead_before:
-                name = (row.source, row.row_id)
-                old = self.rows.getValue(name) if cache is None else cache.get(name)
-                # This very call may have buried it, so even a new entity is asked.
-                buried = None if old else self.gone.getValue(name)
-                if row.seq > max(old[0] if old else -1, buried[0] if buried else -1):
-                    size -= _size(old[1]) if old else 0
-                    if row.action == "put":
-                        value = (row.seq, row.image)
-                        self.rows.updateValue(name, value)
-                        size += _size(row.image)
-                        if buried:
-                            self.gone.removeKey(name)
-                        if cache is not None:
-                            cache[name] = value
-                            if size > self.limit:
-                                cache = None
-                    else:
-                        self.gone.updateValue(name, (row.seq,))
-                        if old:
-                            self.rows.removeKey(name)
-                            if cache is not None:
-                                del cache[name]
-        if dead_before > died_at:
-            size -= self._drop_older(dead_before, cache)
-        self.head.update((root_seq, root_image, dead_before, version, size))
-        make = Row("entity_id", "emits", "version", "committed_at", "total_bytes", "sources", "images")
-        if root_image is not None:
-            total = size + _size(root_image)
-            if total > self.limit:
-                yield make(key[0], "too_large", version, at, total, [], [])
-            else:
-                live = self.rows.iterator() if cache is None else cache.items()
-                found = [(name[0], value[1]) for name, value in live]
-                sources = [self.root] + [source for source, _ in found]
-                images = [root_image] + [image for _, image in found]
-                yield make(key[0], "document", version, at, total, sources, images)
-        elif dead_before > died_at:
-            yield make(key[0], "marker", version, at, 0, [], [])
-
-    def _drop_older(self, dead_before: int, cache: dict | None) -> int:
-        """Remove rows older than a root delete; returns the bytes set free."""
-        freed = 0
-        held = self.rows.iterator() if cache is None else cache.items()
-        for name in [name for name, value in held if value[0] <= dead_before]:
-            value = self.rows.getValue(name) if cache is None else cache.pop(name)
-            freed += _size(value[1])
-            self.rows.removeKey(name)
-        for name in [name for name, (seq,) in self.gone.iterator() if seq <= dead_before]:
-            self.gone.removeKey(name)
-        return freed
-
-    def close(self) -> None:
-        pass
-
-
-def _size(image: str | None) -> int:
-    return 0 if image is None else len(image.encode())
-
-
-def count_per_slice(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Add up the rows of one Arrow batch per (transaction, slice) before the shuffle.
-
-    END markers pass with their count; other markers say nothing.
-    """
-    for batch in batches:
-        rows = batch[~batch["is_marker"]]
-        counted = rows.groupby(["txn_id", "slice"], as_index=False).size()
-        yield counted.rename(columns={"size": "n"}).assign(expected=None, marker_seq=None)
-        ends = batch[batch["is_marker"] & (batch["status"] == "END")]
-        yield pd.DataFrame(
-            {
-                "txn_id": ends["txn_id"],
-                "slice": None,
-                "n": None,
-                "expected": ends["event_count"].fillna(-1),
-                "marker_seq": ends["seq"],
-            }
-        )
-
-
-def newest_per_row(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Keep the newest action per row of one Arrow batch, and its newest removal."""
-    keys = ["entity_id", "source", "row_id"]
-    for batch in batches:
-        # Nullable whole numbers: a float would round positions beyond 2^53.
-        removed = batch["seq"].astype("Int64").where(batch["action"] == "remove")
-        batch = batch.assign(removed_seq=removed)
-        batch["removed_seq"] = batch.groupby(keys)["removed_seq"].transform("max")
-        yield batch.sort_values("seq").drop_duplicates(keys, keep="last")
-
 
 class StoredChange(StatefulProcessor):
     """Per id: the first output inserts, later ones replace; one that was seen before is none.

@@ -1,14 +1,15 @@
 import json
+import os
 import random
 
 import scenarios
 from conftest import Log
 
-from docfold.operators import assembly, documents, engine
+from docfold.operators import assembly, documents, engine, routing
 from docfold.session import work_folder
 from docfold.sources.changelog import BRONZE, read_log
 from docfold.spec import CUSTOMER_SPEC as SPEC
-from docfold.streaming import pipeline, rebuild, sinks
+from docfold.streaming import pipeline, rebuild, sinks, state
 
 
 def append(spark, base, records, files=8):
@@ -214,3 +215,34 @@ def test_rebuild_half_by_backfill_and_half_by_stream(spark):
 def test_an_empty_sink_reads_as_empty(spark):
     assert sinks.replica(spark, work_folder(spark, "nothing")).count() == 0
     assert sinks.dead_letters(spark, work_folder(spark, "nothing")).count() == 0
+
+
+def test_the_state_is_merged_and_a_batch_replayed(spark, monkeypatch):
+    """Bases replace old folders, and a micro-batch that comes again leaves state and sink as they are."""
+    monkeypatch.setattr(state, "MERGE_EVERY", 2)
+    records = random_log(11)
+    shuffled = random.Random(12).sample(records, len(records))
+    base = work_folder(spark, "test-merge")
+    tables = state.Tables(f"{base}/state", SPEC)
+    size = len(shuffled) // 6 + 1
+    for number in range(6):
+        part = spark.createDataFrame(shuffled[number * size : (number + 1) * size], BRONZE)
+        for _ in range(2 if number == 3 else 1):
+            state.step(routing.decode(part, SPEC), tables, f"{base}/sink", number)
+        if number in (3, 5):
+            assert content(spark, base) == final(spark, shuffled[: (number + 1) * size])
+    # The last base is that of batch 5; what the base of batch 3 replaced is gone.
+    assert [os.path.exists(tables.folder(n)) for n in range(6)] == [False] * 4 + [True] * 2
+    assert [os.path.exists(tables.folder(n, base=True)) for n in (1, 3, 5)] == [False, True, True]
+
+
+def test_the_stream_asks_no_state_store_key_by_key(spark):
+    """Held rows and entities are joined as tables, so a micro-batch has no stateful operator and runs no Python."""
+    base = work_folder(spark, "test-native")
+    append(spark, base, random_log(13))
+    query = pipeline.start(
+        read_log(spark, f"{base}/log", streaming=True), SPEC, f"{base}/sink", f"{base}/checkpoint", available_now=True
+    )
+    query.awaitTermination()
+    assert query.lastProgress["stateOperators"] == []
+    assert content(spark, base)
