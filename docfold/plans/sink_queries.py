@@ -140,14 +140,11 @@ def latest_feed_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest.withColumn("at", F.unix_millis("at"))
 
 
-def _canonical(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Expected documents from the tables, and a replica of them with faults put in by id.
+def _faulty(replica: DataFrame) -> DataFrame:
+    """A replica with faults put in by id.
 
     Every field has faults of its own; some documents are missing, and some are there twice.
     """
-    tables = mapping.base_tables(spark, sf_dir)
-    expected = parity.canonical_tables(relational.relational_documents(tables, SPEC), SPEC)
-    replica = parity.canonical_store(snapshot_outputs(spark, sf_dir), SPEC)
     replica = materialize(replica, "replica")
     fields = [c for c in replica.columns if c != "id"]
     faulty = replica.filter("id % 101 <> 0").select(
@@ -158,11 +155,20 @@ def _canonical(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         ],
     )
     extra = replica.filter("id % 109 = 0").withColumn("id", F.col("id") + 1_000_000_000)
-    return expected, faulty.unionByName(extra)
+    return faulty.unionByName(extra)
+
+
+def _canonical(spark: SparkSession, sf_dir: str, outputs: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Expected documents from the tables, and the replica with its faults: of ``outputs``, where a query has them."""
+    tables = mapping.base_tables(spark, sf_dir)
+    expected = parity.canonical_tables(relational.relational_documents(tables, SPEC), SPEC)
+    outputs = snapshot_outputs(spark, sf_dir) if outputs is None else outputs
+    return expected, _faulty(parity.canonical_store(outputs, SPEC))
 
 
 def count_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, replica = _canonical(spark, sf_dir)
+    """Counts need the documents' ids and no field of them, so only these are written."""
+    replica = _faulty(parity.canonical_store(snapshot_outputs(spark, sf_dir), SPEC).select("id"))
     return parity.count_parity(mapping.table(spark, sf_dir, "customer"), replica)
 
 
@@ -172,12 +178,13 @@ def field_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stale_mismatches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    expected, replica = _canonical(spark, sf_dir)
+    outputs = materialize(snapshot_outputs(spark, sf_dir), "snapshot")
+    expected, replica = _canonical(spark, sf_dir, outputs)
     differences = parity.field_diff(expected, replica, "id")
     customers = mapping.base_tables(spark, sf_dir)["customers"]
     as_of = F.lit("2024-01-25 00:00:00").cast("timestamp")
     doc = F.col("document")
-    stored = snapshot_outputs(spark, sf_dir).select(
+    stored = outputs.select(
         doc["id"].alias("id"), doc["updated_at"].cast("timestamp").alias("updated_at")
     )
     # The extra documents of the replica are copies under another id.
@@ -194,9 +201,10 @@ def sampled_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def repair_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    expected, replica = _canonical(spark, sf_dir)
+    outputs = materialize(snapshot_outputs(spark, sf_dir), "snapshot")
+    expected, replica = _canonical(spark, sf_dir, outputs)
     repairs = parity.repair_list(parity.field_diff(expected, replica, "id"), "id")
-    outputs = parity.repair_outputs(snapshot_outputs(spark, sf_dir), repairs)
+    outputs = parity.repair_outputs(outputs, repairs)
     return outputs.select("_id", "deleted", F.col("document.status").alias("status"))
 
 
