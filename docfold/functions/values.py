@@ -25,8 +25,8 @@ def text_or_null(value: Column) -> Column:
 
 
 def whole_number(value: Column) -> Column:
-    """Number text cut to a whole number, or null."""
-    return value.try_cast("decimal(38,9)").try_cast("bigint")
+    """Number text cut to a whole number, or null. Plain digits take the short way."""
+    return F.coalesce(value.try_cast("bigint"), value.try_cast("decimal(38,9)").try_cast("bigint"))
 
 
 def iso_date(value: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docfold.operators.routing import with_ids
 from docfold.operators.skew import attach
 from docfold.session import materialize
 from docfold.spec import DocumentSpec
@@ -23,7 +24,8 @@ def notifications(rows: DataFrame, spec: DocumentSpec) -> DataFrame:
     operation = F.lit("change")
     for op, name in OPERATIONS.items():
         operation = F.when(kind == op, name).otherwise(operation)
-    return rows.filter((F.col("source") == spec.root) & (kind != "r")).select(
+    changed = rows.filter((F.col("source") == spec.root) & (kind != "r"))
+    return with_ids(changed, spec).select(
         operation.alias("operation"),
         F.coalesce(f"after_ids.{spec.root_key}", f"before_ids.{spec.root_key}").alias("id"),
         F.coalesce(

@@ -22,14 +22,13 @@ def normalized_transaction(raw: Column) -> Column:
 def decode(bronze: DataFrame, spec: DocumentSpec, strict: bool = False) -> DataFrame:
     """Log records with their JSON read once: row events, markers and malformed records.
 
-    Images stay JSON text (object or null) and are read fully only for the rows that win; here
-    their ids are taken out. Records without a value are skipped, and ``malformed`` marks values
+    Images stay JSON text (object or null) and are read fully only for the rows that win; ``with_ids``
+    takes their ids out. Records without a value are skipped, and ``malformed`` marks values
     that are no JSON object and records without source or position; ``strict`` fails on the former. Materialize the result: it is read
     more than once.
     """
     options = {"mode": "FAILFAST"} if strict else {"columnNameOfCorruptRecord": "_bad"}
     event = F.from_json("value", EVENT, options)
-    ids = f"{spec.row_key} string, {spec.owner_key} string"
     is_marker = F.col("source") == MARKER_SOURCE
     raw = F.when(is_marker, F.col("event.id")).otherwise(F.col("event.transaction.id"))
     before, after = json_object(F.col("event.before")), json_object(F.col("event.after"))
@@ -55,13 +54,17 @@ def decode(bronze: DataFrame, spec: DocumentSpec, strict: bool = False) -> DataF
         )
         .withColumn("txn_id", text(F.col("txn_text")))
         .withColumn("routing_key", F.coalesce("txn_text", fallback))
-        .withColumn("after_ids", F.from_json("after", ids))
-        .withColumn("before_ids", F.from_json("before", ids))
-        .withColumn("key_ids", F.from_json("key", ids))
         .drop("txn_text")
     )
 
 
+def with_ids(rows: DataFrame, spec: DocumentSpec) -> DataFrame:
+    """Row events with the ids their images and their key name, read once and where they are needed."""
+    ids = f"{spec.row_key} string, {spec.owner_key} string"
+    texts = {"after_ids": "after", "before_ids": "before", "key_ids": "key"}
+    return computed_once(rows, {name: F.from_json(text_, ids) for name, text_ in texts.items()})
+
+
 def row_events(decoded: DataFrame) -> DataFrame:
     """The row events of a decoded log."""
     return decoded.filter("not is_marker and not malformed").drop(
@@ -129,7 +132,7 @@ def affected(rows: DataFrame, spec: DocumentSpec) -> DataFrame:
     )
     action = F.when(is_root, root_action).when(is_many | is_one, child_action).otherwise("none")
     owners = F.array_distinct(F.array_compact(F.array(owner("after_ids"), owner("before_ids"))))
-    return rows.select("*", F.posexplode(owners).alias("pos", "entity_id")).select(
+    return with_ids(rows, spec).select("*", F.posexplode(owners).alias("pos", "entity_id")).select(
         "seq",
         "at",
         "source",
