@@ -10,9 +10,12 @@ suffices unless it begins with one word four times), so passages of 50 words and
 Each paragraph has ``BANDS * ROWS`` minimum hashes of its shingles. Paragraphs whose words are equal are one from
 here on. Paragraphs that agree in a band meet there, and a pair is a link if the exact Jaccard
 similarity of its shingles is at least ``SIMILARITY``. Each is paired with the band's first and with its
-neighbour, which are all pairs of a band of three. In a larger band that then holds several
-classes, the others are paired by a prefix filter: two paragraphs that are similar enough share one
-of their rarest shingles in the band. So all pairs that meet end in one class if they are similar. With 5 bands of 2 rows a pair at 0.8 meets with
+neighbour, which are all pairs of a band of three. In larger bands that then hold several classes,
+paragraphs are sorted by further minimum hashes, in ``TURNS`` orders, and neighbours are paired; that joins nearly
+all of a family without listing its pairs. What is still of different classes is paired by a prefix
+filter: two paragraphs that are similar enough share one of their rarest shingles. Places in the order of rarity and
+``BITS`` parities bound how many they share, so hardly a pair is compared in vain. So all pairs that meet end in one
+class if they are similar. With 5 bands of 2 rows a pair at 0.8 meets with
 probability 0.99, a pair at 0.9 with 0.9998. Of a class of linked paragraphs that stands in several documents, the
 document with the smallest id keeps its own; all other occurrences are to be removed.
 
@@ -29,7 +32,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,10 +56,17 @@ NO_ID = (1 << 63) - 1
 CROWD = 4
 #: Bits of the filter that spares documents without a candidate a shuffle; it never drops one that has.
 FILTER_BITS = 1 << 20
+#: Parities of a set of shingles: those of two sets differ in at most as many as shingles that only one has.
+BITS = 256
+#: Orders in which paragraphs of a band become neighbours, and the minimum hashes that each sorts by.
+TURNS, TURN_HASHES = 4, 8
+#: Sets of shingles that are written at once.
+BLOCK_SETS = 1 << 12
 
 _RANDOM = np.random.default_rng(20)
 _MULTIPLY = _RANDOM.integers(1, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _RANDOM.integers(0, 1 << 63, BANDS * ROWS, np.uint64)
+_TURN = _RANDOM.integers(0, 1 << 64, (TURNS, TURN_HASHES), np.uint64)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _LAST = np.uint64((1 << 64) - 1)
 
@@ -254,9 +264,8 @@ def bands(found: DataFrame) -> DataFrame:
     """Each paragraph of a band but the first: key, uid, low (the band's first), near (the neighbour), nth."""
     names = [f"k{i}" for i in range(BANDS)]
     distinct = found.groupBy("uid").agg(*(F.min(c).alias(c) for c in names))
-    order = F.xxhash64(*names)
-    meeting = distinct.select("uid", order.alias("place"), F.explode(F.array(*names)).alias("key"))
-    band = Window.partitionBy("key").orderBy("place", "uid")
+    meeting = distinct.select("uid", F.explode(F.array(*names)).alias("key"))
+    band = Window.partitionBy("key").orderBy("uid")
     met = meeting.select(
         "key",
         "uid",
@@ -274,21 +283,20 @@ def crowds(met: DataFrame) -> DataFrame:
     return full.select("key", F.col("low").alias("uid")).union(rest)
 
 
-def apart(pairs: DataFrame, places: DataFrame) -> DataFrame:
-    """Pairs (a, b) without stretches that overlap each other in a document: they are the same text."""
+def candidates(met: DataFrame, places: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different paragraphs in a band: with its first, and with the neighbour.
+
+    Stretches that overlap each other in a document are the same text and no pair.
+    """
+    pairs = met.select("uid", F.explode(F.array("low", "near")).alias("other"))
+    pairs = pairs.select(F.least("uid", "other").alias("a"), F.greatest("uid", "other").alias("b"))
+    pairs = materialize(pairs.distinct(), "passages-met")
     pairs = pairs.join(places.toDF("a", "da", "fa", "wa"), "a")
     pairs = pairs.join(places.toDF("b", "db", "fb", "wb"), "b")
     overlap = F.expr("da = db AND fa < fb + wb AND fb < fa + wa")
     return pairs.where(~overlap).select("a", "b")
 
 
-def candidates(met: DataFrame, places: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different paragraphs in a band: with its first, and with the neighbour."""
-    pairs = met.select("uid", F.explode(F.array("low", "near")).alias("other"))
-    pairs = pairs.select(F.least("uid", "other").alias("a"), F.greatest("uid", "other").alias("b"))
-    return apart(materialize(pairs.distinct(), "passages-met"), places)
-
-
 def mixed(crowd: DataFrame, classes: DataFrame) -> DataFrame:
     """key, uid and class of the paragraphs in bands that hold several classes."""
     placed = crowd.join(classes.withColumnRenamed("node", "uid"), "uid", "left")
@@ -298,45 +306,95 @@ def mixed(crowd: DataFrame, classes: DataFrame) -> DataFrame:
     return placed.join(several.where("l < h").select("key"), "key", "left_semi")
 
 
-def remaining(crowd: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of different classes in a band (``mixed``) that can be similar enough.
+def can_link(a: str, b: str, similarity: float) -> Column:
+    """Whether two structs (class, size, parities, d, first, words) are of different classes and can be similar."""
+    a, b = (lambda name, c=c: F.col(f"{c}.{name}") for c in (a, b))
+    together = a("size") + b("size")
+    differ = [F.bit_count(a("parities")[i].bitwiseXOR(b("parities")[i])) for i in range(BITS // 64)]
+    overlap = (
+        (a("d") == b("d"))
+        & (a("first") < b("first") + b("words"))
+        & (b("first") < a("first") + a("words"))
+    )
+    few = sum(differ[1:], differ[0]) <= together - 2 * _shared(together, similarity)
+    return (a("class") != b("class")) & few & ~overlap
 
-    In a band, shingles are ordered by the number of paragraphs that have them. Two sets as
-    similar as asked share one of the first ``size - ceil(similarity * size) + 1`` of either. Where a shingle is one
-    of the first of many paragraphs, those of its most frequent class are paired only with the others.
+
+def _shared(together: Column, similarity: float) -> Column:
+    """How many shingles two sets of so many together have to share."""
+    return F.ceil(together * F.lit(similarity / (1 + similarity)) - F.lit(1e-9)).cast("int")
+
+
+_WHO = ("uid", "class", "size", "parities", "d", "first", "words")
+
+
+def neighbours(band: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of different classes that follow each other in a band (``mixed``) in some order.
+
+    The more minimum hashes two sets have in common, the nearer they are in an order by these.
     """
-    full = crowd.join(sets, "uid").select("key", "uid", "class", F.size("shingles").alias("size"), "shingles")
-    each = full.select("key", "uid", "class", "size", F.explode("shingles").alias("shingle"))
-    each = materialize(each, "passages-shingles")
-    # A shingle that only one paragraph of the band has pairs nothing, but takes its place among the first.
-    often = each.groupBy("key", "shingle").agg(F.count("*").alias("n"))
-    least = F.ceil(F.col("size") * F.lit(similarity) - F.lit(1e-9)).cast("int")
-    ordered = each.join(often, ["key", "shingle"]).groupBy("key", "uid", "class", "size")
+    rows = band.join(sets.drop("shingles"), "uid").select("key", "orders", F.struct(*_WHO).alias("one"))
+    turns = [Window.partitionBy("key").orderBy(F.col("orders")[i], "one.uid") for i in range(TURNS)]
+    rows = rows.select("one", F.array(*(F.lag("one").over(turn) for turn in turns)).alias("before"))
+    pairs = rows.select("one", F.explode("before").alias("other")).where("other IS NOT NULL")
+    pairs = pairs.where(can_link("one", "other", similarity)).select("one.uid", F.col("other.uid").alias("o"))
+    return pairs.select(F.least("uid", "o").alias("a"), F.greatest("uid", "o").alias("b")).distinct()
+
+
+def rare_shingles(band: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """shingle, at, keys and one (a struct) for the first shingles of each paragraph in ``band``.
+
+    Shingles are ordered by the number of paragraphs that have them; ``at`` is a shingle's place. Two sets as
+    similar as asked share one of the first ``size - ceil(similarity * size) + 1`` of either. Those that only one
+    has pair nothing and are left out, but take their place.
+    """
+    who = band.groupBy("uid").agg(F.min("class").alias("class"), F.collect_set("key").alias("keys"))
+    who = materialize(who.join(sets.drop("orders"), "uid"), "passages-members")
+    each = who.select("uid", F.explode("shingles").alias("shingle"))
+    often = each.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
+    ordered = each.join(often, "shingle").groupBy("uid")
     ordered = ordered.agg(F.array_sort(F.collect_list(F.struct("n", "shingle"))).alias("order"))
-    rare = F.slice("order", F.lit(1), F.greatest(F.lit(1), F.col("size") - least + 1))
-    rare = F.filter(rare, lambda x: x["n"] > 1)["shingle"]
-    first = materialize(
-        ordered.select("key", "uid", "class", "size", F.explode(rare).alias("shingle")), "passages-rare"
-    )
-    shared = first.groupBy("key", "shingle", "class").agg(F.count("*").alias("n"))
-    shared = shared.groupBy("key", "shingle").agg(
+    full = who.select("uid", "keys", F.struct(*_WHO).alias("one")).join(ordered, "uid")
+    least = F.ceil(F.col("one.size") * F.lit(similarity) - F.lit(1e-9)).cast("int")
+    alone = F.col("one.size") - F.size("order")
+    rare = F.slice("order", F.lit(1), F.greatest(F.lit(0), F.col("one.size") - least + 1 - alone))
+    rare = F.posexplode(rare["shingle"]).alias("at", "shingle")
+    first = full.select("one", "keys", alone.alias("alone"), rare)
+    return first.select("shingle", (F.col("at") + F.col("alone")).alias("at"), "keys", "one")
+
+
+def remaining(band: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of different classes in a band (``mixed``) that can be similar enough.
+
+    Where a shingle is one of the first of many paragraphs, those of its most frequent class are
+    paired only with the others.
+    """
+    first = materialize(rare_shingles(band, sets, similarity), "passages-rare")
+    shared = first.groupBy("shingle", F.col("one.class").alias("class")).agg(F.count("*").alias("n"))
+    shared = shared.groupBy("shingle").agg(
         F.max_by("class", F.struct("n", "class")).alias("main"), F.count("*").alias("classes")
     )
     shared = materialize(shared.where("classes > 1").drop("classes"), "passages-shared")
-    first = first.join(shared, ["key", "shingle"])
-    other = first.where("class <> main").select(
-        "key", "shingle", F.col("uid").alias("o"), F.col("class").alias("oc"), F.col("size").alias("os")
+    first = first.join(shared, "shingle")
+    other = first.where("one.class <> main").select(
+        "shingle", F.col("at").alias("oat"), F.col("keys").alias("okeys"), F.col("one").alias("other")
     )
-    pairs = other.join(first, ["key", "shingle"])
-    alike = F.least("os", "size") >= F.lit(similarity) * F.greatest("os", "size") - F.lit(1e-9)
+    need = _shared(F.col("one.size") + F.col("other.size"), similarity)
+    # Before the first shingle that both have is none that they share.
+    left = F.least(F.col("one.size") - F.col("at"), F.col("other.size") - F.col("oat"))
     # Of two that are both outside the main class, one order is enough.
-    pairs = pairs.where((F.col("oc") != F.col("class")) & alike & F.expr("class = main OR o < uid"))
-    pairs = pairs.select(F.least("o", "uid").alias("a"), F.greatest("o", "uid").alias("b"))
+    once = F.expr("one.class = main OR other.uid < one.uid")
+    fits = (left >= need) & once & can_link("one", "other", similarity) & F.arrays_overlap("keys", "okeys")
+    a, b = F.col("one.uid"), F.col("other.uid")
+    pairs = other.join(first, "shingle").where(fits).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
     return materialize(pairs.distinct(), "passages-remaining")
 
 
 def shingle_sets(docs: DataFrame, places: DataFrame, wanted: DataFrame) -> DataFrame:
-    """uid and its shingles (hashes) for the wanted paragraphs, read again from one document each."""
+    """The wanted paragraphs, read again from one document each.
+
+    uid, its place (d, first, words), shingles (hashes) and their number ``size``, ``parities`` and ``orders`` of them.
+    """
     # Rows without id share a key with that number; the words tell whose paragraph it is.
     places = places.join(wanted, "uid", "left_semi")
     places = places.select("d", F.struct("uid", "first", "words").alias("at"))
@@ -359,48 +417,100 @@ def shingle_sets(docs: DataFrame, places: DataFrame, wanted: DataFrame) -> DataF
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         hashes = _Hashes()
+        found: list[tuple[dict, np.ndarray]] = []
         for batch in batches:
-            uids, sets = [], []
-            lists = batch.column("places").to_pylist()
-            for text, wanted_here in zip(utf8(batch, "text"), lists, strict=True):
+            lists = zip(batch.column("d").to_pylist(), batch.column("places").to_pylist(), strict=True)
+            for text, (d, wanted_here) in zip(utf8(batch, "text"), lists, strict=True):
                 words = (text or b"").lower().split()
                 for p in wanted_here:
                     own = words[p["first"] : p["first"] + p["words"]]
                     # Of several rows with this doc_id only one may hold it.
                     if np.uint64(_name(own)).view(np.int64) == p["uid"]:
                         hashed = np.fromiter(map(hashes.__getitem__, own), np.uint64, len(own))
-                        uids.append(p["uid"])
-                        sets.append(np.unique(_rolled(hashed, SHINGLE_WORDS)).view(np.int64))
-            yield {"uid": uids, "shingles": [s.tolist() for s in sets]}
-
-    schema = T.StructType(
-        [T.StructField("uid", T.LongType()), T.StructField("shingles", T.ArrayType(T.LongType()))]
-    )
-    found_sets = map_batches(texts.select("text", "places"), step, schema)
-    return found_sets.groupBy("uid").agg(F.max("shingles").alias("shingles"))
+                        found.append((p | {"d": d}, np.unique(_rolled(hashed, SHINGLE_WORDS))))
+                    if len(found) >= BLOCK_SETS:
+                        yield _described(found)
+                        found = []
+        if found:
+            yield _described(found)
+
+    long, longs = T.LongType(), T.ArrayType(T.LongType())
+    kinds = {c: long for c in ("uid", "d", "first", "words", "size")}
+    kinds |= {c: longs for c in ("shingles", "parities", "orders")}
+    schema = T.StructType([T.StructField(c, kind) for c, kind in kinds.items()])
+    return map_batches(texts.select("d", "text", "places"), step, schema).dropDuplicates(["uid"])
+
+
+def _described(found: list[tuple[dict, np.ndarray]]) -> dict[str, list]:
+    """Columns of paragraphs (uid, d, first, words) and their distinct shingles, as ``shingle_sets`` returns them."""
+    sizes = np.array([len(x) for _, x in found])
+    every = np.concatenate([x for _, x in found])
+    lists = lambda x: list(x.view(np.int64))
+    return {
+        **{c: [p[c] for p, _ in found] for c in ("uid", "d", "first", "words")},
+        "size": sizes,
+        "shingles": [x.view(np.int64) for _, x in found],
+        "parities": lists(parities(every, sizes)),
+        "orders": lists(orders(every, sizes)),
+    }
+
+
+def parities(shingles: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``BITS`` parities of each set; the sets, of these sizes, follow each other."""
+    place = np.repeat(np.arange(len(sizes)) * BITS, sizes) + (shingles % np.uint64(BITS)).astype(np.int64)
+    odd = np.bincount(place, minlength=len(sizes) * BITS).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.uint64).reshape(len(sizes), BITS // 64)
+
+
+def orders(shingles: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A number per set and turn: the last bytes of its minimum hashes, one after the other."""
+    starts = np.cumsum(sizes) - sizes
+    out = np.zeros((len(sizes), TURNS), np.uint64)
+    for turn, hashes in enumerate(_TURN):
+        for h in hashes:
+            smallest = np.minimum.reduceat(shingles ^ h, starts)
+            out[:, turn] = out[:, turn] << np.uint64(8) | smallest & np.uint64(255)
+    return out
 
 
 def similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) with at least this exact Jaccard similarity of shingles."""
+    sets = sets.select("uid", "shingles")
     both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
     common = F.size(F.array_intersect("sa", "sb"))
     likeness = common / (F.size("sa") + F.size("sb") - common)
     return both.where(likeness >= similarity).select("a", "b")
 
 
+def joined(classes: DataFrame, more: DataFrame) -> DataFrame:
+    """The classes (node, component) after more links (a, b)."""
+    # The links join whole classes, which are far fewer than their paragraphs.
+    named = lambda c: classes.toDF(c, f"{c}_class")
+    ends = more.join(named("a"), "a", "left").join(named("b"), "b", "left")
+    ends = ends.select(F.coalesce("a_class", "a").alias("a"), F.coalesce("b_class", "b").alias("b"))
+    ends = materialize(components(ends.distinct()), "passages-joined").toDF("component", "final")
+    moved = classes.join(ends, "component", "left")
+    moved = moved.select("node", F.coalesce("final", "component").alias("component"))
+    single = ends.join(classes, ends["component"] == classes["node"], "left_anti")
+    return moved.union(single.select(F.col("component").alias("node"), F.col("final").alias("component")))
+
+
 def _linked(docs: DataFrame, found: DataFrame, similarity: float) -> tuple[DataFrame, ...]:
-    """Links by the band's first and the neighbour, their components, and the links that join these."""
-    places = representatives(found)
+    """Links found by neighbours in bands, their components, and the links that join these."""
     met = bands(found)
+    places = representatives(found)
     pairs = materialize(candidates(met, places), "passages-pairs")
-    crowd = crowds(met)
+    crowd = materialize(crowds(met), "passages-crowd")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("uid")).union(crowd.select("uid"))
     sets = materialize(shingle_sets(docs, places, wanted.distinct()), "passages-sets")
     near = materialize(similar(pairs, sets, similarity), "passages-near")
     classes = materialize(components(near), "passages-classes")
+    close = materialize(neighbours(mixed(crowd, classes), sets, similarity), "passages-close")
+    close = materialize(similar(close, sets, similarity), "passages-closer")
+    classes = materialize(joined(classes, close), "passages-classes")
     others = remaining(mixed(crowd, classes), sets, similarity)
-    joining = materialize(similar(apart(others, places), sets, similarity), "passages-joining")
-    return near, classes, joining
+    joining = materialize(similar(others, sets, similarity), "passages-joining")
+    return near.union(close), classes, joining
 
 
 def links(docs: DataFrame, found: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -412,15 +522,7 @@ def links(docs: DataFrame, found: DataFrame, similarity: float = SIMILARITY) ->
 def linked_classes(docs: DataFrame, found: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """node and component (its smallest node) of all linked paragraphs."""
     _, classes, joining = _linked(docs, found, similarity)
-    # The late links join whole classes, which are far fewer than their paragraphs.
-    named = lambda c: classes.toDF(c, f"{c}_class")
-    ends = joining.join(named("a"), "a", "left").join(named("b"), "b", "left")
-    ends = ends.select(F.coalesce("a_class", "a").alias("a"), F.coalesce("b_class", "b").alias("b"))
-    joined = materialize(components(ends.distinct()), "passages-joined").toDF("component", "final")
-    moved = classes.join(joined, "component", "left")
-    moved = moved.select("node", F.coalesce("final", "component").alias("component"))
-    single = joined.join(classes, joined["component"] == classes["node"], "left_anti")
-    return moved.union(single.select(F.col("component").alias("node"), F.col("final").alias("component")))
+    return joined(classes, joining)
 
 
 def duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
