@@ -48,7 +48,7 @@ STRETCH_WORDS = 16
 ANCHOR_WORDS, ANCHOR_WINDOW = 3, 33
 #: Words that are read together, up to the end of a line.
 BLOCK_WORDS = 1 << 18
-#: Hashes of words a task remembers.
+#: Hashes of words, and paragraphs, that a task remembers.
 MEMORY = 500_000
 #: Stands for the document of rows without id where occurrences are looked up again.
 NO_ID = (1 << 63) - 1
@@ -221,7 +221,10 @@ def band_keys(smallest: np.ndarray) -> np.ndarray:
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:
-    """uid, doc_id, first, words and the keys k0, k1, ... of every paragraph, as a written table."""
+    """uid, doc_id, first, words and the keys k0, k1, ... of every paragraph, as a written table.
+
+    Keys are null where the task has given those of the same paragraph shortly before.
+    """
     names = [f"k{i}" for i in range(BANDS)]
     schema = T.StructType(
         [
@@ -234,21 +237,33 @@ def paragraphs(docs: DataFrame) -> DataFrame:
     )
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        reader = Paragraphs()
+        reader, seen = Paragraphs(), set()
         for batch in batches:
             for found in reader.of(utf8(batch, "text")):
-                keys = found["keys"].view(np.int64)
+                keys, again = found["keys"].view(np.int64), _again(found["uid"], seen)
                 yield {
                     "uid": found["uid"],
                     "doc_id": batch.column("doc_id").take(pa.array(found["text"])),
                     "first": found["first"],
                     "words": found["words"],
-                    **{c: keys[:, i] for i, c in enumerate(names)},
+                    **{c: pa.array(keys[:, i], mask=again) for i, c in enumerate(names)},
                 }
 
     return materialize(map_batches(docs.select("doc_id", "text"), step, schema), "passages")
 
 
+def _again(uids: np.ndarray, seen: set[int]) -> np.ndarray:
+    """Which of these are in ``seen``, or come a second time; the others join it."""
+    if len(seen) >= MEMORY:
+        seen.clear()
+    out = np.ones(len(uids), bool)
+    for i, uid in enumerate(uids.tolist()):
+        if uid not in seen:
+            seen.add(uid)
+            out[i] = False
+    return out
+
+
 def representatives(found: DataFrame) -> DataFrame:
     """One occurrence of each paragraph, that in the smallest document: uid, d, first, words."""
     order = F.coalesce(F.col("doc_id"), F.lit(NO_ID))
@@ -263,17 +278,17 @@ def representatives(found: DataFrame) -> DataFrame:
 def bands(found: DataFrame) -> DataFrame:
     """Each paragraph of a band but the first: key, uid, low (the band's first), near (the neighbour), nth."""
     names = [f"k{i}" for i in range(BANDS)]
-    distinct = found.groupBy("uid").agg(*(F.min(c).alias(c) for c in names))
-    meeting = distinct.select("uid", F.explode(F.array(*names)).alias("key"))
+    # A paragraph comes once from each task that has it at most, and again from those whose memory was full.
+    meeting = found.where("k0 IS NOT NULL").select("uid", F.explode(F.array(*names)).alias("key"))
     band = Window.partitionBy("key").orderBy("uid")
     met = meeting.select(
         "key",
         "uid",
         F.first("uid").over(band).alias("low"),
         F.lag("uid").over(band).alias("near"),
-        F.row_number().over(band).alias("nth"),
+        F.dense_rank().over(band).alias("nth"),
     )
-    return materialize(met.where("near IS NOT NULL"), "passages-bands")
+    return materialize(met.where("near <> uid"), "passages-bands")
 
 
 def crowds(met: DataFrame) -> DataFrame:

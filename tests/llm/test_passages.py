@@ -277,3 +277,17 @@ def test_parities_bound_what_only_one_set_has():
             differ = sum(int(x).bit_count() for x in bits[i] ^ bits[j])
             assert differ <= len(set(a.tolist()) ^ set(b.tolist()))
     assert sum(int(x).bit_count() for x in bits[1] ^ bits[2]) > 12
+
+
+def test_bands_of_repeated_rows(spark, monkeypatch):
+    """A paragraph that several tasks gave keys of is one in its bands; one without keys is another's copy."""
+    monkeypatch.setattr(passages, "MEMORY", 3)
+    seen = set()
+    ids = lambda *x: passages._again(np.array(x), seen).tolist()
+    assert ids(1, 1, 2) == [False, True, False] and ids(2, 3) == [True, False] and ids(3) == [False]
+    rows = [(u, *(b * 10 for b in range(passages.BANDS))) for u in (4, 4, 6, 5, 5, 4)]
+    rows += [(5, *[None] * passages.BANDS), (7, *(b * 10 + 1 for b in range(passages.BANDS)))]
+    names = ", ".join(f"k{i} long" for i in range(passages.BANDS))
+    found = ready(spark).createDataFrame(rows, f"uid long, {names}").repartition(3)
+    got = sorted((r.key, r.uid, r.low, r.near, r.nth) for r in passages.bands(found).collect())
+    assert got == sorted(x for b in range(passages.BANDS) for x in ((b * 10, 5, 4, 4, 2), (b * 10, 6, 4, 5, 3)))
